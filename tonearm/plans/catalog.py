@@ -457,3 +457,295 @@ def p11(spark, sf):
     return fx.train(spark, sf).select(
         "user_id", names.short_user_id("user_id").alias("user_short"),
         names.short_run_id(F.md5("user_id")).alias("run_short")).distinct()
+
+
+# ---------------------------------------------------------------- request-log metrics (batch and streaming)
+from tonearm.streaming import monitor  # noqa: E402
+
+LOG_SQL = f"""log AS (SELECT ts, event_id, 'POST' AS method, concat('/', event_type) AS endpoint,
+  CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+  CASE event_type WHEN 'view' THEN 'mood' WHEN 'click' THEN 'user' WHEN 'purchase' THEN 'random' END AS type,
+  CASE WHEN event_type = 'view' THEN {o.MOOD_ARRAY}[user_id % 12 + 1] END AS mood,
+  CASE WHEN event_type = 'error' THEN 'ValueError' END AS error_type,
+  value AS duration, event_type = 'error' AS is_error, user_id FROM events)"""
+LOG = "WITH " + LOG_SQL + "\n"
+_SLIDE = "(SELECT *, time_bucket(INTERVAL 1 minute, ts) - k * INTERVAL 1 minute AS ws FROM log, range(0, 5) t(k))"
+_BUCKET_SQL = ", ".join(f"count_if(duration <= {b}) AS le_{str(b).replace('.', '_')}" for b in monitor.LATENCY_BUCKETS)
+
+R_SQL = {
+    "r1_request_counts": LOG + "SELECT method, endpoint, status, count(*) AS requests FROM log GROUP BY ALL",
+    "r2_latency_histogram": LOG + f"SELECT method, endpoint, {_BUCKET_SQL}, count(*) AS le_inf, "
+                            "round(sum(duration), 6) AS duration_sum, count(*) AS requests FROM log GROUP BY ALL",
+    "r3_recs_by_type": LOG + "SELECT type, mood, count(*) AS requests FROM log WHERE type IS NOT NULL GROUP BY ALL",
+    "r4_errors_by_kind": LOG + "SELECT endpoint, error_type, count(*) AS errors FROM log WHERE is_error GROUP BY ALL",
+    "r5_gauges_last": LOG + "SELECT endpoint AS gauge, arg_max(duration, row(ts, event_id)) AS value, max(ts) AS ts "
+                      "FROM log GROUP BY endpoint",
+    "r6_requests_per_minute": LOG + "SELECT time_bucket(INTERVAL 1 minute, ts) AS window_start, "
+                              "time_bucket(INTERVAL 1 minute, ts) + INTERVAL 1 minute AS window_end, "
+                              "count(*) AS requests FROM log GROUP BY ALL",
+    "r7_latency_sliding": LOG + "SELECT ws AS window_start, ws + INTERVAL 5 minute AS window_end, "
+                          "round(sum(duration), 6) AS duration_sum, count(*) AS requests, "
+                          f"round(sum(duration) / count(*), 6) AS mean_latency FROM {_SLIDE} GROUP BY ws",
+    "r8_errors_sliding": LOG + "SELECT ws AS window_start, ws + INTERVAL 5 minute AS window_end, "
+                         "count_if(is_error) AS errors, round(count_if(is_error) / 5.0, 6) AS errors_per_minute "
+                         f"FROM {_SLIDE} GROUP BY ws",
+    "r9_top_moods": LOG + "SELECT mood, count(*) AS requests FROM log WHERE mood IS NOT NULL GROUP BY mood "
+                    "ORDER BY requests DESC, mood LIMIT 5",
+    "r10_total_recommendations": LOG + "SELECT count_if(type IS NOT NULL) AS total_recommendations FROM log",
+    "r11_traffic_stats": LOG + """SELECT total, errors, round(el, 6) AS elapsed_seconds,
+        round(total * 60.0 / el, 6) AS requests_per_minute, round(errors * 100.0 / total, 6) AS error_pct FROM
+        (SELECT count(*) AS total, count_if(is_error) AS errors, epoch(max(ts)) - epoch(min(ts)) AS el FROM log)""",
+    "r12_alerts": LOG + f"""SELECT window_start, window_end, requests, errors, round(error_pct, 6) AS error_pct,
+        round(mean_latency, 6) AS mean_latency,
+        CASE WHEN error_pct > {monitor.ERROR_CRIT_PCT} THEN 'critical' WHEN error_pct > {monitor.ERROR_WARN_PCT}
+             THEN 'warning' ELSE 'ok' END AS error_alert,
+        CASE WHEN mean_latency > {monitor.LATENCY_CRIT_S} THEN 'critical' WHEN mean_latency > {monitor.LATENCY_WARN_S}
+             THEN 'warning' ELSE 'ok' END AS latency_alert,
+        CASE WHEN requests > {monitor.VOLUME_WARN_PER_MIN} THEN 'warning' ELSE 'ok' END AS volume_alert FROM
+        (SELECT time_bucket(INTERVAL 1 minute, ts) AS window_start,
+                time_bucket(INTERVAL 1 minute, ts) + INTERVAL 1 minute AS window_end,
+                count(*) AS requests, count_if(is_error) AS errors,
+                count_if(is_error) * 100.0 / count(*) AS error_pct, sum(duration) / count(*) AS mean_latency
+         FROM log GROUP BY ALL)""",
+}
+
+# name -> (metric function, streaming keys, post-processing on the final result, columns to round)
+R_SPEC = {
+    "r1_request_counts": (monitor.request_counts, ["method", "endpoint", "status"], None, []),
+    "r2_latency_histogram": (monitor.latency_histogram, ["method", "endpoint"], None, ["duration_sum"]),
+    "r3_recs_by_type": (monitor.recs_by_type, ["type", "mood"], None, []),
+    "r4_errors_by_kind": (monitor.errors_by_kind, ["endpoint", "error_type"], None, []),
+    "r5_gauges_last": (monitor.gauges_last, ["gauge"], None, []),
+    "r6_requests_per_minute": (monitor.per_minute, ["window_start", "window_end"], None, []),
+    "r7_latency_sliding": (monitor.latency_sliding, ["window_start", "window_end"], None,
+                           ["duration_sum", "mean_latency"]),
+    "r8_errors_sliding": (monitor.errors_sliding, ["window_start", "window_end"], None, ["errors_per_minute"]),
+    "r9_top_moods": (monitor.mood_counts, ["mood"], monitor.top_moods, []),
+    "r10_total_recommendations": (monitor.total_recommendations, [], None, []),
+    "r11_traffic_stats": (monitor.traffic_stats, [], None,
+                          ["elapsed_seconds", "requests_per_minute", "error_pct"]),
+    "r12_alerts": (monitor.minute_health, ["window_start", "window_end"], monitor.alerts,
+                   ["error_pct", "mean_latency"]),
+}
+
+_TS_COLS = ("window_start", "window_end", "ts")
+
+
+def _finish(df: DataFrame, post, rounded) -> DataFrame:
+    if post is not None:
+        df = post(df)
+    return df.select(*[F.round(F.col(c), 6).alias(c) if c in rounded else F.col(c) for c in df.columns])
+
+
+def _batch_metric(name):
+    fn, _, post, rounded = R_SPEC[name]
+
+    def run(spark, sf):
+        return _finish(fn(fx.request_log(spark, sf)), post, rounded)
+    run.__name__ = name
+    return run
+
+
+def _stream_metric(name):
+    fn, keys, post, rounded = R_SPEC[name]
+
+    def run(spark, sf):
+        events = fx.table(spark, sf, "events")
+        stream = monitor.event_stream(spark, sf, events.schema, file_glob="events.parquet")
+        agg = fn(fx.request_log(spark, sf, stream))
+        path = monitor.run_stream(agg, keys, name)
+        out = monitor.latest(spark, path, keys)
+        out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in _TS_COLS else F.col(c)
+                           for c in out.columns])
+        return _finish(out, post, rounded)
+    run.__name__ = name + "_stream"
+    return run
+
+
+for _name, _sql in R_SQL.items():
+    register(_name, _sql)(_batch_metric(_name))
+    register(_name + "_stream", _sql)(_stream_metric(_name))
+
+
+@register("r2_latency_histogram_long")
+def r2l(spark, sf):
+    return monitor.histogram_long(monitor.latency_histogram(fx.request_log(spark, sf)))
+
+
+# ---------------------------------------------------------------- runs and the comparison report
+from tonearm.operators import runs as runs_op  # noqa: E402
+
+RUN_DIMS = (16, 32, 64)
+
+
+def _eval_ctes(sfx: str, dims: int) -> list[str]:
+    """The M2 oracle over factor vectors cut to ``dims`` (CTE names suffixed)."""
+    return [
+        f"uf{sfx} AS (SELECT user_id, list_slice(features, 1, {dims}) AS features FROM uf)",
+        f"itf{sfx} AS (SELECT artist_name, list_slice(features, 1, {dims}) AS features FROM itf)",
+        f"""sc{sfx} AS (SELECT u.user_id, i.artist_name, list_dot_product(f.features, i.features) AS score
+            FROM tu u JOIN uf{sfx} f USING (user_id) CROSS JOIN itf{sfx} i
+            WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.artist_name = i.artist_name))""",
+        o.topk_sql(f"sc{sfx}", "user_id", str(K), f"rk{sfx}"),
+        f"""h{sfx} AS (SELECT r.user_id, r.rank, CASE WHEN l.user_id IS NULL THEN 0 ELSE 1 END AS hit
+            FROM rk{sfx} r LEFT JOIN rel l USING (user_id, artist_name))""",
+        f"""c{sfx} AS (SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY rank
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM h{sfx})""",
+        f"""pu{sfx} AS (SELECT user_id, sum(hit) AS h, sum(CASE WHEN hit = 1 THEN c / rank END) AS ap,
+            sum(CASE WHEN hit = 1 THEN 1.0 / log2(rank + 1) END) AS dcg FROM c{sfx} GROUP BY user_id)""",
+        f"""per{sfx} AS (SELECT n.user_id, n.n_rel, least({K}, n.n_rel) AS m, coalesce(h, 0) AS h,
+            coalesce(ap, 0) AS ap, coalesce(dcg, 0) AS dcg FROM nrel n LEFT JOIN pu{sfx} USING (user_id))""",
+        f"""run{sfx} AS (SELECT md5('embedding-dims:{dims}') AS run_id, {dims} AS factors, sum(h) / sum(m) AS p,
+            avg(ap / m) AS mp, avg(dcg / (SELECT sum(1.0 / log2(j + 1)) FROM range(1, CAST(m AS BIGINT) + 1) t(j)))
+            AS nd FROM per{sfx})""",
+    ]
+
+
+_RUN_CTES = ["tu AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM uf))",
+             "rel AS (SELECT DISTINCT user_id, artist_name FROM test WHERE user_id IN (SELECT user_id FROM tu))",
+             "nrel AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id)"]
+for _d in RUN_DIMS:
+    _RUN_CTES += _eval_ctes(str(_d), _d)
+_RUN_CTES.append("runs AS (" + " UNION ALL ".join(f"SELECT * FROM run{d}" for d in RUN_DIMS) + ")")
+_RUN_CTES.append("""cmp AS (SELECT substring(run_id, 1, 8) AS run_id, CAST(factors AS INTEGER) AS factors,
+    0 AS iterations, CAST(0.0 AS DOUBLE) AS regularization, p AS precision_at_10, mp AS map_at_10,
+    nd AS ndcg_at_10, CAST(0.0 AS DOUBLE) AS training_minutes, CAST(NULL AS TIMESTAMP) AS start_time,
+    CAST(row_number() OVER (ORDER BY p DESC, 0.0, substring(run_id, 1, 8)) AS INTEGER) AS rank FROM runs)""")
+RUNS_SQL = o.with_("factors", *_RUN_CTES)
+
+
+def _embedding_runs(spark, sf) -> DataFrame:
+    """Run records derived from the data: M2 of the given factors cut to 16/32/64 dimensions."""
+    out = None
+    for d in RUN_DIMS:
+        uf = fx.user_factors(spark, sf).withColumn("features", F.slice("features", 1, d))
+        itf = fx.item_factors(spark, sf).withColumn("features", F.slice("features", 1, d))
+        m = metrics.evaluate(fx.train(spark, sf), fx.test(spark, sf), uf, itf, K)
+        row = m.select(F.md5(F.lit(f"embedding-dims:{d}")).alias("run_id"),
+                       F.lit("embedding-dims").alias("experiment"), F.lit(d).alias("factors"),
+                       F.lit(0).alias("iterations"), F.lit(0.0).alias("regularization"),
+                       F.lit(CFG.alpha).alias("alpha"), F.col(f"precision_at_{K}").alias("precision_at_10"),
+                       F.col(f"map_at_{K}").alias("map_at_10"), F.col(f"ndcg_at_{K}").alias("ndcg_at_10"),
+                       F.lit("ok").alias("status"))
+        out = row if out is None else out.unionByName(row)
+    return runs_op.conform(out)
+
+
+_CMP_COLS = ["run_id", "factors", "iterations", "regularization", "precision_at_10", "map_at_10", "ndcg_at_10",
+             "training_minutes", "start_time", "rank"]
+
+
+@register("m12_run_comparison", RUNS_SQL + "SELECT run_id, factors, iterations, regularization, "
+          "round(precision_at_10, 6) AS precision_at_10, round(map_at_10, 6) AS map_at_10, "
+          "round(ndcg_at_10, 6) AS ndcg_at_10, training_minutes, start_time, rank FROM cmp")
+def m12(spark, sf):
+    t = runs_op.comparison_table(_embedding_runs(spark, sf))
+    return t.select(*[_r6(c) if c in ("precision_at_10", "map_at_10", "ndcg_at_10") else c for c in _CMP_COLS])
+
+
+@register("m12_run_summary", RUNS_SQL + """, b AS (SELECT * FROM cmp WHERE rank = 1),
+    w AS (SELECT * FROM cmp WHERE rank = (SELECT max(rank) FROM cmp)),
+    f AS (SELECT * FROM cmp ORDER BY training_minutes, rank LIMIT 1)
+    SELECT (SELECT count(*) FROM cmp) AS n_runs, b.run_id AS best_run, b.factors AS best_factors,
+      round(b.precision_at_10, 6) AS best_precision, b.training_minutes AS best_minutes, w.run_id AS worst_run,
+      round(w.precision_at_10, 6) AS worst_precision, f.run_id AS fastest_run, f.factors AS fastest_factors,
+      f.training_minutes AS fastest_minutes,
+      round(CASE WHEN w.precision_at_10 = 0 THEN NULL
+            ELSE (b.precision_at_10 - w.precision_at_10) * 100.0 / w.precision_at_10 END, 6) AS improvement_pct,
+      CASE WHEN f.run_id <> b.run_id THEN round((b.precision_at_10 - f.precision_at_10) * 100.0 / b.precision_at_10, 6)
+      END AS precision_loss_pct,
+      CASE WHEN f.run_id <> b.run_id THEN b.training_minutes - f.training_minutes END AS minutes_saved,
+      CASE WHEN (b.precision_at_10 - w.precision_at_10) * 100.0 / nullif(w.precision_at_10, 0) > 10
+           THEN concat('significant improvement: use factors=', b.factors)
+           WHEN (b.precision_at_10 - w.precision_at_10) * 100.0 / nullif(w.precision_at_10, 0) > 5
+           THEN concat('moderate improvement: best model recommended (factors=', b.factors, ')')
+           ELSE 'small differences: weigh speed against accuracy' END AS advice,
+      b.training_minutes > 8 AS best_is_slow FROM b, w, f""")
+def m12s(spark, sf):
+    s = runs_op.comparison_summary(runs_op.comparison_table(_embedding_runs(spark, sf)))
+    r = ("best_precision", "worst_precision", "improvement_pct", "precision_loss_pct")
+    return s.select(*[_r6(c) if c in r else c for c in s.columns])
+
+
+@register("s11_s12_runs_roundtrip", RUNS_SQL + "SELECT md5('embedding-dims:' || factors) AS run_id, "
+          "'embedding-dims' AS experiment, CAST(factors AS INTEGER) AS factors, round(p, 6) AS precision_at_10 FROM runs")
+def s11(spark, sf):
+    path = scratch_path(spark, "runs")
+    runs_op.append_runs(_embedding_runs(spark, sf), path)
+    back = runs_op.read_runs(spark, path, "embedding-dims")
+    return back.select("run_id", "experiment", "factors", _r6("precision_at_10"))
+
+
+@register("s13_report_roundtrip", RUNS_SQL + "SELECT run_id, CAST(factors AS INTEGER) AS factors, rank FROM cmp")
+def s13(spark, sf):
+    path = scratch_path(spark, "report")
+    runs_op.save_report(runs_op.comparison_table(_embedding_runs(spark, sf)), path)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("factors", T.IntegerType()),
+                           T.StructField("rank", T.IntegerType())])
+    return spark.read.schema(schema).json(f"{path}/json")
+
+
+# ---------------------------------------------------------------- request dispatcher
+from tonearm.operators import requests as req_op  # noqa: E402
+
+_DISPATCH_CTES = [
+    f"""reqs AS (SELECT event_id AS request_id,
+        CASE WHEN event_type IN ('view', 'signup') THEN 'mood' WHEN event_type IN ('click', 'purchase') THEN 'user'
+             ELSE 'random' END AS type,
+        CASE WHEN event_type IN ('view', 'signup') THEN {o.MOOD_ARRAY}[user_id % 12 + 1] END AS mood,
+        CASE WHEN event_type IN ('click', 'purchase') THEN concat('u', user_id) END AS user_id,
+        CAST(event_id % 60 AS INTEGER) AS k FROM events)""",
+    f"""v AS (SELECT *, CASE WHEN type IS NULL OR type NOT IN ('mood', 'user', 'random')
+             THEN 'type must be mood, user or random'
+           WHEN k IS NULL OR k < 1 OR k > {req_op.MAX_K} THEN 'k must be between 1 and {req_op.MAX_K}'
+           WHEN type = 'mood' AND mood IS NULL THEN 'mood is required for mood requests'
+           WHEN type = 'user' AND user_id IS NULL THEN 'user_id is required for user requests' END AS error
+         FROM reqs)""",
+    "ok AS (SELECT * FROM v WHERE error IS NULL)",
+    "mk AS (SELECT DISTINCT mood, k FROM ok WHERE type = 'mood')",
+    *_mood_ctes(),
+    "cu AS (SELECT DISTINCT user_id FROM chosen)",
+    o.unseen_scores_sql("cu", "scored_c"),
+    o.topk_sql("scored_c", "user_id", str(2 * req_op.MAX_K), "urc"),
+    """fk AS (SELECT mk.mood, mk.k, u.artist_name, sum(u.score) AS score FROM mk JOIN chosen c ON c.mood = mk.mood
+        JOIN urc u ON u.user_id = c.user_id AND u.rank <= 2 * mk.k
+        WHERE NOT EXISTS (SELECT 1 FROM mseed s WHERE s.mood = mk.mood AND s.seed_name = u.artist_name)
+        GROUP BY mk.mood, mk.k, u.artist_name)""",
+    o.topk_sql("fk", "mood, k", "k", "mrk"),
+    """mood_rows AS (SELECT q.request_id, q.type, q.mood, CAST(NULL AS VARCHAR) AS user_id, m.rank, m.artist_name,
+        m.score FROM ok q JOIN mrk m USING (mood, k) WHERE q.type = 'mood')""",
+    "elig AS (SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT user_id FROM uf))",
+    "eidx AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS ix FROM elig)",
+    """rr AS (SELECT q.request_id, q.type, q.mood, e.user_id, q.k FROM ok q JOIN eidx e
+        ON e.ix = CAST('0x' || substr(md5(concat(q.request_id, ':42')), 1, 8) AS BIGINT) % (SELECT count(*) FROM elig)
+        WHERE q.type = 'random')""",
+    """ureq AS (SELECT request_id, type, mood, user_id, k FROM ok WHERE type = 'user'
+        AND user_id IN (SELECT user_id FROM elig) UNION ALL SELECT * FROM rr)""",
+    "uu AS (SELECT DISTINCT user_id FROM ureq)",
+    o.unseen_scores_sql("uu", "scored_u"),
+    o.topk_sql("scored_u", "user_id", str(req_op.MAX_K), "uru"),
+    """user_rows AS (SELECT q.request_id, q.type, CAST(NULL AS VARCHAR) AS mood, q.user_id, u.rank, u.artist_name,
+        u.score FROM ureq q JOIN uru u ON u.user_id = q.user_id AND u.rank <= q.k)""",
+    "answered AS (SELECT * FROM mood_rows UNION ALL SELECT * FROM user_rows)",
+]
+DISPATCH_SQL = o.with_("factors", *_DISPATCH_CTES) + """
+SELECT request_id, type, mood, user_id, rank, artist_name, round(score, 6) AS score, CAST(NULL AS VARCHAR) AS error
+  FROM answered
+UNION ALL SELECT request_id, type, mood, user_id, NULL, NULL, NULL, error FROM v WHERE error IS NOT NULL
+UNION ALL SELECT request_id, type, mood, user_id, NULL, NULL, NULL, 'no recommendations for this request' FROM ok
+  WHERE request_id NOT IN (SELECT request_id FROM answered)"""
+
+
+@register("m15_dispatch_requests", DISPATCH_SQL)
+def m15(spark, sf):
+    r = req_op.dispatch(fx.recommend_requests(spark, sf), fx.moods(spark, sf), fx.artists(spark, sf),
+                        fx.train(spark, sf), fx.user_factors(spark, sf), fx.item_factors(spark, sf), CFG.seed,
+                        CFG.mood_users)
+    return r.select("request_id", "type", "mood", "user_id", "rank", "artist_name", _r6("score"), "error")
+
+
+@register("p10_validate_requests", o.with_("plays", *_DISPATCH_CTES[:2]) +
+          "SELECT request_id, type, mood, user_id, k, error FROM v")
+def p10(spark, sf):
+    return req_op.validate(fx.recommend_requests(spark, sf))
