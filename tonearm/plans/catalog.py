@@ -749,3 +749,169 @@ def m15(spark, sf):
           "SELECT request_id, type, mood, user_id, k, error FROM v")
 def p10(spark, sf):
     return req_op.validate(fx.recommend_requests(spark, sf))
+
+
+# ---------------------------------------------------------------- processed-data sinks and sources
+from tonearm.sources import io as io_src  # noqa: E402
+
+
+@register("s6_s2_interactions_csv_roundtrip", o.with_("split") +
+          f"SELECT {OUT}, confidence, preference FROM test")
+def s6(spark, sf):
+    """S6 write (CSV, partitioned by split) then S2 read of the test half (partition-pruned)."""
+    path = scratch_path(spark, "interactions-csv")
+    io_src.write_interactions(fx.flagged(spark, sf), path, fmt="csv")
+    back = io_src.read_interactions(spark, path, "test", fmt="csv")
+    return back.select(*OUT.split(", "), "confidence", "preference")
+
+
+@register("s6_s2_interactions_parquet_roundtrip", o.with_("split") +
+          f"SELECT {OUT}, confidence, preference FROM train")
+def s6p(spark, sf):
+    path = scratch_path(spark, "interactions")
+    io_src.write_interactions(fx.flagged(spark, sf), path)
+    return io_src.read_interactions(spark, path, "train").select(*OUT.split(", "), "confidence", "preference")
+
+
+@register("s8_s3_artist_map_json_roundtrip", o.with_("core", *o.dense_ids_sql()) + "SELECT * FROM amap")
+def s8(spark, sf):
+    path = scratch_path(spark, "artist-map")
+    _, am = _maps(spark, sf)
+    io_src.write_id_map(am, path)
+    return io_src.read_id_map(spark, path, "artist_name", "artist_idx")
+
+
+@register("s3_inverse_user_map", o.with_("core", *o.dense_ids_sql()) + "SELECT user_idx, user_id FROM umap")
+def s3(spark, sf):
+    """The inverse map is the same table keyed the other way (no second structure)."""
+    path = scratch_path(spark, "user-map")
+    um, _ = _maps(spark, sf)
+    io_src.write_id_map(um, path)
+    return io_src.read_id_map(spark, path, "user_id", "user_idx").select("user_idx", "user_id")
+
+
+@register("s7_s4_matrix_roundtrip", o.with_("split", *o.dense_ids_sql(), MATRIX_SQL) + "SELECT * FROM mat")
+def s7(spark, sf):
+    path = scratch_path(spark, "matrix")
+    io_src.write_matrix(_matrix(spark, sf), path)
+    return io_src.read_matrix(spark, path)
+
+
+@register("p5_weight_column", o.with_("split", *o.dense_ids_sql()) +
+          "SELECT user_idx, artist_idx, sum(CAST(preference AS DOUBLE)) AS value FROM train JOIN umap USING (user_id) "
+          "JOIN amap USING (artist_name) GROUP BY user_idx, artist_idx")
+def p5(spark, sf):
+    """P5: without a confidence column the matrix falls back to preference."""
+    um, am = _maps(spark, sf)
+    idx = matrix.indexed_interactions(fx.train(spark, sf).drop("confidence"), um, am)
+    return matrix.sparse_matrix(idx)
+
+
+# ---------------------------------------------------------------- pipelines
+from tonearm.plans import pipeline  # noqa: E402
+
+_STATS_SQL = o.with_("fl", *o.dense_ids_sql()) + f"""
+SELECT (SELECT count(*) FROM plays) AS original_rows,
+       (SELECT count(DISTINCT user_id) FROM plays) AS original_users,
+       (SELECT count(DISTINCT artist_name) FROM plays) AS original_artists,
+       (SELECT count(*) FROM plays) - (SELECT count(*) FROM p1) AS rows_dropped_missing,
+       (SELECT count(*) - count(DISTINCT (user_id, artist_name)) FROM p1) AS duplicates_removed,
+       (SELECT count(DISTINCT user_id) FROM core) AS users_after_filter,
+       (SELECT count(DISTINCT artist_name) FROM core) AS artists_after_filter,
+       (SELECT count(*) FROM core) AS rows_after_filter,
+       CASE WHEN (SELECT count(*) FROM ka1) = (SELECT count(*) FROM cl) THEN 1
+            WHEN (SELECT count(*) FROM ka2) = (SELECT count(*) FROM ka1) THEN 2
+            WHEN (SELECT count(*) FROM ka3) = (SELECT count(*) FROM ka2) THEN 3 ELSE 4 END AS kcore_rounds,
+       (SELECT count_if(NOT is_test) FROM fl) AS train_rows, (SELECT count_if(is_test) FROM fl) AS test_rows,
+       (SELECT count(*) FROM umap) AS n_users, (SELECT count(*) FROM amap) AS n_artists,
+       (SELECT count(*) FROM (SELECT DISTINCT user_id, artist_name FROM fl WHERE NOT is_test)) AS nnz,
+       round(1 - (SELECT count(*) FROM (SELECT DISTINCT user_id, artist_name FROM fl WHERE NOT is_test))
+             / ((SELECT count(*) FROM umap) * (SELECT count(*) FROM amap)), 6) AS sparsity"""
+
+
+@register("m13_preprocess_stats", _STATS_SQL)
+def m13(spark, sf):
+    out = pipeline.preprocess(fx.plays(spark, sf), CFG)
+    return out["stats"].select(*[c if c != "sparsity" else _r6(c) for c in out["stats"].columns])
+
+
+@register("s9_stats_json_roundtrip", _STATS_SQL)
+def s9(spark, sf):
+    out = pipeline.preprocess(fx.plays(spark, sf), CFG)
+    path = scratch_path(spark, "processed")
+    pipeline.save_processed(out, path)
+    back = io_src.read_stats(spark, f"{path}/stats", pipeline.STATS_SCHEMA)
+    return back.select(*[c if c != "sparsity" else _r6(c) for c in back.columns])
+
+
+def _pre(spark, sf):
+    """M13 outputs shared by the training keys."""
+    return fx._memo(spark, sf, "pre", lambda: pipeline.preprocess(fx.plays(spark, sf), CFG))
+
+
+# ALS keys run on the whole train matrix; rank and iterations are kept small so
+# the check stays quick (rows-only: factors are numeric, not SQL-checkable).
+ALS_TEST = dict(factors=10, iterations=5)
+
+
+@register("m1_als_fit")
+def m1(spark, sf):
+    from dataclasses import replace
+    from tonearm.operators import als
+    pre = _pre(spark, sf)
+    cfg = replace(CFG, **ALS_TEST)
+    model, _ = als.fit_als(pre["matrix"], cfg.factors, cfg.iterations, cfg.regularization, cfg.alpha, cfg.seed,
+                           blocks=4)
+    uf, itf = als.named_factors(model, pre["user_map"], pre["artist_map"])
+    return als.model_info(uf, itf)
+
+
+@register("s10_s5_model_roundtrip")
+def s10(spark, sf):
+    from dataclasses import replace
+    from tonearm.operators import als
+    pre = _pre(spark, sf)
+    cfg = replace(CFG, **ALS_TEST)
+    model, _ = als.fit_als(pre["matrix"], cfg.factors, cfg.iterations, cfg.regularization, cfg.alpha, cfg.seed,
+                           blocks=4)
+    path = scratch_path(spark, "als-model")
+    als.save_model(model, path)
+    return als.load_model(path).itemFactors
+
+
+@register("m14_train_pipeline")
+def m14(spark, sf):
+    from dataclasses import replace
+    row, _ = pipeline.train_and_evaluate(_pre(spark, sf), replace(CFG, **ALS_TEST), "train-pipeline")
+    return row
+
+
+@register("m11_sweep")
+def m11(spark, sf):
+    settings = [(8, 5, 0.01), (16, 5, 0.01)]
+    path = scratch_path(spark, "sweep-runs")
+    pipeline.sweep(_pre(spark, sf), settings, CFG, "sweep", path)
+    return runs_op.comparison_table(runs_op.read_runs(spark, path, "sweep"))
+
+
+@register("m3_recs_from_trained_factors")
+def m3t(spark, sf):
+    """M3 on factors fitted by M1 (rows-only: the factor values are numeric)."""
+    from dataclasses import replace
+    from tonearm.operators import als
+    pre = _pre(spark, sf)
+    cfg = replace(CFG, **ALS_TEST)
+    model, _ = als.fit_als(pre["matrix"], cfg.factors, cfg.iterations, cfg.regularization, cfg.alpha, cfg.seed,
+                           blocks=4)
+    uf, itf = als.named_factors(model, pre["user_map"], pre["artist_map"])
+    users = pre["test"].select("user_id").distinct()
+    return score.recommend_unseen(users, uf, itf, pre["train"], CFG.top_k)
+
+
+# ---------------------------------------------------------------- lookup errors
+@register("p8_unmatched_lookups", o.with_("factors", o.mood_fixture_sql()) +
+          "SELECT DISTINCT seed AS query FROM mseeds WHERE trim(lower(seed)) NOT IN (SELECT artist_name FROM itf)")
+def p8(spark, sf):
+    """P8 batch form: lookups that name no known artist (the facade raises ValueError on these)."""
+    q = fx.moods(spark, sf).select(F.explode("seed_artists").alias("query")).distinct()
+    return score.unmatched_queries(q, fx.item_factors(spark, sf))
