@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters Python's str.strip() removes (str.isspace()).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+                 "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # (?U) makes \s and the classes Unicode-aware in Java regex; plain \w would be
 # ASCII and delete letters such as "ó".
-_STRIP = r"(?U)^\s+|\s+$"
 _NOT_WORDISH = r"(?U)[^\p{L}\p{N}_\s\-']"
 _SPACE_RUN = r"(?U)\s+"
 
@@ -22,7 +24,7 @@ def clean_name(c) -> Column:
     There is deliberately no second strip: "! foo" becomes " foo" and an
     all-punctuation name becomes "" (kept, not null).
     """
-    x = F.regexp_replace(F.lower(_c(c)), _STRIP, "")
+    x = F.btrim(F.lower(_c(c)), F.lit(PY_WHITESPACE))
     x = F.regexp_replace(x, _NOT_WORDISH, "")
     return F.regexp_replace(x, _SPACE_RUN, " ")
 
@@ -31,7 +33,7 @@ def query_key(c, clean: bool = False) -> Column:
     """The lookup normalisation of a query string (lower + strip only)."""
     if clean:
         return clean_name(c)
-    return F.regexp_replace(F.lower(_c(c)), _STRIP, "")
+    return F.btrim(F.lower(_c(c)), F.lit(PY_WHITESPACE))
 
 
 def short_user_id(c) -> Column:

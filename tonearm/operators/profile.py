@@ -13,6 +13,19 @@ def table_counts(df: DataFrame, user_col: str = "user_id", item_col: str = "arti
                   F.countDistinct(item_col).alias("n_artists"))
 
 
+def raw_profile(df: DataFrame, user_col: str = "user_id", item_col: str = "artist_name") -> DataFrame:
+    """A1 + A2 + A3 of the raw scan in one pass: rows, distinct users / artists,
+    rows without a name, and duplicate (user, name) rows among the named ones."""
+    named = F.col(item_col).isNotNull()
+    return df.agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct(user_col).alias("n_users"),
+        F.countDistinct(item_col).alias("n_artists"),
+        F.count_if(~named).alias("n_missing_names"),
+        (F.count_if(named) - F.countDistinct(F.when(named, F.to_json(F.struct(user_col, item_col)))))
+        .alias("n_duplicates"))
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """A2: nulls per column, one row."""
     return df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(f"null_{c}") for c in df.columns])

@@ -15,10 +15,12 @@ def holdout_flag(df: DataFrame, test_size: float = 0.2, seed: int = 42, user_col
 
     Skew: a single user may own a large share of all rows, so we never sort a
     whole user in one task.  The first ``digits`` hex digits of the hash cut each
-    user into up to 16**digits cells; rows are numbered inside a cell (one
-    shuffle on (user, cell)), cell sizes are prefix-summed per user over the
-    small cell table, and a row's rank in its user is the rows in earlier cells
-    plus its number in the cell.
+    user into up to 16**digits cells.  Cell sizes come from a narrow partial
+    aggregation and are prefix-summed per user over that small cell table; the
+    rows then meet their cell's offset in a join on (user, cell) and are numbered
+    inside the cell on the join's own partitioning.  A row's rank in its user is
+    the rows in earlier cells plus its number in the cell, and the full rows are
+    shuffled once.
     """
     h = F.md5(F.concat_ws(":", F.col(user_col), F.col(item_col), F.lit(str(seed))))
     keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
@@ -29,19 +31,17 @@ def holdout_flag(df: DataFrame, test_size: float = 0.2, seed: int = 42, user_col
         order.append(F.asc_nulls_last("artist_mbid"))
     if "raw_name" in df.columns:
         order.append(F.asc_nulls_last("raw_name"))
-    ranked = keyed.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(user_col, "_b").orderBy(*order)))
-    # Same (user, cell) partitioning as ``ranked``: no extra shuffle of the rows.
-    cells = ranked.groupBy(user_col, "_b").agg(F.max("_rn").alias("_c"))
+    cells = keyed.groupBy(user_col, "_b").agg(F.count("*").alias("_c"))
     before = Window.partitionBy(user_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(
         user_col, "_b",
         F.sum("_c").over(Window.partitionBy(user_col)).alias("_n"),
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
     n_test = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(float(test_size))))
-    return (ranked.join(cells, [user_col, "_b"])
-            .withColumn("is_test", (F.col("_before") + F.col("_rn")) <= n_test)
-            .drop("_h", "_b", "_rn", "_n", "_before"))
+    rn = F.row_number().over(Window.partitionBy(user_col, "_b").orderBy(*order))
+    return (keyed.join(cells, [user_col, "_b"])
+            .withColumn("is_test", (F.col("_before") + rn) <= n_test)
+            .drop("_h", "_b", "_n", "_before"))
 
 
 def train_part(flagged: DataFrame) -> DataFrame:

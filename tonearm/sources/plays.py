@@ -52,7 +52,10 @@ def plays_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    j = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    # lineitem x orders is fact-to-fact: at scale neither side fits a broadcast,
+    # so it is planned as the sort-merge join it has to be (it also spreads the
+    # single-file test tables over all cores).  part is left to AQE.
+    j = li.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey"))
     pk = F.col("l_partkey").cast("string")
     name = (F.when((F.col("l_partkey") % 97 == 0) & (F.col("l_linenumber") == 1), F.lit(None))
