@@ -26,6 +26,26 @@ from tonearm.functions import vectors
 from tonearm.functions.names import query_key, short_user_id
 
 
+_BROADCASTS: dict = {}
+
+
+def clear_catalog_cache() -> None:
+    """Drop the broadcast catalog chunks kept for repeated scoring of one catalog."""
+    for chunks in _BROADCASTS.values():
+        for bc in chunks:
+            bc.unpersist()
+    _BROADCASTS.clear()
+
+
+def _broadcast_catalog(items: DataFrame, key: str, feat: str, max_bytes: int) -> list:
+    """Broadcast chunks of a catalog, built once per (plan, key, bound) in this application."""
+    sc = items.sparkSession.sparkContext
+    cache_key = (sc.applicationId, items.semanticHash(), key, feat, max_bytes)
+    if cache_key not in _BROADCASTS:
+        _BROADCASTS[cache_key] = [sc.broadcast(c) for c in _catalog_chunks(items, key, feat, max_bytes)]
+    return _BROADCASTS[cache_key]
+
+
 def _catalog_chunks(items: DataFrame, key: str, feat: str, max_bytes: int):
     """Yield (keys, matrix) chunks of the catalog, each within ``max_bytes``."""
     n, dim = items.agg(F.count("*"), F.max(F.size(feat))).first()
@@ -72,10 +92,14 @@ def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key
     itype = items.schema[item_key_col].dataType
     schema = T.StructType([T.StructField(query_key_col, qtype), T.StructField(item_key_col, itype),
                            T.StructField("score", T.DoubleType())])
-    q = queries.select(query_key_col, F.col(feat).cast("array<double>").alias(feat), fetch_col)
+    # Each query row costs O(catalog) numpy work but only a few hundred bytes, so
+    # byte-based AQE coalescing would squeeze the scoring into one task: spread
+    # the (narrow) query table by key over the cluster's cores instead.
+    n_tasks = max(1, spark.sparkContext.defaultParallelism) * 2
+    q = (queries.select(query_key_col, F.col(feat).cast("array<double>").alias(feat), fetch_col)
+         .repartition(n_tasks, query_key_col))
     parts = []
-    for keys, mat in _catalog_chunks(items, item_key_col, feat, max_bytes):
-        bc = spark.sparkContext.broadcast((keys, mat))
+    for bc in _broadcast_catalog(items, item_key_col, feat, max_bytes):
 
         def score_batches(batches, bc=bc):
             ikeys, imat = bc.value
@@ -119,18 +143,25 @@ def rank_within(df: DataFrame, part_cols: list[str], k, score_col: str = "score"
 
 def recommend_unseen(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
                      train: DataFrame, k=10, user_col: str = "user_id", item_col: str = "artist_name",
-                     max_bytes: int = 256 << 20) -> DataFrame:
+                     max_bytes: int = 256 << 20, few_users: bool = True) -> DataFrame:
     """M3 for a table of users: top-k unseen items (J5 -> J4 -> W4).
 
     Over-fetch: a user's top ``k + n_seen`` items always contain the top ``k``
     unseen ones, so the exact answer is the over-fetched candidates minus the
     user's train items (left-anti join on (user, item), a balanced key), ranked.
     ``k`` may be an int or a column of ``users`` (per-request k).
-    Users without a factor vector drop out (P7).
+    Users without a factor vector drop out (P7).  ``few_users`` (the default)
+    first narrows train to the requested users; pass False when scoring
+    (nearly) every user, where that extra semi join would only add a shuffle.
     """
-    seen = train.groupBy(user_col).agg(F.countDistinct(item_col).alias("_n_seen"))
     kcol = F.col(k) if isinstance(k, str) else F.lit(int(k))
     req = users.select(user_col, kcol.alias("_k")).groupBy(user_col).agg(F.max("_k").alias("_k"))
+    # Only the requested users' train rows matter: the semi join is a broadcast
+    # filter on the train scan when few users are asked for (AQE measures it).
+    train = train.select(user_col, item_col)
+    if few_users:
+        train = train.join(req.select(user_col), user_col, "left_semi")
+    seen = train.groupBy(user_col).agg(F.countDistinct(item_col).alias("_n_seen"))
     req = (req.join(user_factors.select(user_col, "features"), user_col)
            .join(seen, user_col, "left")
            .withColumn("_fetch", F.col("_k") + F.coalesce(F.col("_n_seen"), F.lit(0))))

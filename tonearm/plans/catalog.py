@@ -272,7 +272,7 @@ REC_USERS = "ru AS (SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT
 def m3(spark, sf):
     users = fx.train(spark, sf).select("user_id").distinct()
     r = score.recommend_unseen(users, fx.user_factors(spark, sf), fx.item_factors(spark, sf),
-                               fx.train(spark, sf), CFG.top_k)
+                               fx.train(spark, sf), CFG.top_k, few_users=False)
     return r.select("user_id", "artist_name", _r6("score"), "rank")
 
 
@@ -287,7 +287,8 @@ def j4(spark, sf):
     tr = fx.train(spark, sf)
     users = tr.select("user_id").distinct()
     n_items = fx.item_factors(spark, sf).count()
-    r = score.recommend_unseen(users, fx.user_factors(spark, sf), fx.item_factors(spark, sf), tr, n_items)
+    r = score.recommend_unseen(users, fx.user_factors(spark, sf), fx.item_factors(spark, sf), tr, n_items,
+                               few_users=False)
     return r.agg(F.count("*").alias("n_pairs"), F.round(F.sum("score"), 3).alias("score_sum"))
 
 

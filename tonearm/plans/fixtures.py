@@ -69,14 +69,14 @@ def test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The artist catalog = distinct cleaned names of the processed interactions."""
-    return core(spark, sf_dir).select("artist_name").distinct()
+    return _memo(spark, sf_dir, "artists", lambda: core(spark, sf_dir).select("artist_name").distinct().persist())
 
 
 def user_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User factor of customer ``vec_id``."""
-    return table(spark, sf_dir, "embeddings").select(
+    """User factor of customer ``vec_id`` (a model artifact: loaded once, kept cached)."""
+    return _memo(spark, sf_dir, "uf", lambda: table(spark, sf_dir, "embeddings").select(
         F.concat(F.lit("u"), F.col("vec_id").cast("string")).alias("user_id"),
-        F.col("embedding").alias("features"))
+        F.col("embedding").alias("features")).persist())
 
 
 def part_artist_name(name_col="p_name", key_col="p_partkey"):
@@ -85,12 +85,14 @@ def part_artist_name(name_col="p_name", key_col="p_partkey"):
 
 
 def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item factor of part ``vec_id``, restricted to the artist catalog."""
-    emb = table(spark, sf_dir, "embeddings")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    named = emb.join(part, F.col("vec_id") == F.col("p_partkey")).select(
-        part_artist_name().alias("artist_name"), F.col("embedding").alias("features"))
-    return named.join(artists(spark, sf_dir), "artist_name", "left_semi")
+    """Item factor of part ``vec_id``, restricted to the artist catalog (loaded once, cached)."""
+    def build():
+        emb = table(spark, sf_dir, "embeddings")
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+        named = emb.join(part, F.col("vec_id") == F.col("p_partkey")).select(
+            part_artist_name().alias("artist_name"), F.col("embedding").alias("features"))
+        return named.join(artists(spark, sf_dir), "artist_name", "left_semi").persist()
+    return _memo(spark, sf_dir, "itf", build)
 
 
 # Test moods: the reference's twelve mood keys with seeds taken from the parts
@@ -116,6 +118,11 @@ def mood_fixture_rows() -> list[tuple]:
 
 
 def moods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test mood dimension (12 rows), built once and kept cached."""
+    return _memo(spark, sf_dir, "moods", lambda: _moods(spark, sf_dir).persist())
+
+
+def _moods(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType([T.StructField("mood", T.StringType()), T.StructField("name", T.StringType()),
                            T.StructField("description", T.StringType()), T.StructField("pos", T.IntegerType()),
                            T.StructField("partkey", T.LongType()), T.StructField("literal", T.StringType())])
