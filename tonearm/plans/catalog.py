@@ -568,9 +568,10 @@ for _name, _sql in R_SQL.items():
     register(_name + "_stream", _sql)(_stream_metric(_name))
 
 
-@register("r2_latency_histogram_long")
+@register("r2_latency_histogram_long", LOG + f"SELECT method, endpoint, le, bucket_count, round(duration_sum, 6) AS duration_sum, requests FROM (SELECT method, endpoint, {_BUCKET_SQL}, count(*) AS le_inf, sum(duration) AS duration_sum, count(*) AS requests FROM log GROUP BY ALL) UNPIVOT (bucket_count FOR le IN (" + ", ".join(f"le_{str(b).replace('.', '_')} AS '{b}'" for b in monitor.LATENCY_BUCKETS) + ", le_inf AS 'inf'))")
 def r2l(spark, sf):
-    return monitor.histogram_long(monitor.latency_histogram(fx.request_log(spark, sf)))
+    return _finish(monitor.histogram_long(monitor.latency_histogram(fx.request_log(spark, sf))), None,
+                   ["duration_sum"])
 
 
 # ---------------------------------------------------------------- runs and the comparison report
@@ -916,3 +917,113 @@ def p8(spark, sf):
     """P8 batch form: lookups that name no known artist (the facade raises ValueError on these)."""
     q = fx.moods(spark, sf).select(F.explode("seed_artists").alias("query")).distinct()
     return score.unmatched_queries(q, fx.item_factors(spark, sf))
+
+
+# ---------------------------------------------------------------- single operators out of the composites
+@register("j5_user_item_scores", o.with_("factors", REC_USERS,
+                                         "pick AS (SELECT user_id FROM ru ORDER BY md5(concat(user_id, ':42')), user_id LIMIT 5)")
+          + "SELECT p.user_id, i.artist_name, round(list_dot_product(f.features, i.features), 6) AS score "
+            "FROM pick p JOIN uf f USING (user_id) CROSS JOIN itf i")
+def j5(spark, sf):
+    """Every catalog item scored for five sampled users (fetch = catalog size, no pair rows beyond that)."""
+    tr = fx.train(spark, sf)
+    itf = fx.item_factors(spark, sf)
+    who = ids.sample_users(tr.join(fx.user_factors(spark, sf).select("user_id"), "user_id", "left_semi"), 5, CFG.seed)
+    q = who.join(fx.user_factors(spark, sf), "user_id").withColumn("_fetch", F.lit(itf.count()))
+    return score.top_items(q, itf, "user_id", "artist_name").select("user_id", "artist_name", _r6("score"))
+
+
+@register("j6_similar_to_top_artist", o.with_("factors", """stats AS (SELECT artist_name, sum(play_count) AS plays
+     FROM train WHERE artist_name IN (SELECT artist_name FROM itf) GROUP BY artist_name)""", "q AS (SELECT artist_name FROM stats ORDER BY plays DESC, artist_name LIMIT 1)",
+                                              """un AS (SELECT artist_name, features,
+     sqrt(list_dot_product(features, features)) AS nrm FROM itf)""",
+                                              """sims AS (SELECT a.artist_name, b.artist_name AS similar_artist,
+     CASE WHEN a.nrm = 0 OR b.nrm = 0 THEN 0.0 ELSE list_dot_product(a.features, b.features) / (a.nrm * b.nrm) END
+       AS similarity FROM un a JOIN q USING (artist_name), un b WHERE a.artist_name <> b.artist_name)""",
+                                              o.topk_sql("sims", "artist_name", str(CFG.top_k), "top",
+                                                         key="similar_artist", score="similarity")) +
+          "SELECT artist_name AS query, artist_name, similar_artist, round(similarity, 6) AS similarity, rank FROM top")
+def j6(spark, sf):
+    """One query vector (the most played scorable artist) against the whole catalog, self excluded."""
+    itf = fx.item_factors(spark, sf)
+    scorable = fx.train(spark, sf).join(itf.select("artist_name"), "artist_name", "left_semi")
+    q = charts.top_charts(scorable, 1).select(F.col("artist_name").alias("query"))
+    r = score.similar_items(q, itf, CFG.top_k)
+    return r.select("query", "artist_name", "similar_artist", _r6("similarity"), "rank")
+
+
+@register("j7_seed_listeners", o.with_("factors", *_mood_ctes()) +
+          "SELECT DISTINCT f.mood, f.seed_name, t.user_id FROM found f JOIN train t ON t.artist_name = f.seed_name")
+def j7(spark, sf):
+    """Seeds joined to the train interactions that listen to them."""
+    seeds = mood._seeds(fx.moods(spark, sf), True)
+    return (fx.train(spark, sf).select("user_id", F.col("artist_name").alias("seed_name"))
+            .join(seeds.select("mood", "seed_name"), "seed_name").select("mood", "seed_name", "user_id").distinct())
+
+
+_CAND_SQL = o.with_("factors", *_mood_ctes(), "cu AS (SELECT DISTINCT user_id FROM chosen)",
+                    o.unseen_scores_sql("cu"), o.topk_sql("scored", "user_id", str(2 * MOOD_K), "urecs"),
+                    f"""cand AS (SELECT c.mood, CAST({MOOD_K} AS INTEGER) AS k, u.user_id, u.artist_name, u.score
+                        FROM chosen c JOIN urecs u USING (user_id) WHERE NOT EXISTS
+                        (SELECT 1 FROM mseed s WHERE s.mood = c.mood AND s.seed_name = u.artist_name))""")
+
+
+def _mood_per_user(spark, sf):
+    moods = fx.moods(spark, sf)
+    chosen = mood.mood_listeners(moods, fx.artists(spark, sf), fx.train(spark, sf), fx.user_factors(spark, sf),
+                                 CFG.mood_users)
+    return moods, chosen.select("mood", F.lit(MOOD_K).alias("k"), "user_id")
+
+
+@register("j8_mood_candidates", _CAND_SQL + "SELECT mood, k, user_id, artist_name, round(score, 6) AS score FROM cand")
+def j8(spark, sf):
+    """Each listener's 2k unseen artists with every seed of the mood removed."""
+    moods, per_user = _mood_per_user(spark, sf)
+    c = mood.mood_candidates(per_user, moods, fx.train(spark, sf), fx.user_factors(spark, sf),
+                             fx.item_factors(spark, sf))
+    return c.select("mood", "k", "user_id", "artist_name", _r6("score"))
+
+
+@register("a13_fused_scores", _CAND_SQL + "SELECT mood, k, artist_name, round(sum(score), 6) AS score FROM cand "
+          "GROUP BY mood, k, artist_name")
+def a13(spark, sf):
+    moods, per_user = _mood_per_user(spark, sf)
+    c = mood.mood_candidates(per_user, moods, fx.train(spark, sf), fx.user_factors(spark, sf),
+                             fx.item_factors(spark, sf))
+    return mood.fuse_scores(c).select("mood", "k", "artist_name", _r6("score"))
+
+
+@register("j9_hit_join", EVAL_SQL + "SELECT r.user_id, r.artist_name, r.rank, "
+          "CASE WHEN l.user_id IS NULL THEN 0 ELSE 1 END AS hit FROM recs r LEFT JOIN rel l USING (user_id, artist_name)")
+def j9(spark, sf):
+    uf = fx.user_factors(spark, sf)
+    tu = fx.test(spark, sf).select("user_id").distinct().join(uf.select("user_id"), "user_id", "left_semi")
+    recs = score.recommend_unseen(tu, uf, fx.item_factors(spark, sf), fx.train(spark, sf), K, few_users=False)
+    return metrics.hit_join(recs, fx.test(spark, sf), K).select("user_id", "artist_name", "rank", "hit")
+
+
+@register("a14_a16_per_user_metrics", EVAL_SQL + "SELECT user_id, n_rel, CAST(h AS BIGINT) AS hits, "
+          "round(ap, 6) AS ap_sum, round(dcg, 6) AS dcg FROM per")
+def a14(spark, sf):
+    uf = fx.user_factors(spark, sf)
+    tu = fx.test(spark, sf).select("user_id").distinct().join(uf.select("user_id"), "user_id", "left_semi")
+    recs = score.recommend_unseen(tu, uf, fx.item_factors(spark, sf), fx.train(spark, sf), K, few_users=False)
+    rel = fx.test(spark, sf).join(tu, "user_id", "left_semi")
+    r = metrics.per_user_metrics(recs, rel, K)
+    return r.select("user_id", "n_rel", F.col("hits").cast("long").alias("hits"), _r6("ap_sum"), _r6("dcg"))
+
+
+@register("j10_profile_moods", o.with_("plays", o.mood_fixture_sql()) + ", prof(profile, mood) AS (VALUES " +
+          ", ".join(f"('{p[0]}', '{p[3]}')" for p in moods_src.TWIN_PROFILES) +
+          ") SELECT profile, mood, name AS mood_name, seed_artists FROM prof JOIN moods USING (mood)")
+def j10(spark, sf):
+    return mood.profile_moods(moods_src.twin_profiles(spark), fx.moods(spark, sf)).select(
+        "profile", "mood", "mood_name", "seed_artists")
+
+
+@register("p7_unscorable_users", o.with_("split") +
+          "SELECT DISTINCT user_id FROM train WHERE user_id NOT IN (SELECT concat('u', vec_id) FROM embeddings)")
+def p7(spark, sf):
+    """Users the factor tables cannot score (they silently drop out of recommendations)."""
+    return (fx.train(spark, sf).select("user_id").distinct()
+            .join(fx.user_factors(spark, sf).select("user_id"), "user_id", "left_anti"))

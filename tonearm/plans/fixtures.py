@@ -128,7 +128,9 @@ def _moods(spark: SparkSession, sf_dir: str) -> DataFrame:
                            T.StructField("partkey", T.LongType()), T.StructField("literal", T.StringType())])
     spec = spark.createDataFrame(mood_fixture_rows(), schema)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    seeded = spec.join(F.broadcast(part), F.col("partkey") == F.col("p_partkey"), "left").select(
+    # The spec has a fixed size (about 60 rows); part grows with the data, so the
+    # spec is the broadcast side of this lookup.
+    seeded = part.join(F.broadcast(spec), F.col("partkey") == F.col("p_partkey"), "right").select(
         "mood", "name", "description", "pos",
         F.coalesce(F.col("literal"),
                    F.concat(F.col("p_name"), F.lit(" no"), F.col("p_partkey").cast("string"))).alias("seed"))
