@@ -13,6 +13,39 @@ def drop_missing_names(df: DataFrame) -> DataFrame:
     return df.where(F.col("artist_name").isNotNull())
 
 
+def group_plays(df: DataFrame, order_col: str | None = None) -> DataFrame:
+    """A4 over *all* rows, nulls included, with the row count ``n`` per group.
+
+    One partial aggregation of the raw scan that serves both the dedup (filter
+    out null users / names) and the raw-scan statistics (:func:`grouped_profile`),
+    so the raw data is read once.
+    """
+    mbid = F.col("artist_mbid")
+    if order_col and order_col in df.columns:
+        first_mbid = F.min_by(mbid, F.when(mbid.isNotNull(), F.col(order_col)))
+    else:
+        first_mbid = F.min(mbid)
+    return df.groupBy("user_id", "artist_name").agg(
+        first_mbid.alias("artist_mbid"), F.sum("play_count").alias("play_count"), F.count("*").alias("n"))
+
+
+def dedup_from_groups(groups: DataFrame) -> DataFrame:
+    """P1 + A4 from :func:`group_plays` output."""
+    return (groups.where(F.col("user_id").isNotNull() & F.col("artist_name").isNotNull())
+            .select("user_id", "artist_name", "artist_mbid", "play_count"))
+
+
+def grouped_profile(groups: DataFrame) -> DataFrame:
+    """A1-A3 of the raw scan computed from :func:`group_plays` output."""
+    named = F.col("artist_name").isNotNull()
+    return groups.agg(
+        F.sum("n").alias("n_rows"),
+        F.countDistinct("user_id").alias("n_users"),
+        F.countDistinct("artist_name").alias("n_artists"),
+        F.coalesce(F.sum(F.when(~named, F.col("n"))), F.lit(0)).alias("n_missing_names"),
+        F.coalesce(F.sum(F.when(named, F.col("n") - 1)), F.lit(0)).alias("n_duplicates"))
+
+
 def dedup_plays(df: DataFrame, order_col: str | None = None) -> DataFrame:
     """A4: one row per (user, raw artist name): first non-null mbid, summed plays.
 

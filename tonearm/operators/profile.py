@@ -74,6 +74,8 @@ def split_shares(flagged: DataFrame) -> DataFrame:
     """A10 for the split: train / test row counts and percentages."""
     return flagged.agg(
         F.count("*").alias("n_rows"),
+        F.countDistinct("user_id").alias("n_users"),
+        F.countDistinct("artist_name").alias("n_artists"),
         F.count_if(~F.col("is_test")).alias("train_rows"),
         F.count_if(F.col("is_test")).alias("test_rows"),
         F.countDistinct(F.when(~F.col("is_test"), F.col("user_id"))).alias("train_users"),

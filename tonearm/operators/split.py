@@ -17,8 +17,8 @@ def holdout_flag(df: DataFrame, test_size: float = 0.2, seed: int = 42, user_col
     whole user in one task.  The first ``digits`` hex digits of the hash cut each
     user into up to 16**digits cells.  Cell sizes come from a narrow partial
     aggregation and are prefix-summed per user over that small cell table; the
-    rows then meet their cell's offset in a join on (user, cell) and are numbered
-    inside the cell on the join's own partitioning.  A row's rank in its user is
+    rows are numbered inside their cell and then meet the cell's offset in a
+    join on (user, cell) that reuses that partitioning.  A row's rank in its user is
     the rows in earlier cells plus its number in the cell, and the full rows are
     shuffled once.
     """
@@ -38,10 +38,13 @@ def holdout_flag(df: DataFrame, test_size: float = 0.2, seed: int = 42, user_col
         F.sum("_c").over(Window.partitionBy(user_col)).alias("_n"),
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
     n_test = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(float(test_size))))
-    rn = F.row_number().over(Window.partitionBy(user_col, "_b").orderBy(*order))
-    return (keyed.join(cells, [user_col, "_b"])
-            .withColumn("is_test", (F.col("_before") + rn) <= n_test)
-            .drop("_h", "_b", "_n", "_before"))
+    # Numbering first leaves the rows partitioned by (user, cell) and sorted with
+    # that prefix, which is exactly what the sort-merge join needs: the full rows
+    # are shuffled and sorted once; only the narrow cell table moves for the join.
+    ranked = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy(user_col, "_b").orderBy(*order)))
+    return (ranked.join(cells, [user_col, "_b"])
+            .withColumn("is_test", (F.col("_before") + F.col("_rn")) <= n_test)
+            .drop("_h", "_b", "_rn", "_n", "_before"))
 
 
 def train_part(flagged: DataFrame) -> DataFrame:

@@ -143,7 +143,8 @@ def u2(spark, sf):
     return split.split_union(fx.train(spark, sf).select(*cols), fx.test(spark, sf).select(*cols))
 
 
-@register("a10_split_shares", o.with_("fl") + """SELECT count(*) AS n_rows, count_if(NOT is_test) AS train_rows,
+@register("a10_split_shares", o.with_("fl") + """SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
+  count(DISTINCT artist_name) AS n_artists, count_if(NOT is_test) AS train_rows,
   count_if(is_test) AS test_rows, count(DISTINCT CASE WHEN NOT is_test THEN user_id END) AS train_users,
   count(DISTINCT CASE WHEN is_test THEN user_id END) AS test_users,
   round(100.0 * count_if(NOT is_test) / count(*), 6) AS pct_train,
