@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonearm.session import checkpoint_dir
+from tonearm.session import checkpoint_dir, materialize
 
 
 def kcore_round(df: DataFrame, min_user: int, min_artist: int, user_col: str = "user_id",
@@ -28,16 +28,17 @@ def kcore_filter(df: DataFrame, min_user: int = 5, min_artist: int = 3, user_col
     """Repeat :func:`kcore_round` until the row count stops changing.
 
     The fixpoint is unique, so the result does not depend on the execution
-    order.  Each round is cut from its lineage with a reliable ``checkpoint()``
+    order.  Each round is cut from its lineage by writing it as a parquet table
     into the session's shared checkpoint folder, so a lost executor replays one
-    round, not all of them.  Returns the filtered frame and per-round counts.
+    round, not all of them, and the next round's counts read only the two key
+    columns.  Returns the filtered frame and per-round counts.
     """
     checkpoint_dir(df.sparkSession)
-    cur = df.checkpoint()
+    cur = materialize(df, "kcore-0")
     rows_before = cur.count()
     history = [{"round": 0, "rows": rows_before}]
     for rnd in range(1, max_rounds + 1):
-        nxt = kcore_round(cur, min_user, min_artist, user_col, item_col).checkpoint()
+        nxt = materialize(kcore_round(cur, min_user, min_artist, user_col, item_col), f"kcore-{rnd}")
         rows_after = nxt.count()
         history.append({"round": rnd, "rows": rows_after})
         cur = nxt

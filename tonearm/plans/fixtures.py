@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tonearm.config import Config
 from tonearm.functions.names import clean_name
 from tonearm.operators import clean, kcore, split
+from tonearm.session import materialize
 from tonearm.sources.moods import MOOD_PROFILES
 from tonearm.sources.plays import plays_from_tables
 
@@ -54,9 +55,10 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 flags, checkpointed (train and test are both read many times)."""
-    return _memo(spark, sf_dir, "flagged", lambda: split.holdout_flag(
-        interactions(spark, sf_dir), CFG.test_size, CFG.seed, digits=CFG.split_bucket_digits).checkpoint())
+    """W1 flags, written partitioned by ``is_test`` (train / test reads prune the other half)."""
+    return _memo(spark, sf_dir, "flagged", lambda: materialize(split.holdout_flag(
+        interactions(spark, sf_dir), CFG.test_size, CFG.seed, digits=CFG.split_bucket_digits),
+        "split", partition_by=["is_test"]))
 
 
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df, name: str, partition_by: list[str] | None = None):
+    """Cut lineage by writing a parquet table in the shared checkpoint folder.
+
+    Unlike an RDD checkpoint, the read-back table is a file scan: later readers
+    prune columns, push filters and (with ``partition_by``) skip partitions, and
+    AQE sees real sizes.  Survives executor loss (the files are on shared storage).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    # The written schema is passed back so partition columns keep their types
+    # (directory values alone would make a boolean a string).
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tonearm-{name}-{uuid.uuid4().hex}"
