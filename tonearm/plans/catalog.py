@@ -46,9 +46,7 @@ def s1(spark: SparkSession, sf: str) -> DataFrame:
     (fx.plays(spark, sf).write.mode("overwrite").option("sep", "\t").option("header", "false")
      .option("quote", "\u0000").option("escapeQuotes", "false")
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
-    df = (spark.read.option("sep", "\t").option("quote", "").option("ignoreLeadingWhiteSpace", "false")
-          .option("ignoreTrailingWhiteSpace", "false").schema(read_plays_tsv.__globals__["PLAYS_SCHEMA"]).csv(path))
-    return df
+    return read_plays_tsv(spark, path, with_order=False)
 
 
 @register("p1_drop_missing_names", o.with_("p1") + "SELECT * FROM p1")
