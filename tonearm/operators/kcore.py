@@ -23,28 +23,43 @@ def kcore_round(df: DataFrame, min_user: int, min_artist: int, user_col: str = "
     return step.join(items, item_col, "left_semi")
 
 
+def is_core(df: DataFrame, min_user: int, min_artist: int, user_col: str = "user_id",
+            item_col: str = "artist_name") -> bool:
+    """True when no user has < min_user rows and no artist < min_artist rows.
+
+    Two aggregations over the key columns only; a round on such a table would
+    remove nothing, so it is the fixpoint.
+    """
+    low_users = df.groupBy(user_col).count().where(F.col("count") < min_user)
+    if not low_users.isEmpty():
+        return False
+    return df.groupBy(item_col).count().where(F.col("count") < min_artist).isEmpty()
+
+
 def kcore_filter(df: DataFrame, min_user: int = 5, min_artist: int = 3, user_col: str = "user_id",
                  item_col: str = "artist_name", max_rounds: int = 50) -> tuple[DataFrame, list[dict]]:
-    """Repeat :func:`kcore_round` until the row count stops changing.
+    """Repeat :func:`kcore_round` until a round would remove nothing.
 
     The fixpoint is unique, so the result does not depend on the execution
     order.  Each round is cut from its lineage by writing it as a parquet table
     into the session's shared checkpoint folder, so a lost executor replays one
-    round, not all of them, and the next round's counts read only the two key
-    columns.  Returns the filtered frame and per-round counts.
+    round, not all of them, and the convergence test reads only the two key
+    columns.  Convergence is tested on the current table (:func:`is_core`) instead
+    of writing an identical last round.  Returns the filtered frame and per-round
+    row counts; the last entry is the confirming round that removes nothing, as
+    in the reference's loop.
     """
     checkpoint_dir(df.sparkSession)
     cur = materialize(df, "kcore-0")
-    rows_before = cur.count()
-    history = [{"round": 0, "rows": rows_before}]
+    rows = cur.count()
+    history = [{"round": 0, "rows": rows}]
     for rnd in range(1, max_rounds + 1):
-        nxt = materialize(kcore_round(cur, min_user, min_artist, user_col, item_col), f"kcore-{rnd}")
-        rows_after = nxt.count()
-        history.append({"round": rnd, "rows": rows_after})
-        cur = nxt
-        if rows_after == rows_before:
+        if is_core(cur, min_user, min_artist, user_col, item_col):
+            history.append({"round": rnd, "rows": rows})
             return cur, history
-        rows_before = rows_after
+        cur = materialize(kcore_round(cur, min_user, min_artist, user_col, item_col), f"kcore-{rnd}")
+        rows = cur.count()
+        history.append({"round": rnd, "rows": rows})
     raise RuntimeError(f"k-core did not converge in {max_rounds} rounds")
 
 
