@@ -81,11 +81,13 @@ def _top_fetch(scores: np.ndarray, fetch: int) -> np.ndarray:
 
 def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str,
               fetch_col: str = "_fetch", feat: str = "features", max_bytes: int = 256 << 20,
-              batch_rows: int = 1024) -> DataFrame:
+              batch_rows: int = 1024, score_block_bytes: int = 64 << 20, out_rows: int = 1 << 20) -> DataFrame:
     """For each query row (key, features, fetch) the ``fetch`` best items by dot product.
 
     Returns (query key, item key, score double).  Scores are computed in double
-    precision from the stored vectors.
+    precision from the stored vectors.  A task holds one catalog chunk plus one
+    score block of at most ``score_block_bytes`` (rows per block shrink as the
+    chunk grows).
     """
     spark = queries.sparkSession
     qtype = queries.schema[query_key_col].dataType
@@ -104,9 +106,10 @@ def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key
         def score_batches(batches, bc=bc):
             ikeys, imat = bc.value
             imat_t = imat.T
+            rows = max(1, min(batch_rows, score_block_bytes // max(1, 8 * len(ikeys))))
             for pdf in batches:
-                for start in range(0, len(pdf), batch_rows):
-                    chunk = pdf.iloc[start:start + batch_rows]
+                for start in range(0, len(pdf), rows):
+                    chunk = pdf.iloc[start:start + rows]
                     umat = np.stack([np.asarray(v, dtype=np.float64) for v in chunk[feat]])
                     s = umat @ imat_t
                     qk, ik, sc = [], [], []
@@ -115,8 +118,13 @@ def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key
                         qk.extend([key] * len(sel))
                         ik.extend(ikeys[sel].tolist())
                         sc.extend(s[i, sel].tolist())
-                    yield pd.DataFrame({query_key_col: qk, item_key_col: ik,
-                                        "score": np.asarray(sc, dtype=np.float64)})
+                        if len(qk) >= out_rows:  # a heavy user's long fetch leaves in pieces
+                            yield pd.DataFrame({query_key_col: qk, item_key_col: ik,
+                                                "score": np.asarray(sc, dtype=np.float64)})
+                            qk, ik, sc = [], [], []
+                    if qk:
+                        yield pd.DataFrame({query_key_col: qk, item_key_col: ik,
+                                            "score": np.asarray(sc, dtype=np.float64)})
 
         parts.append(q.mapInPandas(score_batches, schema))
     if not parts:
