@@ -27,7 +27,7 @@ def main() -> None:
     from pyspark.sql import SparkSession
 
     from tonearm.operators import als
-    from tonearm.plans import catalog, pipeline
+    from tonearm.plans import catalog, jobs
     from tonearm.plans import fixtures as fx
 
     scratch = tempfile.mkdtemp(prefix="tonearm-bench-")
@@ -48,7 +48,7 @@ def main() -> None:
         df_fn().write.format("noop").mode("overwrite").save()
 
     def preprocess():
-        out = pipeline.preprocess(fx.plays(spark, SF_DIR), fx.CFG)
+        out = jobs.preprocess(fx.plays(spark, SF_DIR), fx.CFG)
         return out["matrix"]
 
     def als_fit(rank, iterations=10):

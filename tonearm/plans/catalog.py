@@ -808,8 +808,8 @@ def p5(spark, sf):
     return matrix.sparse_matrix(idx)
 
 
-# ---------------------------------------------------------------- pipelines
-from tonearm.plans import pipeline  # noqa: E402
+# ---------------------------------------------------------------- preprocessing and training jobs
+from tonearm.plans import jobs  # noqa: E402
 
 _STATS_SQL = o.with_("fl", *o.dense_ids_sql()) + f"""
 SELECT (SELECT count(*) FROM plays) AS original_rows,
@@ -832,22 +832,22 @@ SELECT (SELECT count(*) FROM plays) AS original_rows,
 
 @register("m13_preprocess_stats", _STATS_SQL)
 def m13(spark, sf):
-    out = pipeline.preprocess(fx.plays(spark, sf), CFG)
+    out = jobs.preprocess(fx.plays(spark, sf), CFG)
     return out["stats"].select(*[c if c != "sparsity" else _r6(c) for c in out["stats"].columns])
 
 
 @register("s9_stats_json_roundtrip", _STATS_SQL)
 def s9(spark, sf):
-    out = pipeline.preprocess(fx.plays(spark, sf), CFG)
+    out = jobs.preprocess(fx.plays(spark, sf), CFG)
     path = scratch_path(spark, "processed")
-    pipeline.save_processed(out, path)
-    back = io_src.read_stats(spark, f"{path}/stats", pipeline.STATS_SCHEMA)
+    jobs.save_processed(out, path)
+    back = io_src.read_stats(spark, f"{path}/stats", jobs.STATS_SCHEMA)
     return back.select(*[c if c != "sparsity" else _r6(c) for c in back.columns])
 
 
 def _pre(spark, sf):
     """M13 outputs shared by the training keys."""
-    return fx._memo(spark, sf, "pre", lambda: pipeline.preprocess(fx.plays(spark, sf), CFG))
+    return fx._memo(spark, sf, "pre", lambda: jobs.preprocess(fx.plays(spark, sf), CFG))
 
 
 # ALS keys run on the whole train matrix; rank and iterations are kept small so
@@ -880,10 +880,10 @@ def s10(spark, sf):
     return als.load_model(path).itemFactors
 
 
-@register("m14_train_pipeline")
+@register("m14_train_and_log")
 def m14(spark, sf):
     from dataclasses import replace
-    row, _ = pipeline.train_and_evaluate(_pre(spark, sf), replace(CFG, **ALS_TEST), "train-pipeline")
+    row, _ = jobs.train_and_evaluate(_pre(spark, sf), replace(CFG, **ALS_TEST), "train-and-log")
     return row
 
 
@@ -891,7 +891,7 @@ def m14(spark, sf):
 def m11(spark, sf):
     settings = [(8, 5, 0.01), (16, 5, 0.01)]
     path = scratch_path(spark, "sweep-runs")
-    pipeline.sweep(_pre(spark, sf), settings, CFG, "sweep", path)
+    jobs.sweep(_pre(spark, sf), settings, CFG, "sweep", path)
     return runs_op.comparison_table(runs_op.read_runs(spark, path, "sweep"))
 
 
