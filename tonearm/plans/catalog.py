@@ -243,7 +243,11 @@ def m6(spark, sf):
     return charts.top_charts(fx.train(spark, sf), CFG.charts_k)
 
 
-@register("p12_chart_display")
+@register("p12_chart_display", CHARTS_SQL + r"""SELECT rank,
+    CASE rank WHEN 1 THEN '🥇' WHEN 2 THEN '🥈' WHEN 3 THEN '🥉' ELSE concat('#', rank) END AS badge,
+    array_to_string(list_transform(regexp_extract_all(lower(artist_name), '\p{L}+|[^\p{L}]'),
+                                   lambda x: concat(upper(x[1]), x[2:])), '') AS artist,
+    format('{:,}', play_count) AS plays, format('{:,}', listener_count) AS listeners FROM ch""")
 def p12(spark, sf):
     return charts.chart_display(charts.top_charts(fx.train(spark, sf), CFG.charts_k))
 
