@@ -136,6 +136,7 @@ def _moods(spark: SparkSession, sf_dir: str) -> DataFrame:
         "mood", "name", "description", "pos",
         F.coalesce(F.col("literal"),
                    F.concat(F.col("p_name"), F.lit(" no"), F.col("p_partkey").cast("string"))).alias("seed"))
+    seeded = seeded.where(F.col("seed").isNotNull())  # rule parts missing at tiny scales
     return seeded.groupBy("mood", "name", "description").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "seed"))), lambda x: x["seed"])
         .alias("seed_artists"))

@@ -109,7 +109,7 @@ def mood_fixture_sql() -> str:
     return (
         "mspec(mood, name, description, pos, partkey, literal) AS (VALUES " + ", ".join(vals) + "),\n"
         "mseeds AS (SELECT mood, name, description, pos, coalesce(literal, concat(p_name, ' no', p_partkey)) AS seed "
-        "FROM mspec LEFT JOIN part ON partkey = p_partkey),\n"
+        "FROM mspec LEFT JOIN part ON partkey = p_partkey WHERE coalesce(literal, p_name) IS NOT NULL),\n"
         "moods AS (SELECT mood, name, description, list(seed ORDER BY pos) AS seed_artists FROM mseeds "
         "GROUP BY mood, name, description)")
 
