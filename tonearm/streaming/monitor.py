@@ -163,9 +163,19 @@ def run_stream(agg: DataFrame, keys: list[str], name: str) -> str:
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
+    if q.lastProgress is None or not _has_data(spark, f"{out}/data"):
+        # no micro-batch ran (empty source): leave an empty result table behind
+        schema = T.StructType(agg.schema.fields + [T.StructField("_batch", T.LongType())])
+        spark.createDataFrame([], schema).write.mode("append").parquet(f"{out}/data")
     return f"{out}/data"
 
 
+def _has_data(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Newest version of each key from an update-mode result table."""
     df = spark.read.parquet(path)
