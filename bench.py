@@ -13,7 +13,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,8 +28,8 @@ def main() -> None:
     from tonearm.operators import als
     from tonearm.plans import catalog, jobs
     from tonearm.plans import fixtures as fx
+    from tonearm.session import checkpoint_dir
 
-    scratch = tempfile.mkdtemp(prefix="tonearm-bench-")
     spark = (SparkSession.builder.master(f"local[{CPUS}]").appName("tonearm-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
@@ -40,9 +39,9 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "16g")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-             .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    checkpoint_dir(spark)  # the session's spark.checkpoint.dir; a temp folder only when unset (local)
 
     def run(df_fn):
         df_fn().write.format("noop").mode("overwrite").save()
