@@ -65,20 +65,6 @@ def _catalog_chunks(items: DataFrame, key: str, feat: str, max_bytes: int):
         yield keys[order], np.ascontiguousarray(mat[order])
 
 
-def _top_fetch(scores: np.ndarray, fetch: int) -> np.ndarray:
-    """Positions of the ``fetch`` best scores, best first; ties by position (= key order)."""
-    n = scores.shape[0]
-    m = min(int(fetch), n)
-    if m <= 0:
-        return np.empty(0, dtype=np.int64)
-    if m < n:
-        thr = np.partition(scores, n - m)[n - m]
-        cand = np.nonzero(scores >= thr)[0]
-    else:
-        cand = np.arange(n)
-    return cand[np.lexsort((cand, -scores[cand]))][:m]
-
-
 def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str,
               fetch_col: str = "_fetch", feat: str = "features", max_bytes: int = 256 << 20,
               batch_rows: int = 1024, score_block_bytes: int = 64 << 20, out_rows: int = 1 << 20) -> DataFrame:
@@ -103,7 +89,21 @@ def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key
     parts = []
     for bc in _broadcast_catalog(items, item_key_col, feat, max_bytes):
 
+        # Self-contained (numpy / pandas only): Python workers never import this package.
         def score_batches(batches, bc=bc):
+            def top_fetch(scores, fetch):
+                """Positions of the ``fetch`` best scores, best first; ties by position (= key order)."""
+                n = scores.shape[0]
+                m = min(int(fetch), n)
+                if m <= 0:
+                    return np.empty(0, dtype=np.int64)
+                if m < n:
+                    thr = np.partition(scores, n - m)[n - m]
+                    cand = np.nonzero(scores >= thr)[0]
+                else:
+                    cand = np.arange(n)
+                return cand[np.lexsort((cand, -scores[cand]))][:m]
+
             ikeys, imat = bc.value
             imat_t = imat.T
             rows = max(1, min(batch_rows, score_block_bytes // max(1, 8 * len(ikeys))))
@@ -114,7 +114,7 @@ def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key
                     s = umat @ imat_t
                     qk, ik, sc = [], [], []
                     for i, (key, fetch) in enumerate(zip(chunk[query_key_col], chunk[fetch_col])):
-                        sel = _top_fetch(s[i], fetch)
+                        sel = top_fetch(s[i], fetch)
                         qk.extend([key] * len(sel))
                         ik.extend(ikeys[sel].tolist())
                         sc.extend(s[i, sel].tolist())

@@ -131,12 +131,15 @@ def _moods(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = spark.createDataFrame(mood_fixture_rows(), schema)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     # The spec has a fixed size (about 60 rows); part grows with the data, so the
-    # spec is the broadcast side of this lookup.
-    seeded = part.join(F.broadcast(spec), F.col("partkey") == F.col("p_partkey"), "right").select(
+    # spec is the broadcast side of an inner join (seeds whose part is missing at
+    # tiny scales drop out), and literal seeds are added by a union.
+    keyed = spec.where(F.col("partkey").isNotNull())
+    from_parts = part.join(F.broadcast(keyed), F.col("partkey") == F.col("p_partkey")).select(
         "mood", "name", "description", "pos",
-        F.coalesce(F.col("literal"),
-                   F.concat(F.col("p_name"), F.lit(" no"), F.col("p_partkey").cast("string"))).alias("seed"))
-    seeded = seeded.where(F.col("seed").isNotNull())  # rule parts missing at tiny scales
+        F.concat(F.col("p_name"), F.lit(" no"), F.col("p_partkey").cast("string")).alias("seed"))
+    literal = spec.where(F.col("literal").isNotNull()).select(
+        "mood", "name", "description", "pos", F.col("literal").alias("seed"))
+    seeded = from_parts.unionByName(literal)
     return seeded.groupBy("mood", "name", "description").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "seed"))), lambda x: x["seed"])
         .alias("seed_artists"))
