@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import mix, simhash
+from tonearm.llm import fingerprint, langid, mix, simhash
 from tonearm.llm.common import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,13 @@ SELECT source, source_size, least(w * (SELECT t FROM water), cap) AS target FROM
 @query("op10_source_mix")
 def op10(spark, sf_dir):
     return mix.mix_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op1_document_fingerprints")
+def op1(spark, sf_dir):
+    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op3_language_id")
+def op3(spark, sf_dir):
+    return langid.language_of(table(spark, sf_dir, "documents"))
