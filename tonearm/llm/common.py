@@ -19,16 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, values: list[str]) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, values: list[str],
+           seen: DataFrame | None = None) -> DataFrame:
     """Left-join ``values`` of ``right`` (unique on ``key``) without a hot task.
 
     The most frequent keys of ``left`` (at most HOT_KEYS, so the broadcast is bounded
     whatever the input) are answered by a broadcast join; their rows, and rows with a
     null key, then pass the shuffle join under a random salt that matches nothing, so
-    they spread evenly and no row is lost.  ``left`` should be a written table: it is
-    read twice.
+    they spread evenly and no row is lost.  The keys are counted in ``seen``, a written
+    table with a row per row of ``left`` (``left`` itself by default).
     """
-    hot_keys = (left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    seen = left if seen is None else seen
+    hot_keys = (seen.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
                 .filter(F.col("__n") >= HOT_ROWS).orderBy(F.desc("__n"), key).limit(HOT_KEYS).select(key))
     answer = F.struct(*values)
     hot = hot_keys.join(right.select(key, *values), key).select(key, answer.alias("__hot"))

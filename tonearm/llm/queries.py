@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import fingerprint, langid, mix, simhash
+from tonearm.llm import fingerprint, langid, mix, sentencepieces, simhash, warc
 from tonearm.llm.common import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,29 @@ def op1(spark, sf_dir):
 @query("op3_language_id")
 def op3(spark, sf_dir):
     return langid.language_of(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT hex, min(page_id) AS first, count(*) AS n FROM p GROUP BY hex)
+SELECT p.page_id, octet_length(encode(p.html))::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((('0x' || substr(p.hex, 5 * i::INT + 1, 5))::INT >> s) & 31) + 1, 1)), 'string_agg', '')),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN n > 1 AND p.page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN n > 1 AND p.page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p JOIN g USING (hex)
+"""
+
+
+@query("op2_warc_dictionary_writer", WARC_SQL)
+def op2(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+@query("op5_sentencepiece")
+def op5(spark, sf_dir):
+    return sentencepieces.tokenised(table(spark, sf_dir, "documents"))
