@@ -318,7 +318,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
                                              names=["row", "token_ids"])
 
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return packed.mapInArrow(run, T.StructType(list(packed.schema.fields)).add("token_ids", "array<int>"))
+    return packed.mapInArrow(run, T.StructType(list(packed.schema.fields)).add("token_ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:

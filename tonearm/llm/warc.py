@@ -102,7 +102,7 @@ def _write(folder: str, dictionary: bytes):
             for row in batch.to_pylist():
                 if out is None:
                     name = f"{task.partitionId():05d}-{nth:05d}-{uuid.uuid4().hex}.warc.zst"
-                    out, at, raw, nth = store.open_output_stream(f"{root}/{name}"), len(lead), 0, nth + 1
+                    out, at, raw, nth = store.open_output_stream(f"{root}/{name}", compression=None), len(lead), 0, nth + 1
                     out.write(lead)
                 record = build_record(row["page_id"], row["url"], row["payload"], row["size"], row["sha1"],
                                       row["refers_to"])
