@@ -10,6 +10,7 @@ row counts reaches the driver, and hub nodes go through the skew-proof look-up.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +55,20 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
         step = step.select("u", F.coalesce("component", "rep").alias("component"))
         total = materialize(step.withColumnRenamed("u", "rep"), "cc-map")
     return total.withColumnRenamed("rep", "node")
+
+
+def spanning_forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (as values) reduced to one link per node to its component's least value."""
+    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a, b = at[: len(left)], at[len(left):]
+    label = np.arange(len(nodes))
+    while True:
+        low = label.copy()
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    move = label != np.arange(len(nodes))
+    return nodes[move], nodes[label[move]]

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import chat, fingerprint, langid, mix, sentencepieces, simhash, urlfilter, warc
+from tonearm.llm import (chat, fingerprint, langid, mix, multiindex, sentencepieces, simhash, urlfilter,
+                         warc)
 from tonearm.llm.common import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +163,8 @@ FROM named LEFT JOIN ruled USING (host, path)
 @query("op6_url_filter", URL_SQL)
 def op6(spark, sf_dir):
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.RULES)
+
+
+@query("op7_embedding_multi_index")
+def op7(spark, sf_dir):
+    return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)

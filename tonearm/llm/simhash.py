@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonearm.llm.common import lookup
-from tonearm.llm.components import connected_components
+from tonearm.llm.components import connected_components, spanning_forest
 from tonearm.session import materialize
 
 SEED = 42
@@ -74,23 +74,6 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(_fingerprints(words), "doc_id long, th long, fp long")
 
 
-def _forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (as values) reduced to one link per node to its component's least value."""
-    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
-    a, b = at[: len(left)], at[len(left):]
-    label = np.arange(len(nodes))
-    while True:
-        low = label.copy()
-        np.minimum.at(low, a, label[b])
-        np.minimum.at(low, b, label[a])
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    move = label != np.arange(len(nodes))
-    return nodes[move], nodes[label[move]]
-
-
 def _compare(max_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,12 +89,12 @@ def _compare(max_bits: int):
                     x, y = strip[i], b[j]
                     x, y = x[x != y], y[x != y]
                     if len(x) > 2 * TILE:
-                        x, y = _forest(x, y)
+                        x, y = spanning_forest(x, y)
                     us_.append(x)
                     vs_.append(y)
                 x, y = np.concatenate(us_), np.concatenate(vs_)
                 if len(x) > 2 * TILE:
-                    x, y = _forest(x, y)
+                    x, y = spanning_forest(x, y)
                 if len(x):
                     us.append(x)
                     vs.append(y)
