@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import (chat, fingerprint, langid, mix, multiindex, sentencepieces, simhash, urlfilter,
-                         warc)
+from tonearm.llm import (chat, fingerprint, langid, licences, mix, multiindex, sentencepieces, simhash,
+                         urlfilter, warc)
 from tonearm.llm.common import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,8 @@ def op6(spark, sf_dir):
 @query("op7_embedding_multi_index")
 def op7(spark, sf_dir):
     return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query("op8_licence_scan", licences.scan_sql())
+def op8(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
