@@ -140,6 +140,8 @@ def write_archives(pages: DataFrame, min_payload: int = 0) -> tuple[str, DataFra
     light = materialize(rows.select("page_id", "size", "sha1"), "warc-digests")
     firsts = (light.filter(F.col("size") >= min_payload).groupBy("sha1")
               .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # Written, so that the planner knows its size: payloads are shuffled only if it is large.
+    firsts = materialize(firsts, "warc-firsts")
     joined = lookup(rows, firsts, "sha1", ["first"], seen=light)
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to")
     records = joined.select("page_id", "url", "size", "sha1", refers, "payload")
