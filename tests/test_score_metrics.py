@@ -15,15 +15,17 @@ def _factors(spark, n_users=30, n_items=40, dim=6, seed=3):
     return u, v, uf, itf
 
 
-def test_recommend_unseen_matches_bruteforce(spark):
+def test_recommend_unseen_matches_bruteforce(spark, monkeypatch):
     u, v, uf, itf = _factors(spark)
     rng = np.random.default_rng(0)
     seen = {(f"u{i}", f"a{j:02d}") for i in range(30) for j in rng.choice(40, size=rng.integers(0, 30), replace=False)}
     train = spark.createDataFrame(sorted(seen), "user_id string, artist_name string")
     users = uf.select("user_id")
-    for max_bytes in (1 << 30, 400):  # one broadcast chunk, then many chunks
+    for queries, items in ((1024, 4096), (7, 9)):  # one block of each, then many
+        monkeypatch.setattr(score, "QUERY_BLOCK", queries)
+        monkeypatch.setattr(score, "ITEM_BLOCK", items)
         got = {(r.user_id, r.rank): (r.artist_name, round(r.score, 9)) for r in
-               score.recommend_unseen(users, uf, itf, train, 5, max_bytes=max_bytes).collect()}
+               score.recommend_unseen(users, uf, itf, train, 5).collect()}
         for i in range(30):
             s = u[i].astype(np.float64) @ v.astype(np.float64).T
             cand = [(-s[j], f"a{j:02d}") for j in range(40) if (f"u{i}", f"a{j:02d}") not in seen]
@@ -59,3 +61,34 @@ def test_metrics_user_without_hits_counts(spark):
     test = spark.createDataFrame([("u", "i1"), ("v", "y")], "user_id string, artist_name string")
     m = metrics.ranking_metrics(recs, test, 10).first()
     assert m["precision_at_10"] == 0.5 and m["map_at_10"] == 0.5 and m["n_test_users"] == 2
+
+
+def test_rewritten_catalog_gives_new_results(spark, tmp_path):
+    path = str(tmp_path / "items")
+    users = spark.createDataFrame([("u", [1.0])], "user_id string, features array<double>")
+    train = spark.createDataFrame([], "user_id string, artist_name string")
+
+    def top(rows):
+        spark.createDataFrame(rows, "artist_name string, features array<double>").write.mode("overwrite").parquet(path)
+        items = spark.read.parquet(path)
+        return [r.artist_name for r in score.recommend_unseen(users, users, items, train, 2).orderBy("rank").collect()]
+
+    assert top([("a", [1.0]), ("b", [0.5])]) == ["a", "b"]
+    assert top([("a", [0.1]), ("b", [9.0])]) == ["b", "a"]
+
+
+def test_ties_go_by_name_and_blocks_keep_k(spark, monkeypatch):
+    monkeypatch.setattr(score, "ITEM_BLOCK", 10)
+    users = spark.createDataFrame([("u", [0.0]), ("v", [1.0])], "user_id string, features array<double>")
+    items = spark.createDataFrame([(f"a{i:02d}", [1.0]) for i in range(50)], "artist_name string, features array<double>")
+    train = spark.createDataFrame([("v", "a00"), ("v", "unknown")], "user_id string, artist_name string")
+    got = score.recommend_unseen(users, users, items, train, 3).orderBy("user_id", "rank").collect()
+    assert [(r.user_id, r.artist_name) for r in got] == [
+        ("u", "a00"), ("u", "a01"), ("u", "a02"), ("v", "a01"), ("v", "a02"), ("v", "a03")]
+
+
+def test_merge_keeps_a_local_top_k(spark):
+    users = spark.createDataFrame([("u", [1.0])], "user_id string, features array<double>")
+    items = spark.createDataFrame([("a", [1.0])], "artist_name string, features array<double>")
+    out = score.recommend_unseen(users, users, items, spark.createDataFrame([], "user_id string, artist_name string"), 1)
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()

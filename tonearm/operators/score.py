@@ -1,23 +1,21 @@
 """Top-k scoring against an item-factor catalog: J4-J6, W4, T2, M3, M5, M7, M8.
 
-The per-user "score every item, keep the best" step is a blocked matrix
-product.  Spark has no built-in for it over arbitrary factor tables, so it is a
-``mapInPandas`` over the *query* rows (users, or query artists) in which each
-task multiplies its Arrow batch with the item catalog held in a broadcast
-variable and keeps only ``fetch`` items per query row.  The catalog is
-broadcast in chunks whose size is measured first and bounded by
-``max_broadcast_bytes``; with several chunks each chunk's candidates are merged
-by a per-query top-``fetch`` window.  No query x item pair is ever emitted as a
-row.  Everything relational (seen-item exclusion, ranking, name lookups) is
-plain DataFrame work.
+Scoring every query against every item is a block join: items and queries are cut
+into blocks of bounded size, each block of queries meets each block of items in one
+row, and that row is a numpy matrix product in which seen items are masked and only
+the best k items per query leave.  The partial lists are merged by a window with a
+literal limit, so each task keeps its local top k before the shuffle.  Nothing is
+collected to the driver or broadcast, and no query x item pair that is not a local
+top-k result is ever emitted.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,165 +23,129 @@ from pyspark.sql import types as T
 from tonearm.functions import vectors
 from tonearm.functions.names import query_key, short_user_id
 
-
-_BROADCASTS: dict = {}
-
-
-def clear_catalog_cache() -> None:
-    """Drop the broadcast catalog chunks kept for repeated scoring of one catalog."""
-    for chunks in _BROADCASTS.values():
-        for bc in chunks:
-            bc.unpersist()
-    _BROADCASTS.clear()
-
-
-def _broadcast_catalog(items: DataFrame, key: str, feat: str, max_bytes: int) -> list:
-    """Broadcast chunks of a catalog, built once per (plan, key, bound) in this application."""
-    sc = items.sparkSession.sparkContext
-    cache_key = (sc.applicationId, items.semanticHash(), key, feat, max_bytes)
-    if cache_key not in _BROADCASTS:
-        _BROADCASTS[cache_key] = [sc.broadcast(c) for c in _catalog_chunks(items, key, feat, max_bytes)]
-    return _BROADCASTS[cache_key]
-
-
-def _catalog_chunks(items: DataFrame, key: str, feat: str, max_bytes: int):
-    """Yield (keys, matrix) chunks of the catalog, each within ``max_bytes``."""
-    n, dim = items.agg(F.count("*"), F.max(F.size(feat))).first()
-    if not n:
-        return
-    dim = int(dim or 0)
-    n_chunks = max(1, math.ceil(n * max(dim, 1) * 8 / max_bytes))
-    for c in range(n_chunks):
-        part = items if n_chunks == 1 else items.where(
-            F.pmod(F.xxhash64(F.col(key)), F.lit(n_chunks)) == c)
-        tbl = part.select(key, F.col(feat).cast("array<double>").alias(feat)).toArrow()
-        keys = np.asarray(tbl.column(0).to_pylist(), dtype=object)
-        flat = tbl.column(1).combine_chunks()
-        mat = np.asarray(flat.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-        mat = mat.reshape(len(keys), dim) if len(keys) else mat.reshape(0, dim)
-        order = np.argsort(keys, kind="stable")  # key order is the tie-break order
-        yield keys[order], np.ascontiguousarray(mat[order])
-
-
-def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str,
-              fetch_col: str = "_fetch", feat: str = "features", max_bytes: int = 256 << 20,
-              batch_rows: int = 1024, score_block_bytes: int = 64 << 20, out_rows: int = 1 << 20) -> DataFrame:
-    """For each query row (key, features, fetch) the ``fetch`` best items by dot product.
-
-    Returns (query key, item key, score double).  Scores are computed in double
-    precision from the stored vectors.  A task holds one catalog chunk plus one
-    score block of at most ``score_block_bytes`` (rows per block shrink as the
-    chunk grows).
+# Rows per block: one block pair is a QUERY_BLOCK x ITEM_BLOCK product (32 MB of scores).
+QUERY_BLOCK, ITEM_BLOCK = 1024, 4096
+
+
+def _blocks(df: DataFrame, key: str, rows: int, size: int, fields: list, name: str, block: str) -> DataFrame:
+    """``df`` as about ``rows / size`` rows of one array of structs each."""
+    n = max(1, math.ceil(rows / size))
+    return (df.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(block))
+            .agg(F.collect_list(F.struct(*fields)).alias(name)))
+
+
+def _score_pairs(query_col: str, item_col: str):
+    # Self-contained (numpy / pyarrow only): Python workers need not import this package.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def matrix(rows: pa.StructArray) -> np.ndarray:
+            flat = rows.field("features").flatten().to_numpy(zero_copy_only=False)
+            return flat.reshape(len(rows), -1)
+
+        for batch in batches:
+            for q, it in zip(batch.column("queries"), batch.column("items")):
+                q, it = q.values, it.values
+                names = it.field("key")
+                order = np.argsort(np.array(names.to_pylist(), dtype=object), kind="stable")  # ties go by key
+                names, hashes = names.take(pa.array(order)), it.field("h").to_numpy()[order]
+                s = matrix(q) @ matrix(it)[order].T
+                seen = q.field("seen")
+                row = np.repeat(np.arange(len(q)), np.diff(seen.offsets.to_numpy()))
+                by_hash = np.argsort(hashes, kind="stable")
+                gone = seen.flatten().to_numpy()
+                at = np.minimum(np.searchsorted(hashes, gone, sorter=by_hash), len(hashes) - 1)
+                hit = hashes[by_hash[at]] == gone
+                s[row[hit], by_hash[at[hit]]] = -np.inf
+                k = q.field("k").to_numpy()
+                most = min(int(k.max()), s.shape[1])
+                if most <= 0:
+                    continue
+                floor = np.partition(s, s.shape[1] - most, axis=1)[:, s.shape[1] - most]
+                i, j = np.nonzero((s >= floor[:, None]) & np.isfinite(s))
+                best = np.lexsort((j, -s[i, j], i))
+                i, j = i[best], j[best]
+                first = np.searchsorted(i, np.arange(len(q)))
+                keep = np.arange(len(i)) - first[i] < k[i]
+                i, j = i[keep], j[keep]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays(
+                        [q.field("key").take(pa.array(i)), names.take(pa.array(j)), pa.array(s[i, j])],
+                        names=[query_col, item_col, "score"])
+    return run
+
+
+def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str, k_col: str,
+              seen: DataFrame | None = None, feat: str = "features", rank_col: str = "rank") -> DataFrame:
+    """For each query row (unique key, features, k) the k best items by dot product, without ``seen`` pairs.
+
+    Returns (query key, item key, score double, rank).  Scores are computed in double
+    precision from the stored vectors; ties go by item key.  ``seen`` (query key, item
+    key) is carried along its query as 64-bit hashes of the item keys.
     """
     spark = queries.sparkSession
-    qtype = queries.schema[query_key_col].dataType
-    itype = items.schema[item_key_col].dataType
-    schema = T.StructType([T.StructField(query_key_col, qtype), T.StructField(item_key_col, itype),
+    q = queries.select(F.col(query_key_col).alias("key"), F.col(feat).cast("array<double>").alias("features"),
+                       F.col(k_col).cast("long").alias("k")).where(F.col("features").isNotNull())
+    it = items.select(F.col(item_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"),
+                      F.col(feat).cast("array<double>").alias("features")).where(F.col("features").isNotNull())
+    n_queries, max_k = q.agg(F.count("*"), F.max("k")).first()
+    n_items = it.count()
+    schema = T.StructType([T.StructField(query_key_col, queries.schema[query_key_col].dataType),
+                           T.StructField(item_key_col, items.schema[item_key_col].dataType),
                            T.StructField("score", T.DoubleType())])
-    # Each query row costs O(catalog) numpy work but only a few hundred bytes, so
-    # byte-based AQE coalescing would squeeze the scoring into one task: spread
-    # the (narrow) query table by key over the cluster's cores instead.
-    n_tasks = max(1, spark.sparkContext.defaultParallelism) * 2
-    q = (queries.select(query_key_col, F.col(feat).cast("array<double>").alias(feat), fetch_col)
-         .repartition(n_tasks, query_key_col))
-    parts = []
-    for bc in _broadcast_catalog(items, item_key_col, feat, max_bytes):
-
-        # Self-contained (numpy / pandas only): Python workers never import this package.
-        def score_batches(batches, bc=bc):
-            def top_fetch(scores, fetch):
-                """Positions of the ``fetch`` best scores, best first; ties by position (= key order)."""
-                n = scores.shape[0]
-                m = min(int(fetch), n)
-                if m <= 0:
-                    return np.empty(0, dtype=np.int64)
-                if m < n:
-                    thr = np.partition(scores, n - m)[n - m]
-                    cand = np.nonzero(scores >= thr)[0]
-                else:
-                    cand = np.arange(n)
-                return cand[np.lexsort((cand, -scores[cand]))][:m]
-
-            ikeys, imat = bc.value
-            imat_t = imat.T
-            rows = max(1, min(batch_rows, score_block_bytes // max(1, 8 * len(ikeys))))
-            for pdf in batches:
-                for start in range(0, len(pdf), rows):
-                    chunk = pdf.iloc[start:start + rows]
-                    umat = np.stack([np.asarray(v, dtype=np.float64) for v in chunk[feat]])
-                    s = umat @ imat_t
-                    qk, ik, sc = [], [], []
-                    for i, (key, fetch) in enumerate(zip(chunk[query_key_col], chunk[fetch_col])):
-                        sel = top_fetch(s[i], fetch)
-                        qk.extend([key] * len(sel))
-                        ik.extend(ikeys[sel].tolist())
-                        sc.extend(s[i, sel].tolist())
-                        if len(qk) >= out_rows:  # a heavy user's long fetch leaves in pieces
-                            yield pd.DataFrame({query_key_col: qk, item_key_col: ik,
-                                                "score": np.asarray(sc, dtype=np.float64)})
-                            qk, ik, sc = [], [], []
-                    if qk:
-                        yield pd.DataFrame({query_key_col: qk, item_key_col: ik,
-                                            "score": np.asarray(sc, dtype=np.float64)})
-
-        parts.append(q.mapInPandas(score_batches, schema))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if len(parts) > 1:
-        w = Window.partitionBy(query_key_col).orderBy(F.desc("score"), F.asc(item_key_col))
-        fetch = queries.select(query_key_col, fetch_col)
-        out = (out.join(fetch, query_key_col)
-               .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col(fetch_col))
-               .drop("_r", fetch_col))
-    return out
-
-
-def rank_within(df: DataFrame, part_cols: list[str], k, score_col: str = "score",
+    if not n_queries or not n_items:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(rank_col, T.IntegerType())]))
+    none = F.array().cast("array<bigint>")
+    if seen is None:
+        q = q.withColumn("seen", none)
+    else:
+        gone = (seen.select(F.col(query_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"))
+                .groupBy("key").agg(F.collect_set("h").alias("seen")))
+        q = q.join(gone, "key", "left").withColumn("seen", F.coalesce("seen", none))
+    item_blocks = _blocks(it, "key", n_items, ITEM_BLOCK, ["key", "h", "features"], "items", "item_block")
+    n_blocks = max(1, math.ceil(n_items / ITEM_BLOCK))
+    query_blocks = (_blocks(q, "key", n_queries, QUERY_BLOCK, ["key", "k", "seen", "features"], "queries", "query_block")
+                    .withColumn("item_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
+    # Dealt by both block numbers: a pair of blocks is one unit of work wherever it lands.
+    pairs = query_blocks.join(item_blocks, "item_block").select("queries", "items")
+    found = pairs.mapInArrow(_score_pairs(query_key_col, item_key_col), schema)
+    ranked = rank_within(found, [query_key_col], int(max_k), key_col=item_key_col, rank_col=rank_col)
+    limit = queries.select(query_key_col, F.col(k_col).alias("_limit"))
+    return ranked.join(limit, query_key_col).where(F.col(rank_col) <= F.col("_limit")).drop("_limit")
+
+
+def rank_within(df: DataFrame, part_cols: list[str], k: int, score_col: str = "score",
                 key_col: str = "artist_name", rank_col: str = "rank") -> DataFrame:
-    """1-based rank by score desc then key; keep rank <= k (a column or an int)."""
+    """1-based rank by score desc then key; keep rank <= k.
+
+    The literal limit is planned as a WindowGroupLimit: each task keeps its local top k
+    before the shuffle.
+    """
     w = Window.partitionBy(*part_cols).orderBy(F.desc(score_col), F.asc(key_col))
-    limit = F.col(k) if isinstance(k, str) else F.lit(int(k))
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= limit)
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= F.lit(int(k)))
 
 
 def recommend_unseen(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
                      train: DataFrame, k=10, user_col: str = "user_id", item_col: str = "artist_name",
-                     max_bytes: int = 256 << 20, few_users: bool = True) -> DataFrame:
+                     few_users: bool = True) -> DataFrame:
     """M3 for a table of users: top-k unseen items (J5 -> J4 -> W4).
 
-    Over-fetch: a user's top ``k + n_seen`` items always contain the top ``k``
-    unseen ones, so the exact answer is the over-fetched candidates minus the
-    user's train items (left-anti join on (user, item), a balanced key), ranked.
-    ``k`` may be an int or a column of ``users`` (per-request k).
-    Users without a factor vector drop out (P7).  ``few_users`` (the default)
-    first narrows train to the requested users; pass False when scoring
-    (nearly) every user, where that extra semi join would only add a shuffle.
+    ``k`` may be an int or a column of ``users`` (per-request k).  Users without a
+    factor vector drop out (P7).  A user's train items travel with the user into the
+    block product, where they are masked.  ``few_users`` (the default) first narrows
+    train to the requested users; pass False when scoring (nearly) every user, where
+    that extra semi join would only add a shuffle.
     """
     kcol = F.col(k) if isinstance(k, str) else F.lit(int(k))
     req = users.select(user_col, kcol.alias("_k")).groupBy(user_col).agg(F.max("_k").alias("_k"))
-    # Only the requested users' train rows matter: the semi join is a broadcast
-    # filter on the train scan when few users are asked for (AQE measures it).
-    train = train.select(user_col, item_col)
+    seen = train.select(user_col, item_col)
     if few_users:
-        train = train.join(req.select(user_col), user_col, "left_semi")
-    seen = train.groupBy(user_col).agg(F.countDistinct(item_col).alias("_n_seen"))
-    req = (req.join(user_factors.select(user_col, "features"), user_col)
-           .join(seen, user_col, "left")
-           .withColumn("_fetch", F.col("_k") + F.coalesce(F.col("_n_seen"), F.lit(0))))
-    cand = top_items(req, item_factors.select(item_col, "features"), user_col, item_col,
-                     max_bytes=max_bytes)
-    unseen = cand.join(train.select(user_col, item_col), [user_col, item_col], "left_anti")
-    ranked = rank_within(unseen.join(req.select(user_col, "_k"), user_col), [user_col], "_k",
-                         key_col=item_col)
-    return ranked.select(user_col, item_col, "score", "rank")
+        seen = seen.join(req.select(user_col), user_col, "left_semi")
+    req = req.join(user_factors.select(user_col, "features"), user_col)
+    top = top_items(req, item_factors.select(item_col, "features"), user_col, item_col, "_k", seen=seen)
+    return top.select(user_col, item_col, "score", "rank")
 
 
 def similar_items(queries: DataFrame, item_factors: DataFrame, k: int = 10,
-                  item_col: str = "artist_name", query_col: str = "query", clean: bool = False,
-                  max_bytes: int = 256 << 20) -> DataFrame:
+                  item_col: str = "artist_name", query_col: str = "query", clean: bool = False) -> DataFrame:
     """M5: cosine top-k neighbours of each query artist, the artist itself excluded.
 
     ``queries`` has one string column ``query_col``; it is normalised with P9
@@ -193,14 +155,12 @@ def similar_items(queries: DataFrame, item_factors: DataFrame, k: int = 10,
     """
     unit = item_factors.select(item_col, vectors.unit("features").alias("features"))
     q = (queries.select(F.col(query_col), query_key(query_col, clean).alias(item_col))
-         .join(unit, item_col)
-         .withColumn("_fetch", F.lit(k + 1)))
+         .join(unit, item_col).withColumn("_k", F.lit(int(k))))
     # The catalog key and the query key are both artist names: rename the item side.
     cat = unit.withColumnRenamed(item_col, "similar_artist")
-    qs = q.select(F.col(item_col).alias("_q"), "features", "_fetch").distinct()
-    cand = top_items(qs, cat, "_q", "similar_artist", max_bytes=max_bytes)
-    cand = cand.where(F.col("similar_artist") != F.col("_q"))
-    ranked = rank_within(cand, ["_q"], k, key_col="similar_artist")
+    qs = q.select(F.col(item_col).alias("_q"), "features", "_k").distinct()
+    itself = qs.select("_q", F.col("_q").alias("similar_artist"))
+    ranked = top_items(qs, cat, "_q", "similar_artist", "_k", seen=itself)
     return (q.select(query_col, F.col(item_col).alias("_q")).distinct()
             .join(ranked, "_q").select(query_col, F.col("_q").alias(item_col), "similar_artist",
                                         F.col("score").alias("similarity"), "rank"))

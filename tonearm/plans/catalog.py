@@ -923,17 +923,20 @@ def p8(spark, sf):
 
 
 # ---------------------------------------------------------------- single operators out of the composites
-@register("j5_user_item_scores", o.with_("factors", REC_USERS,
-                                         "pick AS (SELECT user_id FROM ru ORDER BY md5(concat(user_id, ':42')), user_id LIMIT 5)")
-          + "SELECT p.user_id, i.artist_name, round(list_dot_product(f.features, i.features), 6) AS score "
-            "FROM pick p JOIN uf f USING (user_id) CROSS JOIN itf i")
+@register("j5_user_item_scores", o.with_("factors", REC_USERS) +
+          """SELECT r.user_id, count(*) AS n_items, round(sum(list_dot_product(f.features, i.features)), 4) AS score_sum,
+             round(max(list_dot_product(f.features, i.features)), 6) AS best_score,
+             round(min(list_dot_product(f.features, i.features)), 6) AS worst_score
+             FROM ru r JOIN uf f USING (user_id) CROSS JOIN itf i GROUP BY r.user_id""")
 def j5(spark, sf):
-    """Every catalog item scored for five sampled users (fetch = catalog size, no pair rows beyond that)."""
-    tr = fx.train(spark, sf)
+    """Every catalog item scored for every user, summed up per user."""
     itf = fx.item_factors(spark, sf)
-    who = ids.sample_users(tr.join(fx.user_factors(spark, sf).select("user_id"), "user_id", "left_semi"), 5, CFG.seed)
-    q = who.join(fx.user_factors(spark, sf), "user_id").withColumn("_fetch", F.lit(itf.count()))
-    return score.top_items(q, itf, "user_id", "artist_name").select("user_id", "artist_name", _r6("score"))
+    who = fx.train(spark, sf).select("user_id").distinct().join(fx.user_factors(spark, sf), "user_id")
+    q = who.withColumn("_k", F.lit(itf.count()))
+    r = score.top_items(q, itf, "user_id", "artist_name", "_k")
+    return r.groupBy("user_id").agg(F.count("*").alias("n_items"), F.round(F.sum("score"), 4).alias("score_sum"),
+                                    F.round(F.max("score"), 6).alias("best_score"),
+                                    F.round(F.min("score"), 6).alias("worst_score"))
 
 
 @register("j6_similar_to_top_artist", o.with_("factors", """stats AS (SELECT artist_name, sum(play_count) AS plays
