@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonearm.llm import langid, mix, sentencepieces, simhash
-from tonearm.llm.common import table
+from tonearm.llm.common import ship, table
 from tonearm.session import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, without text or of no clear language go."""
+    ship(spark)
     return langid.keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class stays: the smallest doc_id."""
+    ship(spark)
     return simhash.keep_one(docs, words=3, max_bits=3)
 
 
@@ -32,6 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source and the pieces of every document of the mix."""
+    ship(spark)
     tokens = sentencepieces.encode(docs)
     return tokens.select("row.doc_id", "row.lang", "row.source", F.size("token_ids").cast("long").alias("n_tokens"),
                          "token_ids")

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +21,28 @@ HOT_ROWS = 200
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors (as --py-files would), once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    # The driver serves this file to the executors as long as it lives.
+    folder = tempfile.mkdtemp(prefix="tonearm-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/tonearm_package.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(root.glob("tonearm/**/*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(name)
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

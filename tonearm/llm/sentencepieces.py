@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -30,8 +30,9 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Code points of new units indexed at once, units and pairs remembered per worker.
-INDEX_CHARS, KEPT_UNITS, KEPT_PAIRS = 1 << 20, 250_000, 1_000_000
+#: Code points of new units indexed at once and of texts held until then; units and
+#: pairs of pieces remembered per worker.  They bound a worker's memory.
+INDEX_CHARS, HELD_CHARS, KEPT_UNITS, KEPT_PAIRS = 1 << 18, 1 << 21, 200_000, 1_000_000
 #: Up to twice so many code points are merged by scanning, longer units with a heap.
 PAIR_CHARS = 16
 _BYTES = -2  # an edge over one character outside the vocabulary
@@ -167,20 +168,20 @@ class Encoder:
         ends = "".join(re.escape(p) + "|" for p in sorted(vocabulary.tied, key=len))[:-1]
         self.plain = re.compile(ends) if ends else None
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         todo: list[list[str]] = []
         fresh: set[str] = set()
-        size = 0
+        size = held = 0
         for text in texts:
             units = self.v.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
             todo.append(units)
             new = set(units).difference(self.units, fresh)
             fresh |= new
-            size += sum(map(len, new))
-            if size >= INDEX_CHARS:
+            size, held = size + sum(map(len, new)), held + len(text)
+            if size >= INDEX_CHARS or held >= HELD_CHARS:
                 out += self._flush(todo, fresh)
-                todo, fresh, size = [], set(), 0
+                todo, fresh, size, held = [], set(), 0, 0
         return out + self._flush(todo, fresh)
 
     def _flush(self, todo: list[list[str]], fresh: set[str]) -> list[np.ndarray]:
@@ -311,7 +312,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, shared)
         for batch in batches:
-            ids = encoder.encode([t or "" for t in batch.column("row").field("text").to_pylist()])
+            texts = batch.column("row").field("text")
+            ids = encoder.encode(t.as_py() or "" for t in texts)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.ListArray.from_arrays(offsets, flat)],
@@ -332,7 +334,7 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         for batch in batches:
-            out = [None if x is None else v.decode(x) for x in batch.column("token_ids").to_pylist()]
+            out = [v.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in batch.column("token_ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())],
                                              names=[*batch.schema.names, "decoded"])
 
