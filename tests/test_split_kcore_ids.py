@@ -83,3 +83,11 @@ def test_artist_index_first_appearance(spark):
     df = spark.createDataFrame(rows, "user_id string, artist_name string, raw_name string")
     got = {r["artist_name"]: r["artist_idx"] for r in ids.artist_index(df).collect()}
     assert got == {"c": 0, "a": 1, "b": 2}
+
+
+def test_kcore_runs_until_stable(spark):
+    """A path of users and artists loses one pair at each end per round: over 50 rounds."""
+    n = 104
+    rows = [(f"u{i:03d}", f"a{i + d:03d}", 1, None) for i in range(n) for d in (0, 1)]
+    out, history = kcore.kcore_filter(spark.createDataFrame(rows, SCHEMA), 2, 2)
+    assert out.count() == 0 and len(history) > 52

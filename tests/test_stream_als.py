@@ -1,9 +1,12 @@
 import numpy as np
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tonearm.operators import als, score
 from tonearm.plans import catalog, fixtures as fx
+from tonearm.streaming import monitor
 
 
 def test_stream_equals_batch(spark):
@@ -17,7 +20,7 @@ def test_als_normal_equations(spark):
     """MLlib implicit ALS: user factors solve (Y'Y + Y'(C-I)Y + lambda*n_u I) x = Y'C p."""
     rng = np.random.default_rng(0)
     cells = [(u, i, float(rng.integers(1, 5))) for u in range(20) for i in range(15) if rng.random() < 0.4]
-    m = spark.createDataFrame(cells, "user_idx int, artist_idx int, value double")
+    m = spark.createDataFrame(cells, "user_idx int, artist_idx int, plays double")
     lam, alpha = 0.1, 2.0
     model, _ = als.fit_als(m, factors=3, iterations=15, regularization=lam, alpha=alpha, blocks=1)
     U = {r.id: np.array(r.features, dtype=np.float64) for r in model.userFactors.collect()}
@@ -42,3 +45,54 @@ def test_trained_recs_exclude_train(spark):
     assert recs.join(pre["train"], ["user_id", "artist_name"]).count() == 0
     per_user = recs.groupBy("user_id").agg(F.collect_list("rank").alias("r")).collect()
     assert all(sorted(r.r) == list(range(1, len(r.r) + 1)) for r in per_user)
+
+
+def test_weight_of_three_plays(spark):
+    m = spark.createDataFrame([(0, 0, 121.0, 3.0)], "user_idx int, artist_idx int, value double, plays double")
+    for double, want in ((False, 121.0), (True, 4840.0)):
+        data, alpha = als.als_input(m, 40.0, double)
+        assert 1 + alpha * data.first()["rating"] == want
+
+
+def _events_folder(spark, path, parts=3):
+    """The events dealt row by row over several files, so that each holds all times."""
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    rows = ev.orderBy("ts", "event_id").coalesce(1).withColumn("n", F.monotonically_increasing_id())
+    for i in range(parts):
+        rows.where(F.col("n") % parts == i).drop("n").coalesce(1).write.mode("append").parquet(f"{path}/events.parquet")
+    return ev
+
+
+@pytest.mark.parametrize("name", sorted(catalog.R_SPEC))
+def test_stream_over_interleaved_files_equals_batch(spark, tmp_path, name):
+    fn, keys, post, rounded = catalog.R_SPEC[name]
+    ev = _events_folder(spark, tmp_path)
+    stream = monitor.event_stream(spark, f"{tmp_path}/events.parquet", ev.schema, max_files=1)
+    path, dropped = monitor.run_stream(fn(fx.request_log(spark, str(tmp_path), stream)), keys, name)
+    out = monitor.latest(spark, path, keys)
+    assert dropped == 0 and spark.read.parquet(path).select("_batch").distinct().count() == 3
+    out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in catalog._TS_COLS else F.col(c)
+                       for c in out.columns])
+    got = catalog._finish(out, post, rounded)
+    want = catalog.Q[name](spark, SF_SMALL)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    ev = _events_folder(spark, tmp_path)
+    stream = monitor.event_stream(spark, f"{tmp_path}/events.parquet", ev.schema, watermark="10 minutes", max_files=1)
+    path, dropped = monitor.run_stream(monitor.per_minute(fx.request_log(spark, str(tmp_path), stream)),
+                                       ["window_start", "window_end"], "late")
+    kept = monitor.latest(spark, path, ["window_start", "window_end"]).agg(F.sum("requests")).first()[0]
+    assert dropped > 0 and kept < ev.count()
+
+
+def test_stream_without_files_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        monitor.event_stream(spark, f"{tmp_path}/none.parquet", spark.range(1).schema)
+
+
+def test_errors_sliding_uses_its_window(spark):
+    ts = spark.createDataFrame([("2024-01-01 00:00:30", True)], "t string, is_error boolean")
+    log = ts.select(F.col("t").cast("timestamp").alias("ts"), "is_error")
+    assert monitor.errors_sliding(log, "2 minutes", "2 minutes").first()["errors_per_minute"] == 0.5

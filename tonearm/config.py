@@ -24,5 +24,3 @@ class Config:
     mood_users: int = 50
     # physical knobs
     split_bucket_digits: int = 4          # hex digits of the md5 key used to salt W1
-    max_broadcast_bytes: int = 256 << 20  # bound for a broadcast factor chunk
-    kcore_max_rounds: int = 50

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonearm.session import checkpoint_dir, materialize
+from tonearm.session import checkpoint_dir, drop_scratch, materialize
 
 
 def kcore_round(df: DataFrame, min_user: int, min_artist: int, user_col: str = "user_id",
@@ -23,49 +23,46 @@ def kcore_round(df: DataFrame, min_user: int, min_artist: int, user_col: str = "
     return step.join(items, item_col, "left_semi")
 
 
-def is_core(df: DataFrame, min_user: int, min_artist: int, user_col: str = "user_id",
-            item_col: str = "artist_name") -> bool:
-    """True when no user has < min_user rows and no artist < min_artist rows.
-
-    Two aggregations over the key columns only; a round on such a table would
-    remove nothing, so it is the fixpoint.
-    """
-    low_users = df.groupBy(user_col).count().where(F.col("count") < min_user)
-    if not low_users.isEmpty():
-        return False
-    return df.groupBy(item_col).count().where(F.col("count") < min_artist).isEmpty()
-
-
 def kcore_filter(df: DataFrame, min_user: int = 5, min_artist: int = 3, user_col: str = "user_id",
-                 item_col: str = "artist_name", max_rounds: int = 50) -> tuple[DataFrame, list[dict]]:
-    """Repeat :func:`kcore_round` until a round would remove nothing.
+                 item_col: str = "artist_name") -> tuple[DataFrame, list[dict]]:
+    """Repeat :func:`kcore_round` until a round removes nothing, however many rounds that takes.
 
     The fixpoint is unique, so the result does not depend on the execution
-    order.  Each round is cut from its lineage by writing it as a parquet table
-    into the session's shared checkpoint folder, so a lost executor replays one
-    round, not all of them, and the convergence test reads only the two key
-    columns.  Convergence is tested on the current table (:func:`is_core`) instead
-    of writing an identical last round.  Returns the filtered frame and per-round
-    row counts; the last entry is the confirming round that removes nothing, as
-    in the reference's loop.
+    order.  The rounds run over the (user, artist) pairs with their row counts, not
+    over the full rows; the surviving pairs then select the full rows in one semi
+    join.  Each round is written as a parquet table into the session's shared
+    checkpoint folder, so a lost executor replays one round, not all of them, and the
+    table of the round before is deleted.  Returns the filtered frame and per-round
+    row counts; the last entry is the confirming round that removes nothing.
     """
     checkpoint_dir(df.sparkSession)
-    cur = materialize(df, "kcore-0")
-    rows = cur.count()
+    source = materialize(df, "kcore-rows")
+    pairs = source.groupBy(user_col, item_col).agg(F.count("*").alias("_n"))
+    cur = materialize(pairs, "kcore-0")
+    rows = source.count()
     history = [{"round": 0, "rows": rows}]
-    for rnd in range(1, max_rounds + 1):
-        if is_core(cur, min_user, min_artist, user_col, item_col):
-            history.append({"round": rnd, "rows": rows})
-            return cur, history
-        cur = materialize(kcore_round(cur, min_user, min_artist, user_col, item_col), f"kcore-{rnd}")
-        rows = cur.count()
-        history.append({"round": rnd, "rows": rows})
-    raise RuntimeError(f"k-core did not converge in {max_rounds} rounds")
+    while True:
+        step = materialize(_pair_round(cur, min_user, min_artist, user_col, item_col), f"kcore-{len(history)}")
+        left = step.agg(F.sum("_n")).first()[0] or 0
+        history.append({"round": len(history), "rows": left})
+        drop_scratch(cur)
+        cur = step
+        if left == rows:
+            break
+        rows = left
+    if rows == history[0]["rows"]:
+        return source, history
+    keep = cur.select(F.col(user_col).alias("_u"), F.col(item_col).alias("_i"))
+    core = source.join(keep, (F.col(user_col).eqNullSafe(F.col("_u"))) & (F.col(item_col).eqNullSafe(F.col("_i"))),
+                       "left_semi")
+    out = materialize(core, "kcore")
+    drop_scratch(source, cur)
+    return out, history
 
 
-def kcore_unrolled(df: DataFrame, rounds: int, min_user: int = 5, min_artist: int = 3,
-                   user_col: str = "user_id", item_col: str = "artist_name") -> DataFrame:
-    """A fixed number of rounds as one lazy plan (extra rounds past the fixpoint are no-ops)."""
-    for _ in range(rounds):
-        df = kcore_round(df, min_user, min_artist, user_col, item_col)
-    return df
+def _pair_round(pairs: DataFrame, min_user: int, min_artist: int, user_col: str, item_col: str) -> DataFrame:
+    """:func:`kcore_round` on distinct pairs with their row counts ``_n``."""
+    users = pairs.groupBy(user_col).agg(F.sum("_n").alias("_c")).where(F.col("_c") >= min_user).select(user_col)
+    step = pairs.join(users, user_col, "left_semi")
+    items = step.groupBy(item_col).agg(F.sum("_n").alias("_c")).where(F.col("_c") >= min_artist).select(item_col)
+    return step.join(items, item_col, "left_semi")

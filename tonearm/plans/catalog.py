@@ -555,9 +555,9 @@ def _stream_metric(name):
 
     def run(spark, sf):
         events = fx.table(spark, sf, "events")
-        stream = monitor.event_stream(spark, sf, events.schema, file_glob="events.parquet")
+        stream = monitor.event_stream(spark, f"{sf}/events.parquet", events.schema)
         agg = fn(fx.request_log(spark, sf, stream))
-        path = monitor.run_stream(agg, keys, name)
+        path, _ = monitor.run_stream(agg, keys, name)
         out = monitor.latest(spark, path, keys)
         out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in _TS_COLS else F.col(c)
                            for c in out.columns])

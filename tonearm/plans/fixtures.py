@@ -45,8 +45,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 def core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 fixpoint of the prepared plays, checkpointed."""
     return _memo(spark, sf_dir, "core", lambda: kcore.kcore_filter(
-        prepared(spark, sf_dir), CFG.min_user_interactions, CFG.min_artist_listeners,
-        max_rounds=CFG.kcore_max_rounds)[0])
+        prepared(spark, sf_dir), CFG.min_user_interactions, CFG.min_artist_listeners)[0])
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:

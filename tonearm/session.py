@@ -66,7 +66,20 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
     writer.parquet(path)
     # The written schema is passed back so partition columns keep their types
     # (directory values alone would make a boolean a string).
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop_scratch(*tables) -> None:
+    """Delete the files of :func:`materialize` results that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            df._scratch_path = None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 
 from tonearm.session import scratch_path
 
-# Default latency bucket edges of the usual Prometheus client histogram, in seconds.
+# Default latency bucket edges of the usual Prometheus client histogram, in seconds.
 LATENCY_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
 
-# Alert thresholds (documented in the reference's risk notes).
+# Alert thresholds (documented in the reference's risk notes).
 ERROR_WARN_PCT, ERROR_CRIT_PCT = 1.0, 5.0
 LATENCY_WARN_S, LATENCY_CRIT_S = 0.5, 2.0
 VOLUME_WARN_PER_MIN = 100
@@ -81,11 +81,12 @@ def latency_sliding(log: DataFrame, length: str = "5 minutes", slide: str = "1 m
 
 
 def errors_sliding(log: DataFrame, length: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    """Errors per minute averaged over sliding 5-minute windows."""
-    minutes = 5.0
+    """Errors per minute averaged over sliding windows (5 minutes by default)."""
+    seconds = lambda end: F.col(f"window.{end}").cast("timestamp").cast("long")
+    minutes = (seconds("end") - seconds("start")) / 60.0
     return (log.groupBy(F.window("ts", length, slide))
             .agg(F.count_if(F.col("is_error")).alias("errors"))
-            .select(*_window_cols(), "errors", (F.col("errors") / F.lit(minutes)).alias("errors_per_minute")))
+            .select(*_window_cols(), "errors", (F.col("errors") / minutes).alias("errors_per_minute")))
 
 
 def mood_counts(log: DataFrame) -> DataFrame:
@@ -135,24 +136,32 @@ def alerts(health: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- streaming driver
-def event_stream(spark: SparkSession, path: str, schema: T.StructType, watermark: str = "10 minutes",
-                 max_files: int | None = None, file_glob: str | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream; event time cast to TIMESTAMP (a watermark needs it)."""
+def event_stream(spark: SparkSession, path: str, schema: T.StructType, watermark: str | None = None,
+                 max_files: int | None = None) -> DataFrame:
+    """The parquet file or folder at ``path`` as a stream; event time cast to TIMESTAMP.
+
+    Without a watermark (a bounded run over a table) no row is ever late.  With one,
+    state of old windows is dropped and so are later rows; :func:`run_stream` counts
+    them.  A path without files is an error.
+    """
+    spark.read.parquet(path)  # raises where nothing is there
+    # The file source wants a folder or a pattern; this pattern matches the path alone,
+    # be it one file or a folder of part files.
+    pattern = f"{path[:-1]}[{path[-1]}]"
     rs = spark.readStream.schema(schema)
-    if file_glob:
-        rs = rs.option("pathGlobFilter", file_glob)
     if max_files:
         rs = rs.option("maxFilesPerTrigger", max_files)
-    df = rs.parquet(path)
-    return df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    df = rs.parquet(pattern).withColumn("ts", F.col("ts").cast("timestamp"))
+    return df.withWatermark("ts", watermark) if watermark else df
 
 
-def run_stream(agg: DataFrame, keys: list[str], name: str) -> str:
+def run_stream(agg: DataFrame, keys: list[str], name: str) -> tuple[str, int]:
     """Run a streaming aggregation to completion (availableNow) in update mode.
 
     Each micro-batch appends its updated rows, tagged with the batch id, to a
     parquet table under the shared checkpoint folder; the stream's own
     checkpoint (offsets + state) lives next to it, so a restarted job resumes.
+    Returns the table's path and the number of late rows that the watermark dropped.
     """
     spark = agg.sparkSession
     out = scratch_path(spark, f"stream-{name}")
@@ -163,11 +172,12 @@ def run_stream(agg: DataFrame, keys: list[str], name: str) -> str:
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
     if q.lastProgress is None or not _has_data(spark, f"{out}/data"):
-        # no micro-batch ran (empty source): leave an empty result table behind
+        # the source has files but no rows: leave an empty result table behind
         schema = T.StructType(agg.schema.fields + [T.StructField("_batch", T.LongType())])
         spark.createDataFrame([], schema).write.mode("append").parquet(f"{out}/data")
-    return f"{out}/data"
+    return f"{out}/data", dropped
 
 
 def _has_data(spark: SparkSession, path: str) -> bool:
