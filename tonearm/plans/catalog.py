@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from tonearm.functions import names
 from tonearm.operators import charts, clean, ids, kcore, matrix, metrics, mood, profile, score, split
 from tonearm.plans import fixtures as fx
+from tonearm.plans import jobs
 from tonearm.plans import oracle as o
-from tonearm.session import scratch_path
+from tonearm.session import materialize, scratch_path
 from tonearm.sources import moods as moods_src
 from tonearm.sources.plays import read_plays_tsv
 
@@ -611,55 +612,70 @@ _RUN_CTES = ["tu AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT
              "nrel AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id)"]
 for _d in RUN_DIMS:
     _RUN_CTES += _eval_ctes(str(_d), _d)
-_RUN_CTES.append("runs AS (" + " UNION ALL ".join(f"SELECT * FROM run{d}" for d in RUN_DIMS) + ")")
-_RUN_CTES.append("""cmp AS (SELECT substring(run_id, 1, 8) AS run_id, CAST(factors AS INTEGER) AS factors,
-    0 AS iterations, CAST(0.0 AS DOUBLE) AS regularization, p AS precision_at_10, mp AS map_at_10,
-    nd AS ndcg_at_10, CAST(0.0 AS DOUBLE) AS training_minutes, CAST(NULL AS TIMESTAMP) AS start_time,
-    CAST(row_number() OVER (ORDER BY p DESC, 0.0, substring(run_id, 1, 8)) AS INTEGER) AS rank FROM runs)""")
+# Besides the three cuts: a run tied with the 32-dimension one but slower, sharing the first eight characters of
+# its id, and a run without any measurement (P14 defaults).  Times grow with the number of users.
+_RUN_CTES.append("runs AS (SELECT *, factors * (SELECT count(*) FROM uf) * 0.06 AS secs FROM ("
+                 + " UNION ALL ".join(f"SELECT * FROM run{d}" for d in RUN_DIMS)
+                 + ") UNION ALL SELECT substring(run_id, 1, 8) || '-tied', factors, p, mp, nd, factors * 2 * "
+                   "(SELECT count(*) FROM uf) * 0.06 FROM run32 UNION ALL SELECT md5('unmeasured'), NULL, NULL, NULL, "
+                   "NULL, NULL)")
+_RUN_CTES.append("""cmp AS (SELECT run_id, substring(run_id, 1, 8) AS run_short, CAST(coalesce(factors, 0) AS INTEGER)
+    AS factors, 0 AS iterations, CAST(0.0 AS DOUBLE) AS regularization, coalesce(p, 0) AS precision_at_10,
+    coalesce(mp, 0) AS map_at_10, coalesce(nd, 0) AS ndcg_at_10, coalesce(secs, 0) / 60.0::DOUBLE AS training_minutes,
+    CAST(NULL AS TIMESTAMP) AS start_time,
+    CAST(row_number() OVER (ORDER BY coalesce(p, 0) DESC, coalesce(secs, 0), run_id) AS INTEGER) AS rank FROM runs)""")
 RUNS_SQL = o.with_("factors", *_RUN_CTES)
 
 
 def _embedding_runs(spark, sf) -> DataFrame:
-    """Run records derived from the data: M2 of the given factors cut to 16/32/64 dimensions."""
-    out = None
+    """Run records derived from the data: M2 of the given factors cut to 16/32/64 dimensions, a tie and a zero run."""
+    n_users = fx.user_factors(spark, sf).agg(F.count("*").alias("n_users"))
+    parts = []
     for d in RUN_DIMS:
         uf = fx.user_factors(spark, sf).withColumn("features", F.slice("features", 1, d))
         itf = fx.item_factors(spark, sf).withColumn("features", F.slice("features", 1, d))
         m = metrics.evaluate(fx.train(spark, sf), fx.test(spark, sf), uf, itf, K)
-        row = m.select(F.md5(F.lit(f"embedding-dims:{d}")).alias("run_id"),
-                       F.lit("embedding-dims").alias("experiment"), F.lit(d).alias("factors"),
-                       F.lit(0).alias("iterations"), F.lit(0.0).alias("regularization"),
-                       F.lit(CFG.alpha).alias("alpha"), F.col(f"precision_at_{K}").alias("precision_at_10"),
-                       F.col(f"map_at_{K}").alias("map_at_10"), F.col(f"ndcg_at_{K}").alias("ndcg_at_10"),
-                       F.lit("ok").alias("status"))
-        out = row if out is None else out.unionByName(row)
-    return runs_op.conform(out)
-
-
-_CMP_COLS = ["run_id", "factors", "iterations", "regularization", "precision_at_10", "map_at_10", "ndcg_at_10",
+        parts.append(m.join(n_users).select(
+            F.md5(F.lit(f"embedding-dims:{d}")).alias("run_id"), F.lit("embedding-dims").alias("experiment"),
+            F.lit(d).alias("factors"), F.lit(0).alias("iterations"), F.lit(0.0).alias("regularization"),
+            F.lit(CFG.alpha).alias("alpha"), F.col(f"precision_at_{K}").alias("precision_at_10"),
+            F.col(f"map_at_{K}").alias("map_at_10"), F.col(f"ndcg_at_{K}").alias("ndcg_at_10"),
+            (F.col("n_users") * d * 0.06).alias("training_time_seconds"), F.lit("ok").alias("status")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = materialize(runs_op.conform(out), "embedding-runs")
+    tied = out.where("factors = 32").withColumn("run_id", F.concat(names.short_run_id("run_id"), F.lit("-tied"))) \
+        .withColumn("training_time_seconds", F.col("training_time_seconds") * 2)
+    zero = spark.range(1).select(F.md5(F.lit("unmeasured")).alias("run_id"), F.lit("embedding-dims").alias("experiment"))
+    return out.unionByName(tied).unionByName(runs_op.conform(zero))
+
+
+_CMP_COLS = ["run_id", "run_short", "factors", "iterations", "regularization", "precision_at_10", "map_at_10", "ndcg_at_10",
              "training_minutes", "start_time", "rank"]
 
 
-@register("m12_run_comparison", RUNS_SQL + "SELECT run_id, factors, iterations, regularization, "
+@register("m12_run_comparison", RUNS_SQL + "SELECT run_id, run_short, factors, iterations, regularization, "
           "round(precision_at_10, 6) AS precision_at_10, round(map_at_10, 6) AS map_at_10, "
-          "round(ndcg_at_10, 6) AS ndcg_at_10, training_minutes, start_time, rank FROM cmp")
+          "round(ndcg_at_10, 6) AS ndcg_at_10, round(training_minutes, 6) AS training_minutes, start_time, rank FROM cmp")
 def m12(spark, sf):
     t = runs_op.comparison_table(_embedding_runs(spark, sf))
-    return t.select(*[_r6(c) if c in ("precision_at_10", "map_at_10", "ndcg_at_10") else c for c in _CMP_COLS])
+    return t.select(*[_r6(c) if c in ("precision_at_10", "map_at_10", "ndcg_at_10", "training_minutes") else c
+                      for c in _CMP_COLS])
 
 
 @register("m12_run_summary", RUNS_SQL + """, b AS (SELECT * FROM cmp WHERE rank = 1),
     w AS (SELECT * FROM cmp WHERE rank = (SELECT max(rank) FROM cmp)),
     f AS (SELECT * FROM cmp ORDER BY training_minutes, rank LIMIT 1)
-    SELECT (SELECT count(*) FROM cmp) AS n_runs, b.run_id AS best_run, b.factors AS best_factors,
-      round(b.precision_at_10, 6) AS best_precision, b.training_minutes AS best_minutes, w.run_id AS worst_run,
-      round(w.precision_at_10, 6) AS worst_precision, f.run_id AS fastest_run, f.factors AS fastest_factors,
-      f.training_minutes AS fastest_minutes,
+    SELECT (SELECT count(*) FROM cmp) AS n_runs, b.run_short AS best_run, b.factors AS best_factors,
+      round(b.precision_at_10, 6) AS best_precision, round(b.training_minutes, 6) AS best_minutes, w.run_short AS worst_run,
+      round(w.precision_at_10, 6) AS worst_precision, f.run_short AS fastest_run, f.factors AS fastest_factors,
+      round(f.training_minutes, 6) AS fastest_minutes,
       round(CASE WHEN w.precision_at_10 = 0 THEN NULL
             ELSE (b.precision_at_10 - w.precision_at_10) * 100.0 / w.precision_at_10 END, 6) AS improvement_pct,
       CASE WHEN f.run_id <> b.run_id THEN round((b.precision_at_10 - f.precision_at_10) * 100.0 / b.precision_at_10, 6)
       END AS precision_loss_pct,
-      CASE WHEN f.run_id <> b.run_id THEN b.training_minutes - f.training_minutes END AS minutes_saved,
+      CASE WHEN f.run_id <> b.run_id THEN round(b.training_minutes - f.training_minutes, 6) END AS minutes_saved,
       CASE WHEN (b.precision_at_10 - w.precision_at_10) * 100.0 / nullif(w.precision_at_10, 0) > 10
            THEN concat('significant improvement: use factors=', b.factors)
            WHEN (b.precision_at_10 - w.precision_at_10) * 100.0 / nullif(w.precision_at_10, 0) > 5
@@ -668,11 +684,12 @@ def m12(spark, sf):
       b.training_minutes > 8 AS best_is_slow FROM b, w, f""")
 def m12s(spark, sf):
     s = runs_op.comparison_summary(runs_op.comparison_table(_embedding_runs(spark, sf)))
-    r = ("best_precision", "worst_precision", "improvement_pct", "precision_loss_pct")
+    r = ("best_precision", "worst_precision", "improvement_pct", "precision_loss_pct", "best_minutes",
+         "fastest_minutes", "minutes_saved")
     return s.select(*[_r6(c) if c in r else c for c in s.columns])
 
 
-@register("s11_s12_runs_roundtrip", RUNS_SQL + "SELECT md5('embedding-dims:' || factors) AS run_id, "
+@register("s11_s12_runs_roundtrip", RUNS_SQL + "SELECT run_id, "
           "'embedding-dims' AS experiment, CAST(factors AS INTEGER) AS factors, round(p, 6) AS precision_at_10 FROM runs")
 def s11(spark, sf):
     path = scratch_path(spark, "runs")
@@ -813,8 +830,6 @@ def p5(spark, sf):
 
 
 # ---------------------------------------------------------------- preprocessing and training jobs
-from tonearm.plans import jobs  # noqa: E402
-
 _STATS_SQL = o.with_("fl", *o.dense_ids_sql()) + f"""
 SELECT (SELECT count(*) FROM plays) AS original_rows,
        (SELECT count(DISTINCT user_id) FROM plays) AS original_users,
@@ -854,63 +869,93 @@ def _pre(spark, sf):
     return fx._memo(spark, sf, "pre", lambda: jobs.preprocess(fx.plays(spark, sf), CFG))
 
 
-# ALS keys run on the whole train matrix; rank and iterations are kept small so
-# the check stays quick (rows-only: factors are numeric, not SQL-checkable).
-ALS_TEST = dict(factors=10, iterations=5)
+def _model(spark, sf):
+    """The fit at the production setting (rank 100, 20 iterations), with its named factors, made once."""
+    from tonearm.operators import als
 
+    def build():
+        pre = _pre(spark, sf)
+        model, _ = als.fit_als(pre["matrix"], CFG.factors, CFG.iterations, CFG.regularization, CFG.alpha, CFG.seed,
+                               blocks=4)
+        uf, itf = als.named_factors(model, pre["user_map"], pre["artist_map"])
+        return model, materialize(uf, "user-factors"), materialize(itf, "item-factors")
+    return fx._memo(spark, sf, "als", build)
 
-@register("m1_als_fit")
+
+@register("m1_als_fit", o.with_("split") + f"SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT artist_name) "
+          f"AS n_artists, CAST({CFG.factors} AS INTEGER) AS n_factors FROM train")
 def m1(spark, sf):
-    from dataclasses import replace
     from tonearm.operators import als
-    pre = _pre(spark, sf)
-    cfg = replace(CFG, **ALS_TEST)
-    model, _ = als.fit_als(pre["matrix"], cfg.factors, cfg.iterations, cfg.regularization, cfg.alpha, cfg.seed,
-                           blocks=4)
-    uf, itf = als.named_factors(model, pre["user_map"], pre["artist_map"])
+    _, uf, itf = _model(spark, sf)
     return als.model_info(uf, itf)
 
 
-@register("s10_s5_model_roundtrip")
+@register("s10_s5_model_roundtrip", o.with_("split") + f"SELECT DISTINCT artist_name, CAST({CFG.factors} AS INTEGER) "
+          "AS width, true AS unchanged FROM train")
 def s10(spark, sf):
-    from dataclasses import replace
+    """Every artist of the train data has a vector of the model's rank that comes back unchanged."""
     from tonearm.operators import als
-    pre = _pre(spark, sf)
-    cfg = replace(CFG, **ALS_TEST)
-    model, _ = als.fit_als(pre["matrix"], cfg.factors, cfg.iterations, cfg.regularization, cfg.alpha, cfg.seed,
-                           blocks=4)
+    model, _, itf = _model(spark, sf)
     path = scratch_path(spark, "als-model")
     als.save_model(model, path)
-    return als.load_model(path).itemFactors
-
-
-@register("m14_train_and_log")
+    back = als.load_model(path).itemFactors.select(F.col("id").alias("artist_idx"), F.col("features").alias("read"))
+    return itf.join(back, "artist_idx", "left").select(
+        "artist_name", F.size("read").alias("width"), F.col("features").eqNullSafe(F.col("read")).alias("unchanged"))
+
+
+@register("m14_train_and_log", o.with_("split") + f"""SELECT 'train-and-log' AS experiment,
+    CAST({CFG.factors} AS INTEGER) AS factors, CAST({CFG.iterations} AS INTEGER) AS iterations,
+    CAST({CFG.regularization} AS DOUBLE) AS regularization, CAST({CFG.alpha} AS DOUBLE) AS alpha, 'ok' AS status,
+    'ALS' AS model_type, (SELECT count(DISTINCT user_id) FROM train) AS n_users,
+    (SELECT count(DISTINCT artist_name) FROM train) AS n_artists,
+    count(DISTINCT user_id) AS n_test_users, count(DISTINCT (user_id, artist_name)) AS n_test_interactions,
+    CAST(least(5, (SELECT count(DISTINCT user_id) FROM train)) AS BIGINT) AS n_sampled_users, true AS model_reads,
+    true AS same_metrics FROM test WHERE user_id IN (SELECT user_id FROM train)""")
 def m14(spark, sf):
-    from dataclasses import replace
-    row, _ = jobs.train_and_evaluate(_pre(spark, sf), replace(CFG, **ALS_TEST), "train-and-log")
-    return row
-
-
-@register("m11_sweep")
+    """M14 read back from what it wrote: the run row, the metadata, the samples and the model."""
+    from tonearm.operators import als
+    path = scratch_path(spark, "training")
+    out = jobs.train_pipeline(_pre(spark, sf), CFG, path, "train-and-log")
+    run = runs_op.read_runs(spark, out["runs"], "train-and-log")
+    meta = als.read_metadata(spark, path)
+    samples = spark.read.parquet(out["samples"]).agg(F.countDistinct("user_id").alias("n_sampled_users"))
+    info = als.saved_model_info(spark, path).select(F.col("n_factors"))
+    width = als.load_model(path).rank
+    metric = lambda name: F.col("metrics")[name]
+    return (run.join(meta.drop("factors", "iterations", "regularization", "alpha")).join(samples).join(info).select(
+        "experiment", "factors", "iterations", "regularization", "alpha", "status", "model_type", "n_users", "n_artists",
+        metric("n_test_users").cast("long").alias("n_test_users"),
+        metric("n_test_interactions").cast("long").alias("n_test_interactions"), "n_sampled_users",
+        ((F.col("n_factors") == width) & (F.col("factors") == width)).alias("model_reads"),
+        (metric(f"precision_at_{K}") == F.col("precision_at_10")).alias("same_metrics")))
+
+
+@register("m11_sweep", o.with_("split") + "SELECT CAST(f AS INTEGER) AS factors, CAST(i AS INTEGER) AS iterations, "
+          "CAST(r AS DOUBLE) AS regularization, 'ok' AS status, true AS measured FROM (VALUES "
+          + ", ".join(map(str, jobs.EXPERIMENTS)) + ") v(f, i, r) WHERE (SELECT count(*) FROM test) > 0")
 def m11(spark, sf):
-    settings = [(8, 5, 0.01), (16, 5, 0.01)]
+    """The five settings; each run is read back with its parameters, status and a measured precision in 0..1."""
     path = scratch_path(spark, "sweep-runs")
-    jobs.sweep(_pre(spark, sf), settings, CFG, "sweep", path)
-    return runs_op.comparison_table(runs_op.read_runs(spark, path, "sweep"))
+    jobs.sweep(_pre(spark, sf), jobs.EXPERIMENTS, CFG, "sweep", path)
+    return runs_op.read_runs(spark, path, "sweep").select(
+        "factors", "iterations", "regularization", "status",
+        (F.col("precision_at_10").between(0, 1) & (F.col("training_time_seconds") > 0)).alias("measured"))
 
 
-@register("m3_recs_from_trained_factors")
+@register("m3_recs_from_trained_factors", o.with_("split") + f"""SELECT t.user_id,
+    least({CFG.top_k}, (SELECT count(DISTINCT artist_name) FROM train) - count(DISTINCT t.artist_name)) AS n_recs,
+    0 AS n_seen FROM train t WHERE t.user_id IN (SELECT user_id FROM test) GROUP BY t.user_id""")
 def m3t(spark, sf):
-    """M3 on factors fitted by M1 (rows-only: the factor values are numeric)."""
-    from dataclasses import replace
-    from tonearm.operators import als
+    """M3 on factors fitted by M1: as many recommendations as there are unseen artists, none seen."""
+    _, uf, itf = _model(spark, sf)
     pre = _pre(spark, sf)
-    cfg = replace(CFG, **ALS_TEST)
-    model, _ = als.fit_als(pre["matrix"], cfg.factors, cfg.iterations, cfg.regularization, cfg.alpha, cfg.seed,
-                           blocks=4)
-    uf, itf = als.named_factors(model, pre["user_map"], pre["artist_map"])
-    users = pre["test"].select("user_id").distinct()
-    return score.recommend_unseen(users, uf, itf, pre["train"], CFG.top_k)
+    users = pre["test"].select("user_id").distinct().join(uf.select("user_id"), "user_id", "left_semi")
+    recs = score.recommend_unseen(users, uf, itf, pre["train"], CFG.top_k)
+    seen = pre["train"].select("user_id", "artist_name").distinct().withColumn("seen", F.lit(1))
+    per = recs.join(seen, ["user_id", "artist_name"], "left").groupBy("user_id").agg(
+        F.count("*").alias("n_recs"), F.count("seen").alias("n_seen"))
+    return users.join(per, "user_id", "left").select("user_id", F.coalesce("n_recs", F.lit(0)).alias("n_recs"),
+                                                     F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
 
 
 # ---------------------------------------------------------------- lookup errors
