@@ -24,7 +24,7 @@ SCHEMA = "user_id string, artist_name string, play_count long, artist_mbid strin
 def test_split_exact_with_hot_user(spark):
     rows = _skewed()
     df = spark.createDataFrame(rows, SCHEMA)
-    got = split.holdout_flag(df, digits=2).groupBy("user_id").agg(F.count_if("is_test").alias("t"),
+    got = split.holdout_flag(df, digits=2, hot_rows=100).groupBy("user_id").agg(F.count_if("is_test").alias("t"),
                                                                   F.count("*").alias("n"))
     got = {r.user_id: (r.t, r.n) for r in got.collect()}
     pdf = pd.DataFrame(rows, columns=["user_id", "artist_name", "play_count", "artist_mbid"])
@@ -35,7 +35,7 @@ def test_split_exact_with_hot_user(spark):
     hot = pdf[pdf.user_id == "hot"].copy()
     hot["h"] = [hashlib.md5(f"hot:{a}:42".encode()).hexdigest() for a in hot.artist_name]
     hot = hot.sort_values(["h", "play_count"]).head(max(1, int(len(hot) * 0.2)))
-    flagged = split.holdout_flag(df, digits=2).where("user_id = 'hot' AND is_test")
+    flagged = split.holdout_flag(df, digits=2, hot_rows=100).where("user_id = 'hot' AND is_test")
     assert sorted(r.artist_name for r in flagged.collect()) == sorted(hot.artist_name)
 
 

@@ -26,7 +26,7 @@ def test_split_salted_equals_plain_window(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     from collections import Counter
     cols = ("user_id", "artist_name", "play_count", "is_test")
-    a = Counter(tuple(r) for r in split.holdout_flag(df, digits=1).select(*cols).collect())
+    a = Counter(tuple(r) for r in split.holdout_flag(df, digits=1, hot_rows=10).select(*cols).collect())
     b = Counter(tuple(r) for r in split.holdout_flag(df, digits=4).select(*cols).collect())
     assert a == b
     pdf = pd.DataFrame(rows, columns=["user_id", "artist_name", "play_count", "artist_mbid"])

@@ -61,10 +61,10 @@ def thousands(c) -> Column:
 
 
 def medal(rank_col) -> Column:
-    """Medal text for ranks 1-3, '#n' otherwise."""
+    """Medal for ranks 1-3, the plain number otherwise (fixed values)."""
     r = _c(rank_col)
-    return (F.when(r == 1, F.lit("🥇")).when(r == 2, F.lit("🥈")).when(r == 3, F.lit("🥉"))
-            .otherwise(F.concat(F.lit("#"), r.cast("string"))))
+    return (F.when(r == 1, F.lit("🏆")).when(r == 2, F.lit("🥈")).when(r == 3, F.lit("🥉"))
+            .otherwise(r.cast("string")))
 
 
 def percent1(c) -> Column:

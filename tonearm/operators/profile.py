@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def table_counts(df: DataFrame, user_col: str = "user_id", item_col: str = "artist_name") -> DataFrame:
-    """A1: rows and exact distinct users / artists (nulls not counted)."""
-    return df.agg(F.count("*").alias("n_rows"),
-                  F.countDistinct(user_col).alias("n_users"),
-                  F.countDistinct(item_col).alias("n_artists"))
+def sides(df: DataFrame, is_a: Column, user_col: str, item_col: str) -> DataFrame:
+    """One row: rows, distinct users and items of all rows, of those where ``is_a`` holds and of the others.
+
+    Rows are counted per (user, item) first; both distinct counts then run over that
+    smaller, shared table, so no row is expanded once per distinct count.
+    """
+    g = df.groupBy(user_col, item_col).agg(F.count_if(is_a).alias("a"), F.count_if(~is_a).alias("b"))
+
+    def per(key: str, name: str) -> DataFrame:
+        k = g.groupBy(key).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        named = F.col(key).isNotNull()
+        cols = [F.count_if(named).alias(name), F.count_if(named & (F.col("a") > 0)).alias(f"{name}_a"),
+                F.count_if(named & (F.col("b") > 0)).alias(f"{name}_b")]
+        return k.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("rows_a"), F.coalesce(F.sum("b"), F.lit(0)).alias("rows_b"),
+                     *cols)
 
+    both = per(user_col, "users").unionByName(per(item_col, "items"), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
-def raw_profile(df: DataFrame, user_col: str = "user_id", item_col: str = "artist_name") -> DataFrame:
-    """A1 + A2 + A3 of the raw scan in one pass: rows, distinct users / artists,
-    rows without a name, and duplicate (user, name) rows among the named ones."""
-    named = F.col(item_col).isNotNull()
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.countDistinct(user_col).alias("n_users"),
-        F.countDistinct(item_col).alias("n_artists"),
-        F.count_if(~named).alias("n_missing_names"),
-        (F.count_if(named) - F.countDistinct(F.when(named, F.to_json(F.struct(user_col, item_col)))))
-        .alias("n_duplicates"))
+
+def table_counts(df: DataFrame, user_col: str = "user_id", item_col: str = "artist_name") -> DataFrame:
+    """A1: rows and exact distinct users / artists (nulls not counted)."""
+    s = sides(df, F.lit(True), user_col, item_col)
+    return s.select(F.col("rows_a").alias("n_rows"), F.col("users").alias("n_users"), F.col("items").alias("n_artists"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -33,8 +39,8 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_count(df: DataFrame, keys=("user_id", "artist_name")) -> DataFrame:
     """A3: rows beyond the first of each key (null keys compare equal, as in pandas)."""
-    key = F.struct(*[F.col(k) for k in keys])
-    return df.agg((F.count("*") - F.countDistinct(F.to_json(key))).alias("n_duplicates"))
+    groups = df.groupBy(*keys).agg((F.count("*") - 1).alias("more"))
+    return groups.agg(F.coalesce(F.sum("more"), F.lit(0)).alias("n_duplicates"))
 
 
 def group_sizes(df: DataFrame, key: str) -> DataFrame:
@@ -50,36 +56,23 @@ def confidence_stats(df: DataFrame, col: str = "confidence") -> DataFrame:
 
 def retention(before: DataFrame, after: DataFrame, user_col: str = "user_id",
               item_col: str = "artist_name") -> DataFrame:
-    """A10: share of rows, users and artists kept.
-
-    Both sides go through one conditional aggregation over their union, so no
-    join of the two one-row results is needed.
-    """
+    """A10: share of rows, users and artists kept."""
     cols = [user_col, item_col]
     both = (before.select(*cols).withColumn("_after", F.lit(False))
             .unionByName(after.select(*cols).withColumn("_after", F.lit(True))))
-    a, b = F.col("_after"), ~F.col("_after")
-    out = both.agg(
-        F.count_if(b).alias("n_rows"),
-        F.countDistinct(F.when(b, F.col(user_col))).alias("n_users"),
-        F.countDistinct(F.when(b, F.col(item_col))).alias("n_artists"),
-        F.count_if(a).alias("n_rows_after"),
-        F.countDistinct(F.when(a, F.col(user_col))).alias("n_users_after"),
-        F.countDistinct(F.when(a, F.col(item_col))).alias("n_artists_after"))
+    s = sides(both, F.col("_after"), user_col, item_col)
+    out = s.select(F.col("rows_b").alias("n_rows"), F.col("users_b").alias("n_users"), F.col("items_b").alias("n_artists"),
+                   F.col("rows_a").alias("n_rows_after"), F.col("users_a").alias("n_users_after"),
+                   F.col("items_a").alias("n_artists_after"))
     return out.select("*", *[F.try_divide(F.col(f"{c}_after") * 100.0, F.col(c)).alias(f"pct_{c[2:]}_kept")
                              for c in ("n_rows", "n_users", "n_artists")])
 
 
 def split_shares(flagged: DataFrame) -> DataFrame:
     """A10 for the split: train / test row counts and percentages."""
-    return flagged.agg(
-        F.count("*").alias("n_rows"),
-        F.countDistinct("user_id").alias("n_users"),
-        F.countDistinct("artist_name").alias("n_artists"),
-        F.count_if(~F.col("is_test")).alias("train_rows"),
-        F.count_if(F.col("is_test")).alias("test_rows"),
-        F.countDistinct(F.when(~F.col("is_test"), F.col("user_id"))).alias("train_users"),
-        F.countDistinct(F.when(F.col("is_test"), F.col("user_id"))).alias("test_users"),
-    ).select("*",
-             F.try_divide(F.col("train_rows") * 100.0, F.col("n_rows")).alias("pct_train"),
-             F.try_divide(F.col("test_rows") * 100.0, F.col("n_rows")).alias("pct_test"))
+    s = sides(flagged, F.col("is_test"), "user_id", "artist_name")
+    out = s.select((F.col("rows_a") + F.col("rows_b")).alias("n_rows"), F.col("users").alias("n_users"),
+                   F.col("items").alias("n_artists"), F.col("rows_b").alias("train_rows"), F.col("rows_a").alias("test_rows"),
+                   F.col("users_b").alias("train_users"), F.col("users_a").alias("test_users"))
+    return out.select("*", F.try_divide(F.col("train_rows") * 100.0, F.col("n_rows")).alias("pct_train"),
+                      F.try_divide(F.col("test_rows") * 100.0, F.col("n_rows")).alias("pct_test"))

@@ -5,25 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tonearm.session import materialize
+
+# A user is cut into cells above this many rows, if it also holds more than 1 / HOT_USERS of all rows.
+HOT_ROWS, HOT_USERS = 100_000, 10_000
+
 
 def holdout_flag(df: DataFrame, test_size: float = 0.2, seed: int = 42, user_col: str = "user_id",
-                 item_col: str = "artist_name", digits: int = 4) -> DataFrame:
+                 item_col: str = "artist_name", digits: int = 4, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Flag ``max(1, floor(n * test_size))`` rows of each user as test.
 
     The rows of a user are ordered by ``md5(user:item:seed)`` (then plays, mbid,
     raw name), a seeded pseudo-random order that is the same in every engine.
 
-    Skew: a single user may own a large share of all rows, so we never sort a
-    whole user in one task.  The first ``digits`` hex digits of the hash cut each
-    user into up to 16**digits cells.  Cell sizes come from a narrow partial
-    aggregation and are prefix-summed per user over that small cell table; the
-    rows are numbered inside their cell and then meet the cell's offset in a
-    join on (user, cell) that reuses that partitioning.  A row's rank in its user is
-    the rows in earlier cells plus its number in the cell, and the full rows are
-    shuffled once.
+    Skew: a single user may own a large share of all rows, so such a user is never
+    sorted in one task.  Users above ``hot_rows`` rows and above 1 / HOT_USERS of all
+    rows (so at most HOT_USERS, a bounded broadcast) are cut into up to 16**digits
+    cells by the first digits of the hash; everyone else is one cell.  Cell sizes are
+    prefix-summed per user over the cell table, which is about a row per user; the
+    rows are numbered inside their cell and meet the cell's offset in a join on
+    (user, cell) that reuses that partitioning, so the full rows are shuffled once.
     """
     h = F.md5(F.concat_ws(":", F.col(user_col), F.col(item_col), F.lit(str(seed))))
-    keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
+    counts = materialize(df.groupBy(user_col).agg(F.count("*").alias("_n")), "split-users")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = (counts.where(F.col("_n") > max(hot_rows, total // HOT_USERS)).select(F.col(user_col).alias("_u"))
+           .withColumn("_hot", F.lit(True)))
+    keyed = df.withColumn("_h", h).join(F.broadcast(hot), F.col(user_col) == F.col("_u"), "left")
+    keyed = keyed.withColumn("_b", F.when(F.col("_hot"), F.substring("_h", 1, digits)).otherwise("")).drop("_u", "_hot")
     order = [F.asc("_h")]
     if "play_count" in df.columns:
         order.append(F.asc("play_count"))

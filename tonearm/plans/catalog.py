@@ -113,6 +113,11 @@ def a5(spark, sf):
     return profile.group_sizes(fx.core(spark, sf), "user_id")
 
 
+@register("a5_rows_per_artist", o.with_("core") + "SELECT artist_name, count(*) AS n_rows FROM core GROUP BY artist_name")
+def a5a(spark, sf):
+    return profile.group_sizes(fx.core(spark, sf), "artist_name")
+
+
 @register("a10_retention", o.with_("core") + """SELECT n_rows, n_users, n_artists, n_rows_after, n_users_after,
   n_artists_after, round(100.0 * n_rows_after / n_rows, 6) AS pct_rows_kept,
   round(100.0 * n_users_after / n_users, 6) AS pct_users_kept,
@@ -159,6 +164,11 @@ def u3(spark, sf):
     return ids.distinct_keys(fx.core(spark, sf), "user_id")
 
 
+@register("u3_distinct_artists", o.with_("core") + "SELECT DISTINCT artist_name FROM core")
+def u3a(spark, sf):
+    return ids.distinct_keys(fx.core(spark, sf), "artist_name")
+
+
 @register("u4_user_index", o.with_("core", *o.dense_ids_sql()) + "SELECT * FROM umap")
 def u4u(spark, sf):
     return ids.user_index(fx.core(spark, sf))
@@ -175,18 +185,18 @@ def _maps(spark, sf):
 
 
 @register("j1_lookup_indices", o.with_("split", *o.dense_ids_sql()) +
-          f"SELECT {OUT}, user_idx, artist_idx FROM test LEFT JOIN umap USING (user_id) LEFT JOIN amap USING (artist_name)")
+          f"SELECT {OUT}, user_idx, artist_idx FROM fl LEFT JOIN umap USING (user_id) LEFT JOIN amap USING (artist_name)")
 def j1(spark, sf):
     um, am = _maps(spark, sf)
-    return ids.attach_indices(fx.test(spark, sf).select(*OUT.split(", ")), um, am)
+    return ids.attach_indices(fx.flagged(spark, sf).select(*OUT.split(", ")), um, am)
 
 
 @register("j2_reverse_lookup", o.with_("split", *o.dense_ids_sql()) +
-          "SELECT artist_idx, artist_name FROM (SELECT DISTINCT artist_idx FROM test JOIN amap USING (artist_name)) "
+          "SELECT artist_idx, artist_name FROM (SELECT DISTINCT artist_idx FROM fl JOIN amap USING (artist_name)) "
           "JOIN amap USING (artist_idx)")
 def j2(spark, sf):
     um, am = _maps(spark, sf)
-    idx = ids.attach_indices(fx.test(spark, sf), um, am, "inner").select("artist_idx").distinct()
+    idx = ids.attach_indices(fx.flagged(spark, sf), um, am, "inner").select("artist_idx").distinct()
     return ids.attach_names(idx, am).select("artist_idx", "artist_name")
 
 
@@ -234,6 +244,7 @@ def a11(spark, sf):
     return charts.artist_stats(fx.train(spark, sf))
 
 
+REC_USERS = "ru AS (SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT user_id FROM uf))"
 CHARTS_SQL = o.with_("split", """stats AS (SELECT artist_name, CAST(sum(play_count) AS BIGINT) AS play_count,
    count(DISTINCT user_id) AS listener_count FROM train GROUP BY artist_name)""",
                      o.topk_sql("stats", "1", str(CFG.charts_k), "ch", score="play_count"))
@@ -245,7 +256,7 @@ def m6(spark, sf):
 
 
 @register("p12_chart_display", CHARTS_SQL + r"""SELECT rank,
-    CASE rank WHEN 1 THEN '🥇' WHEN 2 THEN '🥈' WHEN 3 THEN '🥉' ELSE concat('#', rank) END AS badge,
+    CASE rank WHEN 1 THEN '🏆' WHEN 2 THEN '🥈' WHEN 3 THEN '🥉' ELSE CAST(rank AS VARCHAR) END AS badge,
     array_to_string(list_transform(regexp_extract_all(lower(artist_name), '\p{L}+|[^\p{L}]'),
                                    lambda x: concat(upper(x[1]), x[2:])), '') AS artist,
     format('{:,}', play_count) AS plays, format('{:,}', listener_count) AS listeners FROM ch""")
@@ -253,6 +264,22 @@ def p12(spark, sf):
     return charts.chart_display(charts.top_charts(fx.train(spark, sf), CFG.charts_k))
 
 
+@register("p12_recommendation_display", o.with_("factors", REC_USERS, o.unseen_scores_sql("ru"),
+                                                o.topk_sql("scored", "user_id", str(CFG.top_k), "recs")) +
+          r"""SELECT user_id, concat('#', rank) AS place,
+    array_to_string(list_transform(regexp_extract_all(lower(artist_name), '\p{L}+|[^\p{L}]'),
+                                   lambda x: concat(upper(x[1]), x[2:])), '') AS artist,
+    format('Score: {:.2f}', round(score, 6)) AS shown_score,
+    format('Similarity: {:.1f}%', round(score, 6) * 100) AS shown_similarity FROM recs""")
+def p12r(spark, sf):
+    """Rank, title-cased name, score with two decimals and as a percentage with one."""
+    recs = Q["m3_user_recs"](spark, sf)
+    return recs.select("user_id", F.concat(F.lit("#"), F.col("rank").cast("string")).alias("place"),
+                       names.title_name("artist_name").alias("artist"),
+                       F.concat(F.lit("Score: "), names.score2("score")).alias("shown_score"),
+                       F.concat(F.lit("Similarity: "), names.percent1("score"), F.lit("%")).alias("shown_similarity"))
+
+
 # ---------------------------------------------------------------- sampling
 @register("u5_sample_users", o.with_("split") + "SELECT user_id FROM (SELECT DISTINCT user_id FROM train) "
           "ORDER BY md5(concat(user_id, ':42')), user_id LIMIT 5")
@@ -267,7 +294,6 @@ def u6(spark, sf):
 
 
 # ---------------------------------------------------------------- scoring on given factors
-REC_USERS = "ru AS (SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT user_id FROM uf))"
 
 
 @register("m3_user_recs", o.with_("factors", REC_USERS, o.unseen_scores_sql("ru"),
@@ -385,6 +411,26 @@ def s14b(spark, sf):
     return moods_src.mood_seeds(fx.moods(spark, sf), "  ROCK ")
 
 
+_REAL_MOODS = "real(mood, name, description, seeds) AS (VALUES " + ", ".join(
+    f"('{m}', '{n}', '{d}', [" + ", ".join("'" + x.replace("'", "''") + "'" for x in seeds) + "])"
+    for m, n, d, seeds in moods_src.MOOD_PROFILES) + ")"
+
+
+@register("s14_mood_profiles_in_catalog", o.with_("factors", _REAL_MOODS) + """SELECT mood, name, description, seed,
+    CAST(pos - 1 AS INTEGER) AS pos, seed IN (SELECT artist_name FROM artists) AS found,
+    (SELECT count(*) FROM train WHERE artist_name = seed) AS n_plays
+    FROM (SELECT mood, name, description, unnest(seeds) AS seed, unnest(range(1, len(seeds) + 1)) AS pos FROM real)""")
+def s14c(spark, sf):
+    """The twelve real moods with their seeds looked up in the artist catalog and the train rows."""
+    m = moods_src.mood_profiles(spark).select("mood", "name", "description",
+                                              F.posexplode("seed_artists").alias("pos", "seed"))
+    known = fx.artists(spark, sf).select(F.col("artist_name").alias("seed"), F.lit(True).alias("hit"))
+    plays = fx.train(spark, sf).groupBy(F.col("artist_name").alias("seed")).agg(F.count("*").alias("n"))
+    return m.join(known, "seed", "left").join(plays, "seed", "left").select(
+        "mood", "name", "description", "seed", "pos", F.coalesce("hit", F.lit(False)).alias("found"),
+        F.coalesce("n", F.lit(0)).alias("n_plays"))
+
+
 @register("m4_found_seeds", o.with_("factors", *_mood_ctes()) +
           "SELECT mood, list(seed_name ORDER BY pos) AS found_seeds FROM found GROUP BY mood")
 def m4f(spark, sf):
@@ -572,6 +618,13 @@ for _name, _sql in R_SQL.items():
     register(_name + "_stream", _sql)(_stream_metric(_name))
 
 
+@register("r5_model_gauges", o.with_("factors") + """SELECT 'model_loaded' AS gauge, CAST(1 AS DOUBLE) AS value
+    UNION ALL SELECT 'model_users_total', (SELECT count(*) FROM uf)
+    UNION ALL SELECT 'model_artists_total', (SELECT count(*) FROM itf)""")
+def r5g(spark, sf):
+    return monitor.model_gauges(fx.user_factors(spark, sf), fx.item_factors(spark, sf))
+
+
 @register("r2_latency_histogram_long", LOG + f"SELECT method, endpoint, le, bucket_count, round(duration_sum, 6) AS duration_sum, requests FROM (SELECT method, endpoint, {_BUCKET_SQL}, count(*) AS le_inf, sum(duration) AS duration_sum, count(*) AS requests FROM log GROUP BY ALL) UNPIVOT (bucket_count FOR le IN (" + ", ".join(f"le_{str(b).replace('.', '_')} AS '{b}'" for b in monitor.LATENCY_BUCKETS) + ", le_inf AS 'inf'))")
 def r2l(spark, sf):
     return _finish(monitor.histogram_long(monitor.latency_histogram(fx.request_log(spark, sf))), None,
@@ -715,13 +768,15 @@ _DISPATCH_CTES = [
     f"""reqs AS (SELECT event_id AS request_id,
         CASE WHEN event_type IN ('view', 'signup') THEN 'mood' WHEN event_type IN ('click', 'purchase') THEN 'user'
              ELSE 'random' END AS type,
-        CASE WHEN event_type IN ('view', 'signup') THEN {o.MOOD_ARRAY}[user_id % 12 + 1] END AS mood,
-        CASE WHEN event_type IN ('click', 'purchase') THEN concat('u', user_id) END AS user_id,
-        CAST(event_id % 60 AS INTEGER) AS k FROM events)""",
+        CASE WHEN event_type IN ('view', 'signup') THEN CASE WHEN event_id % 67 = 0 THEN '' WHEN event_id % 71 = 0
+             THEN 'no such mood' ELSE {o.MOOD_ARRAY}[user_id % 12 + 1] END END AS mood,
+        CASE WHEN event_type IN ('click', 'purchase') THEN CASE WHEN event_id % 73 = 0 THEN 'nobody'
+             ELSE concat('u', user_id) END END AS user_id,
+        CASE WHEN event_id % 61 = 0 THEN {req_op.DEFAULT_K} ELSE CAST(event_id % 60 AS INTEGER) END AS k FROM events)""",
     f"""v AS (SELECT *, CASE WHEN type IS NULL OR type NOT IN ('mood', 'user', 'random')
              THEN 'type must be mood, user or random'
-           WHEN k IS NULL OR k < 1 OR k > {req_op.MAX_K} THEN 'k must be between 1 and {req_op.MAX_K}'
-           WHEN type = 'mood' AND mood IS NULL THEN 'mood is required for mood requests'
+           WHEN k < 1 OR k > {req_op.MAX_K} THEN 'k must be between 1 and {req_op.MAX_K}'
+           WHEN type = 'mood' AND coalesce(mood, '') = '' THEN 'mood is required for mood requests'
            WHEN type = 'user' AND user_id IS NULL THEN 'user_id is required for user requests' END AS error
          FROM reqs)""",
     "ok AS (SELECT * FROM v WHERE error IS NULL)",
@@ -751,12 +806,20 @@ _DISPATCH_CTES = [
         u.score FROM ureq q JOIN uru u ON u.user_id = q.user_id AND u.rank <= q.k)""",
     "answered AS (SELECT * FROM mood_rows UNION ALL SELECT * FROM user_rows)",
 ]
-DISPATCH_SQL = o.with_("factors", *_DISPATCH_CTES) + """
-SELECT request_id, type, mood, user_id, rank, artist_name, round(score, 6) AS score, CAST(NULL AS VARCHAR) AS error
-  FROM answered
-UNION ALL SELECT request_id, type, mood, user_id, NULL, NULL, NULL, error FROM v WHERE error IS NOT NULL
-UNION ALL SELECT request_id, type, mood, user_id, NULL, NULL, NULL, 'no recommendations for this request' FROM ok
-  WHERE request_id NOT IN (SELECT request_id FROM answered)"""
+DISPATCH_SQL = o.with_("factors", *_DISPATCH_CTES) + """, seeds AS (
+  SELECT mood, list(seed_name ORDER BY pos) AS seed_artists FROM found GROUP BY mood),
+rows AS (SELECT request_id, rank, artist_name, score, user_id FROM answered)
+SELECT q.request_id, q.type, q.mood, CASE WHEN q.type = 'mood' THEN NULL ELSE coalesce(r.user_id, q.user_id) END AS user_id,
+  r.rank, r.artist_name, round(r.score, 6) AS score, s.seed_artists,
+  CASE WHEN r.rank IS NOT NULL THEN NULL
+       WHEN q.type = 'mood' AND q.mood NOT IN (SELECT mood FROM moods) THEN 'unknown mood'
+       WHEN q.type = 'mood' AND s.mood IS NULL THEN 'no seed artist in the data'
+       WHEN q.type = 'mood' AND q.mood NOT IN (SELECT mood FROM chosen) THEN 'no listener of the seed artists'
+       WHEN q.type = 'user' AND q.user_id NOT IN (SELECT user_id FROM train) THEN 'unknown user'
+       WHEN q.type = 'user' AND q.user_id NOT IN (SELECT user_id FROM uf) THEN 'user without factors'
+       ELSE 'no recommendations for this request' END AS error
+FROM ok q LEFT JOIN rows r USING (request_id) LEFT JOIN seeds s ON q.type = 'mood' AND s.mood = q.mood
+UNION ALL SELECT request_id, type, mood, user_id, NULL, NULL, NULL, NULL, error FROM v WHERE error IS NOT NULL"""
 
 
 @register("m15_dispatch_requests", DISPATCH_SQL)
@@ -764,35 +827,41 @@ def m15(spark, sf):
     r = req_op.dispatch(fx.recommend_requests(spark, sf), fx.moods(spark, sf), fx.artists(spark, sf),
                         fx.train(spark, sf), fx.user_factors(spark, sf), fx.item_factors(spark, sf), CFG.seed,
                         CFG.mood_users)
-    return r.select("request_id", "type", "mood", "user_id", "rank", "artist_name", _r6("score"), "error")
+    return r.select("request_id", "type", "mood", "user_id", "rank", "artist_name", _r6("score"),
+                    "seed_artists", "error")
 
 
 @register("p10_validate_requests", o.with_("plays", *_DISPATCH_CTES[:2]) +
           "SELECT request_id, type, mood, user_id, k, error FROM v")
 def p10(spark, sf):
-    return req_op.validate(fx.recommend_requests(spark, sf))
+    return req_op.validate(fx.recommend_requests(spark, sf).withColumn("mood", names.query_key("mood")))
 
 
 # ---------------------------------------------------------------- processed-data sinks and sources
 from tonearm.sources import io as io_src  # noqa: E402
 
 
-@register("s6_s2_interactions_csv_roundtrip", o.with_("split") +
-          f"SELECT {OUT}, confidence, preference FROM test")
+def _both_halves(spark, sf, fmt):
+    """S6 write (partitioned by split), then S2 read of either half (partition-pruned), labelled."""
+    path = scratch_path(spark, f"interactions-{fmt}")
+    io_src.write_interactions(fx.flagged(spark, sf), path, fmt=fmt)
+    train, test = (io_src.read_interactions(spark, path, half, fmt=fmt).select(
+        *OUT.split(", "), "confidence", "preference") for half in ("train", "test"))
+    return split.split_union(train, test)
+
+
+_HALVES_SQL = o.with_("split") + (f"SELECT {OUT}, confidence, preference, 'train' AS split FROM train UNION ALL "
+                                  f"SELECT {OUT}, confidence, preference, 'test' AS split FROM test")
+
+
+@register("s6_s2_interactions_csv_roundtrip", _HALVES_SQL)
 def s6(spark, sf):
-    """S6 write (CSV, partitioned by split) then S2 read of the test half (partition-pruned)."""
-    path = scratch_path(spark, "interactions-csv")
-    io_src.write_interactions(fx.flagged(spark, sf), path, fmt="csv")
-    back = io_src.read_interactions(spark, path, "test", fmt="csv")
-    return back.select(*OUT.split(", "), "confidence", "preference")
+    return _both_halves(spark, sf, "csv")
 
 
-@register("s6_s2_interactions_parquet_roundtrip", o.with_("split") +
-          f"SELECT {OUT}, confidence, preference FROM train")
+@register("s6_s2_interactions_parquet_roundtrip", _HALVES_SQL)
 def s6p(spark, sf):
-    path = scratch_path(spark, "interactions")
-    io_src.write_interactions(fx.flagged(spark, sf), path)
-    return io_src.read_interactions(spark, path, "train").select(*OUT.split(", "), "confidence", "preference")
+    return _both_halves(spark, sf, "parquet")
 
 
 @register("s8_s3_artist_map_json_roundtrip", o.with_("core", *o.dense_ids_sql()) + "SELECT * FROM amap")

@@ -173,9 +173,10 @@ def recommend_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     rtype = (F.when(et.isin("view", "signup"), "mood").when(et.isin("click", "purchase"), "user")
              .otherwise("random"))
     mood_arr = F.array(*[F.lit(m) for m in MOOD_KEYS])
+    n = F.col("event_id")
+    mood = (F.when(n % 67 == 0, F.lit("")).when(n % 71 == 0, F.lit(" No Such Mood"))
+            .otherwise(F.element_at(mood_arr, (F.col("user_id") % 12 + 1).cast("int"))))
+    user = F.when(n % 73 == 0, F.lit("nobody")).otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string")))
     return ev.select(
-        F.col("event_id").alias("request_id"),
-        rtype.alias("type"),
-        F.when(rtype == "mood", F.element_at(mood_arr, (F.col("user_id") % 12 + 1).cast("int"))).alias("mood"),
-        F.when(rtype == "user", F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("user_id"),
-        (F.col("event_id") % 60).cast("int").alias("k"))
+        n.alias("request_id"), rtype.alias("type"), F.when(rtype == "mood", mood).alias("mood"),
+        F.when(rtype == "user", user).alias("user_id"), F.when(n % 61 != 0, (n % 60).cast("int")).alias("k"))

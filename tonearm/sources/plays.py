@@ -20,17 +20,22 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "nan", "null"]
 
 
-def read_plays_tsv(spark: SparkSession, path: str, pandas_na: bool = False,
-                   with_order: bool = True) -> DataFrame:
+def read_plays_tsv(spark: SparkSession, path: str, pandas_na: bool = False, with_order: bool = True,
+                   malformed: str = "fail") -> DataFrame:
     """Scan the raw TSV with an explicit schema.
 
     Quotes are not special (``quote=""``): an artist such as ``"weird al`` is
     kept intact instead of swallowing the next field.  ``_row`` records the file
     order (file splits are deterministic, so it is stable across retries) and is
-    what "first non-null mbid" refers to in :func:`dedup_plays`.
+    what "first non-null mbid" refers to in :func:`dedup_plays`.  A line with a malformed
+    field or the wrong number of fields is an error (``malformed="fail"``) or is kept with
+    its text in ``_malformed`` (``"keep"``), so that nothing turns into nulls unseen.
     """
+    schema = PLAYS_SCHEMA if malformed == "fail" else T.StructType(
+        [*PLAYS_SCHEMA.fields, T.StructField("_malformed", T.StringType())])
     df = (spark.read.option("sep", "\t").option("header", "false").option("quote", "")
-          .option("mode", "PERMISSIVE").schema(PLAYS_SCHEMA).csv(path))
+          .option("mode", "FAILFAST" if malformed == "fail" else "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_malformed").schema(schema).csv(path))
     if pandas_na:
         for c in ("user_id", "artist_mbid", "artist_name"):
             df = df.withColumn(c, F.when(F.col(c).isin(PANDAS_NA_TOKENS), None).otherwise(F.col(c)))

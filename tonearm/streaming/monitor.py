@@ -62,6 +62,18 @@ def gauges_last(log: DataFrame) -> DataFrame:
         F.max("ts").alias("ts"))
 
 
+def model_gauges(user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
+    """The model gauges: whether factors are loaded (1 or 0), their users and their artists."""
+    sides = user_factors.select(F.lit("model_users_total").alias("gauge")).unionByName(
+        item_factors.select(F.lit("model_artists_total").alias("gauge")))
+    n = sides.agg(F.count_if(F.col("gauge") == "model_users_total").alias("u"),
+                  F.count_if(F.col("gauge") == "model_artists_total").alias("a"))
+    loaded = ((F.col("u") > 0) & (F.col("a") > 0)).cast("double")
+    return n.select(F.explode(F.create_map(
+        F.lit("model_loaded"), loaded, F.lit("model_users_total"), F.col("u").cast("double"),
+        F.lit("model_artists_total"), F.col("a").cast("double"))).alias("gauge", "value"))
+
+
 def _window_cols(w: str = "window") -> list:
     return [F.col(f"{w}.start").alias("window_start"), F.col(f"{w}.end").alias("window_end")]
 
