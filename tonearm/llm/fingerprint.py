@@ -74,19 +74,19 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     rows; extra columns are not read.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("kid"),
-                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
+                       F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     pairs = materialize(successors(rows), "fingerprint-pairs")
-    dealt = rows.select("kid", "doc_id", "text")
-    first = Window.partitionBy("kid").orderBy(F.xxhash64("text"))
-    heads = (dealt.withColumn("before", F.lag(F.lit(1)).over(first)).filter("before IS NULL")
+    # Both sides use the same columns, so the texts are shuffled once for both.
+    first = Window.partitionBy("kid").orderBy("th")
+    heads = (rows.withColumn("before", F.lag(F.lit(1)).over(first)).filter("before IS NULL")
              .join(pairs, F.col("kid") == F.col("nid"))
-             .select("pid", "text", "need"))
+             .select("pid", F.col("doc_id").alias("next_doc_id"), "text", "need"))
     heads = with_anchors(heads, "text", "next_anchors").select(
-        "pid", F.substring("text", F.lit(1), F.col("need").cast("int")).alias("head"), "next_anchors")
+        "pid", "next_doc_id", F.substring("text", F.lit(1), F.col("need").cast("int")).alias("head"), "next_anchors")
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    both = dealt.join(heads, F.col("kid") == F.col("pid")).select(
-        "doc_id", n.cast("long").alias("n_chars"), "text", "next_anchors",
+    both = rows.join(heads, F.col("kid") == F.col("pid")).select(
+        "doc_id", n.cast("long").alias("n_chars"), "text", "th", "next_doc_id", "next_anchors",
         F.concat(F.substring("text", F.lit(1), n - third), F.substring("head", F.lit(1), third)).alias("edited"))
     both = both.withColumn("edited_sha256", F.sha2(F.col("edited"), 256))
     both = with_anchors(both, "text", "anchors").drop("text")
@@ -95,4 +95,4 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", as_text("anchors").alias("fingerprint"),
         as_text("edited_anchors").alias("edited_fingerprint"),
         likeness("anchors", "edited_anchors").alias("near_edited"),
-        likeness("anchors", "next_anchors").alias("near_next"))
+        likeness("anchors", "next_anchors").alias("near_next"), "next_doc_id", F.hex("th").alias("text_hash"))
