@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.llm.common import lookup
-from tonearm.session import materialize
+from tonearm.session import drop_scratch, materialize
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -40,11 +40,12 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
                     .select("u", F.least(rank(a), F.col("m"))["n"].alias("rep")))
         pick = materialize(pick, "cc-pick")
         picks.append(pick)
-        half = lookup(live, pick, "u", ["rep"]).select(F.col("rep").alias("ru"), "v")
-        full = lookup(materialize(half, "cc-half"), pick.withColumnRenamed("u", "v"), "v", ["rep"])
-        live = materialize(
+        half = materialize(lookup(live, pick, "u", ["rep"]).select(F.col("rep").alias("ru"), "v"), "cc-half")
+        full = lookup(half, pick.withColumnRenamed("u", "v"), "v", ["rep"])
+        done, live = live, materialize(
             full.filter(F.col("ru") != F.col("rep"))
             .select(F.least("ru", "rep").alias("u"), F.greatest("ru", "rep").alias("v")).distinct(), "cc-edges")
+        drop_scratch(done, half)
     if not picks:
         return live.select(a.alias("node"), b.alias("component"))
     # A node that stops appearing has reached its final representative, so the maps
@@ -53,7 +54,8 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     for pick in reversed(picks[:-1]):
         step = lookup(pick, total, "rep", ["component"])
         step = step.select("u", F.coalesce("component", "rep").alias("component"))
-        total = materialize(step.withColumnRenamed("u", "rep"), "cc-map")
+        done, total = total, materialize(step.withColumnRenamed("u", "rep"), "cc-map")
+        drop_scratch(done, pick)
     return total.withColumnRenamed("rep", "node")
 
 
