@@ -63,3 +63,40 @@ def test_unseen_topk_for_hot_user(spark):
     s = v @ u
     want = sorted(((-s[j], items[j]) for j in range(300) if items[j] not in seen))[:10]
     assert got == [(name, i + 1) for i, (_, name) in enumerate(want)]
+
+
+def test_matrix_and_mood_requests_exact_with_hot_artist(spark):
+    """One artist with half of all rows, one mood with nearly all requests: whole and exact."""
+    from tonearm.operators import matrix, requests
+
+    rng = np.random.default_rng(9)
+    rows = [(f"u{i % 150}", "hot" if i % 2 else f"a{rng.integers(0, 40)}", 1 + i % 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "user_id string, artist_name string, play_count long")
+    inter = df.withColumn("confidence", 1 + 40 * F.col("play_count"))
+    users = df.select("user_id").distinct().withColumn("user_idx", F.expr("cast(substring(user_id, 2) as int)"))
+    artists = df.select("artist_name").distinct().withColumn("artist_idx", F.xxhash64("artist_name").cast("int"))
+    m = matrix.play_matrix(matrix.indexed_interactions(inter, users, artists))
+    want = pd.DataFrame(rows, columns=["u", "a", "p"]).groupby(["u", "a"]).p.sum()
+    assert m.count() == len(want) and m.agg(F.sum("plays")).first()[0] == want.sum()
+
+    uf = users.select("user_id", F.array(F.rand(1), F.rand(2)).alias("features"))
+    itf = artists.select("artist_name", F.array(F.rand(3), F.rand(4)).alias("features"))
+    uf.cache().count(), itf.cache().count()
+    moods = spark.createDataFrame([("rock", "Rock", "", ["hot", "a1"]), ("mute", "Mute", "", ["nobody"])],
+                                  "mood string, name string, description string, seed_artists array<string>")
+    reqs = [(i, "mood", "rock" if i % 50 else "mute", None, 3 if i % 7 else None) for i in range(2000)]
+    reqs += [(2000, "mood", "", None, 3), (2001, "mood", "blues", None, 3), (2002, "user", None, "nobody", 3),
+             (2003, "user", None, None, 3), (2004, "random", None, None, 51), (2005, "random", None, None, 2)]
+    req = spark.createDataFrame(reqs, "request_id long, type string, mood string, user_id string, k int")
+    out = requests.dispatch(req, moods, artists.select("artist_name"), df, uf, itf, n_users=20).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.request_id, []).append(r)
+    assert set(by) == {r[0] for r in reqs}
+    assert all(len(by[i]) == (reqs[i][4] or 10) and by[i][0].seed_artists == ["hot", "a1"]
+               for i in range(2000) if i % 50)
+    errors = {i: by[i][0].error for i in (50, 2000, 2001, 2002, 2003, 2004)}
+    assert errors == {50: "no seed artist in the data", 2000: "mood is required for mood requests",
+                      2001: "unknown mood", 2002: "unknown user", 2003: "user_id is required for user requests",
+                      2004: "k must be between 1 and 50"}
+    assert len(by[2005]) == 2 and by[2005][0].error is None
