@@ -74,7 +74,7 @@ def test_matrix_and_mood_requests_exact_with_hot_artist(spark):
     df = spark.createDataFrame(rows, "user_id string, artist_name string, play_count long")
     inter = df.withColumn("confidence", 1 + 40 * F.col("play_count"))
     users = df.select("user_id").distinct().withColumn("user_idx", F.expr("cast(substring(user_id, 2) as int)"))
-    artists = df.select("artist_name").distinct().withColumn("artist_idx", F.xxhash64("artist_name").cast("int"))
+    artists = df.select("artist_name").distinct().withColumn("artist_idx", F.hash("artist_name"))
     m = matrix.play_matrix(matrix.indexed_interactions(inter, users, artists))
     want = pd.DataFrame(rows, columns=["u", "a", "p"]).groupby(["u", "a"]).p.sum()
     assert m.count() == len(want) and m.agg(F.sum("plays")).first()[0] == want.sum()

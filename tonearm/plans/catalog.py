@@ -751,14 +751,21 @@ def s11(spark, sf):
     return back.select("run_id", "experiment", "factors", _r6("precision_at_10"))
 
 
-@register("s13_report_roundtrip", RUNS_SQL + "SELECT run_id, CAST(factors AS INTEGER) AS factors, rank FROM cmp")
+@register("s13_report_roundtrip", RUNS_SQL + """SELECT format, run_id, CAST(factors AS INTEGER) AS factors, rank
+    FROM cmp, (VALUES ('csv'), ('json'), ('best')) f(format) WHERE format <> 'best' OR rank = 1""")
 def s13(spark, sf):
+    """The report's three files read back: the CSV, the JSON and the best run."""
+    from pyspark.sql import types as T
     path = scratch_path(spark, "report")
     runs_op.save_report(runs_op.comparison_table(_embedding_runs(spark, sf)), path)
-    from pyspark.sql import types as T
     schema = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("factors", T.IntegerType()),
                            T.StructField("rank", T.IntegerType())])
-    return spark.read.schema(schema).json(f"{path}/json")
+    csv = spark.read.option("header", "true").csv(f"{path}/csv").select(
+        "run_id", F.col("factors").cast("int").alias("factors"), F.col("rank").cast("int").alias("rank"))
+    parts = {"csv": csv, "json": spark.read.schema(schema).json(f"{path}/json"),
+             "best": spark.read.schema(schema).json(f"{path}/best")}
+    tagged = [df.select(F.lit(name).alias("format"), "run_id", "factors", "rank") for name, df in parts.items()]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
 # ---------------------------------------------------------------- request dispatcher
@@ -837,6 +844,13 @@ def p10(spark, sf):
     return req_op.validate(fx.recommend_requests(spark, sf).withColumn("mood", names.query_key("mood")))
 
 
+@register("p10_validate_k", o.with_("plays", *_DISPATCH_CTES[:1]) + f"""SELECT request_id, k,
+    CASE WHEN k < 1 OR k > {req_op.MAX_K} THEN 'k must be between 1 and {req_op.MAX_K}' END AS error FROM reqs""")
+def p10k(spark, sf):
+    """P10 for similar-artist and charts requests: default and bounds of k."""
+    return req_op.validate_k(fx.recommend_requests(spark, sf), req_op.MAX_K).select("request_id", "k", "error")
+
+
 # ---------------------------------------------------------------- processed-data sinks and sources
 from tonearm.sources import io as io_src  # noqa: E402
 
