@@ -33,6 +33,8 @@ SPACE = "▁"
 #: Code points of new units indexed at once and of texts held until then; units and
 #: pairs of pieces remembered per worker.  They bound a worker's memory.
 INDEX_CHARS, HELD_CHARS, KEPT_UNITS, KEPT_PAIRS = 1 << 18, 1 << 21, 200_000, 1_000_000
+#: Rows encoded and sent back at once.
+ROWS = 1024
 #: Up to twice so many code points are merged by scanning, longer units with a heap.
 PAIR_CHARS = 16
 _BYTES = -2  # an edge over one character outside the vocabulary
@@ -311,7 +313,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, shared)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             texts = batch.column("row").field("text")
             ids = encoder.encode(t.as_py() or "" for t in texts)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
