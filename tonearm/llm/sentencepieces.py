@@ -32,9 +32,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Code points of new units indexed at once and of texts held until then; units and
 #: pairs of pieces remembered per worker.  They bound a worker's memory.
-INDEX_CHARS, HELD_CHARS, KEPT_UNITS, KEPT_PAIRS = 1 << 18, 1 << 21, 200_000, 1_000_000
+INDEX_CHARS, HELD_CHARS, KEPT_UNITS, KEPT_PAIRS = 1 << 18, 1 << 20, 80_000, 400_000
 #: Rows encoded and sent back at once.
-ROWS = 1024
+ROWS = 512
 #: Up to twice so many code points are merged by scanning, longer units with a heap.
 PAIR_CHARS = 16
 _BYTES = -2  # an edge over one character outside the vocabulary
@@ -300,9 +300,11 @@ def _encoder(model: str, shared) -> Encoder:
     return _ENCODERS[model]
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, read_back: bool = False) -> DataFrame:
     """The columns of ``docs`` packed in ``row``, plus token_ids array<int>.
 
+    ``read_back`` adds ``decoded``, the text that the ids decode to, in the same pass.
+
     Null and empty texts give no pieces; any other text gives what the model's own
     merging gives, with the model's leading space.  Repeated rows are encoded alike; an
     empty table gives no rows.
@@ -318,11 +320,14 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             ids = encoder.encode(t.as_py() or "" for t in texts)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.ListArray.from_arrays(offsets, flat)],
-                                             names=["row", "token_ids"])
+            cols = [batch.column("row"), pa.ListArray.from_arrays(offsets, flat)]
+            if read_back:
+                cols.append(pa.array([encoder.v.decode(x.tolist()) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names=["row", "token_ids", "decoded"][:len(cols)])
 
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return packed.mapInArrow(run, T.StructType(list(packed.schema.fields)).add("token_ids", T.ArrayType(T.IntegerType())))
+    schema = T.StructType(list(packed.schema.fields)).add("token_ids", T.ArrayType(T.IntegerType()))
+    return packed.mapInArrow(run, schema.add("decoded", "string") if read_back else schema)
 
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
@@ -345,7 +350,7 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
 
 def tokenised(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_tokens, token_ids, decoded_sha256, round_trip for every row of ``docs``."""
-    back = decode(encode(docs.select("doc_id", "text"), model), model)
+    back = encode(docs.select("doc_id", "text"), model, read_back=True)
     return back.select("row.doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
                        F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"))
