@@ -141,6 +141,13 @@ def test_pieces_odd_rows(spark, odd_docs, no_docs):
     assert sentencepieces.tokenised(no_docs).count() == 0
 
 
+def test_decode_of_a_table(spark, odd_docs):
+    rows = sentencepieces.decode(sentencepieces.encode(odd_docs)).select("row.text", "decoded").collect()
+    assert all(r.decoded == (r.text or "").replace("▁", " ") for r in rows)
+    none = spark.createDataFrame([(None,), ([],)], "token_ids array<int>")
+    assert [r.decoded for r in sentencepieces.decode(none).collect()] == [None, ""]
+
+
 def plain_dice(a, b):
     ga, gb = (set(zip(x, x[1:])) for x in (a, b))
     return 2 * len(ga & gb) / (len(ga) + len(gb)) if ga or gb else 0.0
