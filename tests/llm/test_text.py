@@ -176,3 +176,38 @@ def test_licence_scan_rows(spark, odd_docs, no_docs):
     assert got[2, "MIT"] == (1.0, 2)  # the paragraph, and the whole text with its few other words
     assert got[3, "CC-BY-NC-4.0"][0] == 1.0 and not any(d in (4, 6) for d, _ in got)
     assert licences.scan(odd_docs).count() == 0 and licences.scan(no_docs).count() == 0
+
+
+def laid_out(name, n_words, parts=3):
+    """The longest template of a licence in ``parts`` paragraphs."""
+    of = max((t for t in licences.TEMPLATES if t[0] == name), key=lambda t: len(t[1]))[1].split()
+    cut = [len(of) * i // parts for i in range(parts + 1)]
+    return "\n\n".join("\n".join(" ".join(of[a:b][i:i + n_words]) for i in range(0, b - a, n_words))
+                       for a, b in zip(cut, cut[1:]))
+
+
+@pytest.mark.parametrize("name", ["MIT", "ISC", "BSD-2-Clause", "Zlib", "Apache-2.0", "GPL-3.0"])
+def test_licences_across_line_breaks(name):
+    s = licences.Scanner(licences.TEMPLATES, 0.8)
+    prose = " ".join(f"word{i % 211} of the other{i % 97}" for i in range(400))
+    three = f"{prose}\n\n{laid_out(name, 11)}\n\n{prose}"
+    wrapped = f"{prose}\n{laid_out(name, 9, 1)}\n{prose}"
+    inside = f"{prose} {laid_out(name, 10**6, 1)} {prose}"
+    for text in (three, wrapped, inside, f"{inside}\n{inside}"):
+        dice, n = s.scan(text.encode())[name]
+        assert dice > 0.95 and n == (2 if "\n" in text and text.startswith(inside) else 1), text[:60]
+    assert s.scan(prose.encode()) == {}
+
+
+def test_licence_windows_equal_brute_force():
+    """A window is found exactly where one of at most the reach has the coefficient."""
+    template = [("X", "a b c d e f g h")]
+    s = licences.Scanner(template, 0.8)
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        text = [bytes([c]) for c in rng.choice(list(b"abcdefghijk"), 4)]
+        text += [bytes([c]) for c in b"abcdefgh" if rng.random() < 0.9] + [bytes([c]) for c in rng.choice(list(b"abcxyz"), 6)]
+        best = max(plain_dice(text[i:j], licences.words(template[0][1].encode()))
+                   for i in range(len(text)) for j in range(i + 2, min(i + s.reach[0] + 1, len(text)) + 1))
+        got = [d for _, d, _, _ in s.windows(text)]
+        assert bool(got) == (best >= 0.8) and all(d <= best + 1e-12 for d in got)

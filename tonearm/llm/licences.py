@@ -5,11 +5,19 @@ are normalised to lower-case ASCII words; a passage matches a template when the
 coefficient of their sets of word bigrams reaches the threshold.  With a and b bigrams
 it can only do so if a lies between b t / (2 - t) and b (2 - t) / t, so templates of
 other sizes are not compared.
+
+Notices that are not set off by line breaks (several paragraphs, hard-wrapped lines,
+inside a sentence) are found by windows over the words of the whole text.  A window
+must hold at least b t / (2 - t) of the template's bigrams, so only stretches dense in
+them are looked at, and it holds at most (2 - t) / t times the template's bigrams in
+words, so the work is linear in the text.  A window that overlaps a line, paragraph or
+text matched by the same licence is no further passage, but may better its coefficient.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections.abc import Iterator
 
@@ -105,6 +113,16 @@ class Scanner:
         self.sizes = [len(s) for _, s in self.known]
         self.threshold = threshold
         self.least = threshold / (2 - threshold)
+        long = {}  # the bigrams of the longest template of each bigram set, repeats counted
+        for _, text in templates:
+            of = words(text.encode())
+            long[frozenset(bigrams(of))] = max(len(of) - 1, long.get(frozenset(bigrams(of)), 0))
+        self.reach = [int(long[frozenset(s)] / self.least * (1 + 1e-12)) for _, s in self.known]
+        self.need = [math.ceil(len(s) * self.least * (1 - 1e-12)) for _, s in self.known]
+        self.holders: dict[tuple[bytes, bytes], list[int]] = {}
+        for t, (_, known) in enumerate(self.known):
+            for gram in known:
+                self.holders.setdefault(gram, []).append(t)
 
     def match(self, passage: list[bytes]) -> Iterator[tuple[str, float]]:
         """Licences whose template has a Dice coefficient of at least the threshold with the passage."""
@@ -119,29 +137,97 @@ class Scanner:
             if dice >= self.threshold:
                 yield name, dice
 
+    def windows(self, text: list[bytes]) -> Iterator[tuple[str, float, int, int]]:
+        """Licence, Dice coefficient, first and last bigram of windows that reach the threshold.
+
+        Windows of one template do not overlap.  They begin and end with one of its bigrams,
+        as others at the ends only lower the coefficient.
+        """
+        grams = list(zip(text, text[1:]))
+        at: dict[int, list[int]] = {}
+        for p, gram in enumerate(grams):
+            for t in self.holders.get(gram, ()):
+                at.setdefault(t, []).append(p)
+        for t, places in sorted(at.items()):
+            if len(places) < self.need[t] or len({grams[p] for p in places}) < self.need[t]:
+                continue
+            name, known = self.known[t]
+            held: dict[tuple[bytes, bytes], int] = {}  # the template's bigrams from places[k] up to the reach
+            end, done = 0, -1
+            for start in places:
+                while end < len(places) and places[end] < start + self.reach[t]:
+                    held[grams[places[end]]] = held.get(grams[places[end]], 0) + 1
+                    end += 1
+                enough = len(held) >= self.need[t]
+                held[grams[start]] -= 1
+                if not held[grams[start]]:
+                    del held[grams[start]]
+                if not enough or start <= done:
+                    continue
+                i, (dice, j) = start, self._furthest(grams, known, start, 1, done, self.reach[t])
+                while dice >= self.threshold:  # move either end in turn until nothing is gained
+                    back, first = self._furthest(grams, known, j, -1, done, self.reach[t])
+                    ahead, last = self._furthest(grams, known, first, 1, done, self.reach[t])
+                    if max(back, ahead) <= dice:
+                        break
+                    i, j, dice = (first, last, ahead) if ahead >= back else (first, j, back)
+                if dice >= self.threshold:
+                    yield name, dice, i, j
+                    done = j
+
+    @staticmethod
+    def _furthest(grams: list, known: set, start: int, step: int, done: int, reach: int) -> tuple[float, int]:
+        """The best coefficient of a window from ``start`` in the direction of ``step``, and its other end."""
+        stop = min(start + reach, len(grams)) if step > 0 else max(start - reach, done)
+        seen: set = set()
+        shared, best = 0, (0.0, start)
+        for p in range(start, stop, step):
+            if grams[p] in seen:
+                continue
+            seen.add(grams[p])
+            if grams[p] in known:
+                shared += 1
+                dice = 2 * shared / (len(seen) + len(known))
+                if dice > best[0]:
+                    best = (dice, p)
+        return best
+
     def scan(self, text: bytes) -> dict[str, tuple[float, int]]:
-        """Per licence the best coefficient and how many lines, paragraphs and whole texts match."""
+        """Per licence the best coefficient and how many lines, paragraphs, whole texts and windows match."""
         found: dict[str, tuple[float, int]] = {}
+        taken: dict[str, list[tuple[int, int]]] = {}
+
+        def count(name: str, dice: float, first: int, last: int) -> None:
+            best, n = found.get(name, (0.0, 0))
+            found[name] = (max(best, dice), n + 1)
+            taken.setdefault(name, []).append((first, last))
 
-        def look(passage: list[bytes]) -> None:
+        def look(passage: list[bytes], first: int) -> None:
             for name, dice in dict(sorted(self.match(passage), key=lambda x: x[1])).items():
-                best, n = found.get(name, (0.0, 0))
-                found[name] = (max(best, dice), n + 1)
+                count(name, dice, first, first + len(passage) - 2)
 
         lines = [words(line) for line in text.split(b"\n")]
         paragraph: list[list[bytes]] = []
         several, whole = 0, sum(map(bool, lines))
+        place = begin = 0
         for line, raw in zip([*lines, []], [*text.split(b"\n"), b""]):
-            look(line)
+            look(line, place)
+            place += len(line)
             if raw.strip():
                 paragraph.append(line)
                 continue
             if sum(map(bool, paragraph)) > 1:  # a paragraph of one line is that line
-                look([w for part in paragraph for w in part])
+                look([w for part in paragraph for w in part], begin)
             several += any(paragraph)
-            paragraph = []
+            paragraph, begin = [], place
+        every = [w for line in lines for w in line]
         if several > 1 and whole > 1:  # a text of one paragraph is that paragraph
-            look([w for line in lines for w in line])
+            look(every, 0)
+        for name, dice, first, last in sorted(self.windows(every), key=lambda x: -x[1]):
+            if all(last < a or b < first for a, b in taken.get(name, ())):
+                count(name, dice, first, last)
+            else:
+                found[name] = (max(found[name][0], dice), found[name][1])
         return found
 
 
