@@ -50,6 +50,37 @@ def test_anchors_are_context_free_closed_syncmers(spark):
     assert got[2][-len(got[1]):] == got[1]
 
 
+def test_pieces_cover_the_text(spark):
+    """Every code point but white space is in a piece, short words and unspaced scripts as they should be."""
+    import re
+    rng = np.random.default_rng(4)
+    texts = ["".join(chr(c) for c in rng.choice([32, 10, 45, 65, 97, 98, 0xE9, 0x430, 0x435, 0x4E00, 0xE01, 0x1F600], 300,
+                                                p=[.03, .01, *[.096] * 10])) for _ in range(40)]
+    texts += ["six666 sevens7 日本語", "-" * 100 + "x" * 100, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select("text", F.regexp_extract_all("text", F.lit(fingerprint._PIECES), F.lit(0)).alias("t")).collect()
+    for r in got:
+        assert "".join(r.t) == re.sub("[ \n]", "", r.text)
+    assert got[40].t[0] == "six666" and got[40].t[-3:] == ["日", "本", "語"]
+
+
+def test_a_head_insertion_in_an_unspaced_run_is_local(spark):
+    rng = np.random.default_rng(6)
+    alphabets = {"han": "".join(map(chr, range(0x4E00, 0x5600))), "thai": "".join(map(chr, range(0xE01, 0xE2F))),
+                 "kana": "".join(map(chr, range(0x3041, 0x3090))), "url": "abcdefghijklmnopqrstuvwxyz/-.",
+                 "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "hex": "0123456789abcdef",
+                 "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "emoji": "".join(map(chr, range(0x1F600, 0x1F640)))}
+    rows = []
+    for name, letters in alphabets.items():
+        text = "".join(rng.choice(list(letters), 1000))
+        rows += [(name, text, letters[5] + text), (name, text, text[:500] + letters[7] + text[501:]),
+                 (name, text, text[1:])]
+    df = spark.createDataFrame(rows, "name string, a string, b string")
+    df = fingerprint.with_anchors(fingerprint.with_anchors(df, "a", "x"), "b", "y")
+    for r in df.select("name", F.size("x").alias("n"), fingerprint.likeness("x", "y").alias("near")).collect():
+        assert r.n > 20 and r.near > 0.85, r
+
+
 def test_fingerprint_odd_rows(spark, odd_docs, no_docs):
     out = fingerprint.fingerprint_edits(odd_docs).collect()
     assert len(out) == odd_docs.count()

@@ -1,7 +1,10 @@
 """Document fingerprints by closed syncmers, with DataFrame functions only.
 
-A text is cut into pieces: words, cut again every PIECE code points so that scripts
-without spaces work too.  Of every K consecutive pieces (a k-mer) the S-piece
+A text is cut into pieces: words of at most PIECE code points, and longer runs cut at
+places that only the code points there decide, so that a code point inserted in a long
+run leaves the later pieces alone: after each code point of a fixed set (about a fifth
+of base64, every code point from U+0800 on).  Scripts without spaces are cut into single
+code points.  Of every K consecutive pieces (a k-mer) the S-piece
 substrings are hashed; the k-mer is an anchor (a closed syncmer) when the smallest
 hash is the first or the last.  Whether a k-mer is an anchor depends on nothing
 outside it, so an edit changes only the anchors it touches, and about
@@ -19,6 +22,16 @@ from tonearm.llm.common import positions
 from tonearm.session import materialize
 
 PIECE, K, S = 6, 5, 2
+#: Stretches without a code point to cut after (a row of dashes) are cut every so many code points.
+STRETCH = 32
+#: Thai and Lao, Myanmar, Khmer, CJK and kana, and the ideographs beyond the first plane.
+UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{A4CF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
+#: A cut follows these: some letters and digits, separators in URLs, 4 of every 16 code points of the alphabets
+#: up to U+07FF, and all beyond.
+CUTS = (r"anjkqzANJKQZ16/&?=" + "".join(rf"\x{{{c:X}}}-\x{{{c + 3:X}}}" for c in range(0x100, 0x800, 16))
+        + r"\x{800}-\x{10FFFF}")
+_PIECES = (rf"(?<!\S)[^\s{UNSPACED}]{{1,{PIECE}}}+(?!\S)"  # a short run is one piece
+           rf"|[^\s{CUTS}]{{0,{STRETCH - 1}}}+[{CUTS}]|[^\s{CUTS}]{{1,{STRETCH}}}")
 _NULL_ID = -(1 << 63)
 
 
@@ -29,7 +42,7 @@ def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     pieces (null, empty, white space) gives none.
     """
     t, g, z = f"__{name}_t", f"__{name}_g", f"__{name}_z"
-    pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S{1,%d}" % PIECE), F.lit(0))
+    pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_PIECES), F.lit(0))
     pair = F.zip_with(t, F.slice(t, 2, 1 << 30), lambda a, b: F.xxhash64(a, b))  # S = 2 pieces
     inner = F.slice(g, 1, F.greatest(F.size(t) - (S - 1), F.lit(0)))
     # The K - S + 1 = 4 inner hashes of each k-mer, side by side.
