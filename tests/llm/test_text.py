@@ -50,6 +50,18 @@ def test_anchors_are_context_free_closed_syncmers(spark):
     assert got[2][-len(got[1]):] == got[1]
 
 
+def test_short_texts_have_their_own_fingerprints(spark):
+    """Texts of 1 to 8 pieces: none without an anchor, no two equal ones."""
+    rows = [(n, " ".join(f"w{n}x{i}"[:6] + chr(97 + j % 26) * (j % 2) for j in range(n))) for n in range(1, 9)
+            for i in range(100)]
+    df = spark.createDataFrame(rows, "n int, text string")
+    got = fingerprint.with_anchors(df, "text", "anchors").select("n", "anchors").collect()
+    assert all(len(r.anchors) > 0 for r in got) and len({tuple(r.anchors) for r in got}) == len(rows)
+    pair = spark.createDataFrame([("one two three four five six", "other words are in this text")], "a string, b string")
+    pair = fingerprint.with_anchors(fingerprint.with_anchors(pair, "a", "x"), "b", "y")
+    assert pair.select(fingerprint.likeness("x", "y")).first()[0] == 0.0
+
+
 def test_pieces_cover_the_text(spark):
     """Every code point but white space is in a piece, short words and unspaced scripts as they should be."""
     import re

@@ -38,10 +38,10 @@ _NULL_ID = -(1 << 63)
 def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add ``name``: array<int>, the hashes of the text's closed syncmers in text order.
 
-    A text of fewer than K pieces gives one anchor over all of them; a text without
-    pieces (null, empty, white space) gives none.
+    A text in which no k-mer is an anchor (always so under K pieces) gives one anchor over
+    all its pieces; a text without pieces (null, empty, white space) gives none.
     """
-    t, g, z = f"__{name}_t", f"__{name}_g", f"__{name}_z"
+    t, g, z, a = (f"__{name}_{c}" for c in "tgza")
     pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_PIECES), F.lit(0))
     pair = F.zip_with(t, F.slice(t, 2, 1 << 30), lambda a, b: F.xxhash64(a, b))  # S = 2 pieces
     inner = F.slice(g, 1, F.greatest(F.size(t) - (S - 1), F.lit(0)))
@@ -51,9 +51,9 @@ def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     low = lambda x: F.least(x["a"], x["b"], x["c"], x["d"])
     closed = F.filter(z, lambda x: x["d"].isNotNull() & ((x["a"] == low(x)) | (x["d"] == low(x))))
     anchors = F.transform(closed, lambda x: F.hash(x["a"], x["c"], x["d"]))
-    short = F.when(F.size(t) == 0, F.array().cast("array<int>")).otherwise(F.array(F.hash(F.col(t))))
+    chosen = F.when((F.size(a) > 0) | (F.size(t) == 0), F.col(a)).otherwise(F.array(F.hash(F.col(t))))
     return (df.withColumn(t, pieces).withColumn(g, pair).withColumn(g, inner).withColumn(z, wide)
-            .withColumn(name, F.when(F.size(t) >= K, anchors).otherwise(short)).drop(t, g, z))
+            .withColumn(a, anchors).withColumn(name, chosen).drop(t, g, z, a))
 
 
 def as_text(anchors: str) -> Column:
