@@ -3,7 +3,7 @@
 A text is cut into pieces: words of at most PIECE code points, and longer runs cut at
 places that only the code points there decide, so that a code point inserted in a long
 run leaves the later pieces alone: after each code point of a fixed set (about a fifth
-of base64, every code point from U+0800 on).  Scripts without spaces are cut into single
+of base64, nearly all from U+0100 on).  Scripts without spaces are cut into single
 code points.  Of every K consecutive pieces (a k-mer) the S-piece
 substrings are hashed; the k-mer is an anchor (a closed syncmer) when the smallest
 hash is the first or the last.  Whether a k-mer is an anchor depends on nothing
@@ -26,12 +26,21 @@ PIECE, K, S = 6, 5, 2
 STRETCH = 32
 #: Thai and Lao, Myanmar, Khmer, CJK and kana, and the ideographs beyond the first plane.
 UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{A4CF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
-#: A cut follows these: some letters and digits, separators in URLs, 4 of every 16 code points of the alphabets
-#: up to U+07FF, and all beyond.
-CUTS = (r"anjkqzANJKQZ16/&?=" + "".join(rf"\x{{{c:X}}}-\x{{{c + 3:X}}}" for c in range(0x100, 0x800, 16))
-        + r"\x{800}-\x{10FFFF}")
-_PIECES = (rf"(?<!\S)[^\s{UNSPACED}]{{1,{PIECE}}}+(?!\S)"  # a short run is one piece
-           rf"|[^\s{CUTS}]{{0,{STRETCH - 1}}}+[{CUTS}]|[^\s{CUTS}]{{1,{STRETCH}}}")
+#: A cut follows these: some letters and digits, and separators in URLs; a quarter of the Greek and Cyrillic letters.
+#: All other code points from U+0100 on are pieces of their own in a long run.
+CUTS = "anjkqzANJKQZ16/&?="
+GREEK_CUTS = r"\x{3B1}-\x{3B3}\x{3C1}-\x{3C3}\x{410}-\x{413}\x{420}-\x{423}\x{430}-\x{433}\x{440}-\x{443}"
+
+
+def _one_by_one(skip: str = "") -> str:
+    """The code points up to U+00FF but white space, listed: Java looks such a class up in one table."""
+    return "".join(rf"\x{{{c:X}}}" for c in range(256) if c not in (*range(9, 14), 32) and chr(c) not in skip)
+
+
+_PIECES = (rf"(?<!\S)[{_one_by_one()}]{{1,{PIECE}}}+(?!\S)"  # a short run is one piece
+           rf"|[{_one_by_one(CUTS)}]{{1,{STRETCH}}}+[{CUTS}]?|[{CUTS}]"
+           rf"|(?<!\S)[^\s{UNSPACED}]{{1,{PIECE}}}+(?!\S)"
+           rf"|[\x{{370}}-\x{{4FF}}&&[^{GREEK_CUTS}]]{{1,{STRETCH}}}+[{GREEK_CUTS}]?|\S")
 _NULL_ID = -(1 << 63)
 
 
