@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 FAST = ["p2_clean_names", "k1_kcore_filter", "w1_holdout_split", "u4_artist_index", "m6_top_charts",
         "m3_user_recs", "m5_similar_artists", "m4_mood_recs", "m2_evaluate_ranking", "m15_dispatch_requests",

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 AT_RISK = ["m3_user_recs", "m5_similar_artists", "j6_similar_to_top_artist", "m4_mood_recs", "m2_evaluate_ranking",
            "m15_dispatch_requests", "m7_random_discovery", "a12_seed_overlap_top_users", "a10_retention"]

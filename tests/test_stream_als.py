@@ -3,7 +3,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from tonearm.operators import als, score
 from tonearm.plans import catalog, fixtures as fx
 from tonearm.streaming import monitor
