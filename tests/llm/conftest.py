@@ -2,16 +2,10 @@ import os
 import sys
 
 import pytest
+from llm_tables import DOCS, clashing
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-SF = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-#: Columns that clash with names the operators use inside.
-CLASH = ["row", "size", "fp", "th", "k", "key", "kid", "u", "v", "h", "tie", "range", "target", "component",
-         "component_id", "fingerprint", "score", "lang_pred", "token_ids", "first", "sha1", "payload", "node", "own",
-         "segments", "n", "rid", "cell", "pos", "ambiguous"]
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,13 +17,6 @@ def spark():
     return s
 
 
-def clashing(df):
-    """``df`` with an extra column of every clashing name it lacks."""
-    from pyspark.sql import functions as F
-
-    return df.select("*", *[F.lit("x").alias(c) for c in CLASH if c not in df.columns])
-
-
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """Nulls in every column, empty and very long texts, ties and repeated rows."""

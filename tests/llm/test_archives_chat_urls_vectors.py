@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF, clashing
+from llm_tables import SF, clashing
 from tonearm.llm import chat, multiindex, queries, urlfilter, warc
 from tonearm.llm.common import table
 from test_dedup_mix import union_find

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_tables import SF
 from tonearm.llm import components, mix, simhash
 from tonearm.llm.common import positions, table
 

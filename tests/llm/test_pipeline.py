@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from conftest import SF
+from llm_tables import SF
 from tonearm.llm import langid, mix, sentencepieces, simhash
 from tonearm.llm.common import table
 from test_dedup_mix import plain_components, plain_fingerprint, plain_targets

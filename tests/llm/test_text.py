@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_tables import SF
 from tonearm.llm import fingerprint, langid, licences, sentencepieces
 from tonearm.llm.common import table
 
