@@ -47,23 +47,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, values: list[str],
-           seen: DataFrame | None = None) -> DataFrame:
+           seen: DataFrame | None = None, counted: bool = False) -> DataFrame:
     """Left-join ``values`` of ``right`` (unique on ``key``) without a hot task.
 
     The most frequent keys of ``left`` (at most HOT_KEYS, so the broadcast is bounded
     whatever the input) are answered by a broadcast join; their rows, and rows with a
     null key, then pass the shuffle join under a random salt that matches nothing, so
-    they spread evenly and no row is lost.  The keys are counted in ``seen``, a written
-    table with a row per row of ``left`` (``left`` itself by default).
+    they spread evenly and no row is lost.  The right side's half of that second key is
+    zero, but computed from its key: were it a literal, the planner would fold the
+    condition and partition by the first key alone.  The keys are counted in ``seen``, a
+    written table with a row per row of ``left`` (``left`` itself by default), or summed
+    from its column ``n`` where ``counted`` is set.
     """
     seen = left if seen is None else seen
-    hot_keys = (seen.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    count = F.sum("n") if counted else F.count(F.lit(1))
+    hot_keys = (seen.filter(F.col(key).isNotNull()).groupBy(key).agg(count.alias("__n"))
                 .filter(F.col("__n") >= HOT_ROWS).orderBy(F.desc("__n"), key).limit(HOT_KEYS).select(key))
     answer = F.struct(*values)
-    hot = hot_keys.join(right.select(key, *values), key).select(key, answer.alias("__hot"))
-    cold = right.select(F.col(key).alias("__key"), F.lit(0).alias("__zero"), answer.alias("__cold"))
+    found = right.select(key, answer.alias("__hot")).join(F.broadcast(hot_keys), key)
+    # A hot key that the right side lacks is hot all the same.
+    hot = hot_keys.join(F.broadcast(found), key, "left").withColumn("__is_hot", F.lit(True))
+    zero = F.pmod(F.xxhash64(key), F.lit(1).cast("long")).cast("int")
+    cold = right.select(F.col(key).alias("__key"), zero.alias("__zero"), answer.alias("__cold"))
     marked = left.join(F.broadcast(hot), key, "left").withColumn(
-        "__salt", F.when(F.col("__hot").isNull() & F.col(key).isNotNull(), F.lit(0))
+        "__salt", F.when(F.col("__is_hot").isNull() & F.col(key).isNotNull(), F.lit(0))
         .otherwise(1 + (F.monotonically_increasing_id() % 1_000_003).cast("int")))
     out = marked.join(cold, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__zero")), "left")
     found = F.coalesce(F.col("__hot"), F.col("__cold"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tonearm.llm import (chat, fingerprint, langid, licences, mix, multiindex, sentencepieces, simhash,
-                         urlfilter, warc)
+                         urlfilter, warc, whitening)
 from tonearm.llm.common import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,8 @@ def op7(spark, sf_dir):
 @query("op8_licence_scan", licences.scan_sql())
 def op8(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark, sf_dir):
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
