@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import (chat, fingerprint, langid, licences, mix, multiindex, sentencepieces, simhash,
+from tonearm.llm import (chat, fingerprint, langid, licences, mix, multiindex, prefixtrie, sentencepieces, simhash,
                          urlfilter, warc, whitening)
 from tonearm.llm.common import table
 
@@ -178,3 +178,49 @@ def op8(spark, sf_dir):
 @query("op12_embedding_whitening")
 def op12(spark, sf_dir):
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+TRIE_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+turns AS (
+  SELECT conv_id, list(struct_pack(k := md5(length(role) || ':' || role || text), n := length(text))
+                       ORDER BY turn NULLS FIRST, role, sha256(text)) AS ts FROM rows GROUP BY conv_id),
+numbered AS (
+  SELECT *, coalesce(xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''),
+      lambda c: ascii(c)::BIGINT)), lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)),
+      lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)), 4294967295) % 6, 0) AS h
+  FROM turns),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ts, [])[1:c.h], c.ts[c.h + 1:]) AS ts
+  FROM numbered c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, ts, len(ts) AS n, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt),
+keyed AS (
+  SELECT *, array_to_string(list_transform(ts[1:d], lambda t: t.k), ',') AS key FROM prefixes),
+nodes AS (
+  SELECT d, key, any_value(ts[1:d]) AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM keyed GROUP BY d, key),
+linked AS (
+  SELECT *, array_to_string(list_transform(path[1:d - 1], lambda t: t.k), ',') AS up,
+         CASE WHEN d > 0 THEN (n_convs - 1) * path[d].n ELSE 0 END AS own FROM nodes),
+kids AS (SELECT d - 1 AS d, up AS key, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY 1, 2),
+grown AS (
+  SELECT l.*, coalesce(k.n_children, 0) AS n_children, p.conv_id AS parent_conv_id
+  FROM linked l LEFT JOIN kids k ON k.d = l.d AND k.key = l.key
+  LEFT JOIN linked p ON l.d > 0 AND p.d = l.d - 1 AND p.key = l.up),
+above AS (
+  SELECT own, n_children, path, unnest(range(0, d + 1)) AS a FROM grown),
+below AS (
+  SELECT a AS d, array_to_string(list_transform(path[1:a], lambda t: t.k), ',') AS key,
+         count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved_tokens FROM above GROUP BY 1, 2)
+SELECT g.conv_id, g.d::BIGINT AS depth, g.parent_conv_id, g.n_convs, g.n_children, b.n_leaves,
+       b.saved_tokens::BIGINT AS saved_tokens, g.ends_sha256
+FROM grown g JOIN below b ON b.d = g.d AND b.key = g.key
+"""
+
+
+@query("op11_conversation_prefix_trie", TRIE_SQL)
+def op11(spark, sf_dir):
+    return prefixtrie.prefix_trie(prefixtrie.rebuilt(table(spark, sf_dir, "conversations")))
