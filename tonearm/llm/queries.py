@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tonearm.llm import (chat, fingerprint, langid, licences, mix, multiindex, prefixtrie, sentencepieces, simhash,
-                         urlfilter, warc, whitening)
+                         substrings, urlfilter, warc, whitening)
 from tonearm.llm.common import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,27 @@ FROM grown g JOIN below b ON b.d = g.d AND b.key = g.key
 @query("op11_conversation_prefix_trie", TRIE_SQL)
 def op11(spark, sf_dir):
     return prefixtrie.prefix_trie(prefixtrie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+SUBSTRING_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(ws[s + 1:s + 20], ' ')) AS k
+  FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 19)) AS s FROM docs WHERE len(ws) >= 20)),
+later AS (
+  SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS nth FROM windows) WHERE nth > 1),
+words AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS w FROM docs),
+cover AS (SELECT DISTINCT doc_id, unnest(range(s + 1, s + 21)) AS w FROM later),
+kept AS (
+  SELECT doc_id, string_agg(ws[w], ' ' ORDER BY w) AS text, count(*) AS n
+  FROM words ANTI JOIN cover USING (doc_id, w) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query("op13_substring_dedup", SUBSTRING_SQL)
+def op13(spark, sf_dir):
+    return substrings.repeat_digests(table(spark, sf_dir, "documents"))
