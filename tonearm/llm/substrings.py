@@ -185,7 +185,8 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     rows = docs.mapInArrow(_seed_rows(length, gram), "anchor long, context long, doc_id long, th long, place long")
     state = F.col("place").bitwiseAND(F.lit(3))
     # Only keyed rows meet; the others are spread by a number of their own.
-    rows = rows.withColumn("lot", F.when(state == BY_KEY, F.lit(0).cast("long")).otherwise(1 + F.pmod("context", F.lit(1 << 40))))
+    lot = 1 + F.pmod(F.xxhash64("doc_id", "th", "place"), F.lit(1 << 40))
+    rows = rows.withColumn("lot", F.when(state == BY_KEY, F.lit(0).cast("long")).otherwise(lot))
     order = [F.col("doc_id").isNull(), "doc_id", "th", "place"]
     group = Window.partitionBy("anchor", "lot")
     same = Window.partitionBy("anchor", "lot", "context").orderBy(*order)
