@@ -187,11 +187,12 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     # Only keyed rows meet; the others are spread by a number of their own.
     lot = 1 + F.pmod(F.xxhash64("doc_id", "th", "place"), F.lit(1 << 40))
     rows = rows.withColumn("lot", F.when(state == BY_KEY, F.lit(0).cast("long")).otherwise(lot))
-    order = [F.col("doc_id").isNull(), "doc_id", "th", "place"]
+    start = F.shiftright("place", 32)
+    order = [F.col("doc_id").isNull(), "doc_id", "th", start]
     group = Window.partitionBy("anchor", "lot")
     same = Window.partitionBy("anchor", "lot", "context").orderBy(*order)
     rows = rows.select(
-        "doc_id", "th", F.shiftright("place", 32).cast("int").alias("start"),
+        "doc_id", "th", start.cast("int").alias("start"),
         F.shiftright("place", 8).bitwiseAND(F.lit(0xFFFFFF)).cast("int").alias("words"), state.alias("state"),
         # equal places of repeated rows are one occurrence, so rank and not row_number
         (F.rank().over(same) > 1).alias("later"),
