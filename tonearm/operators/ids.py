@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tonearm.operators.hotjoin import hot_key_join
 from tonearm.session import checkpoint_dir
 
 
@@ -50,13 +51,13 @@ def artist_index(df: DataFrame, item_col: str = "artist_name", user_col: str = "
 
 
 def attach_indices(df: DataFrame, users: DataFrame, artists: DataFrame, how: str = "left") -> DataFrame:
-    """Id -> index lookups (null when unmatched with ``how='left'``)."""
-    return df.join(users, "user_id", how).join(artists, "artist_name", how)
+    """Id -> index lookups (null when unmatched with ``how='left'``); a hot user or artist is spread."""
+    return hot_key_join(hot_key_join(df, users, "user_id", how), artists, "artist_name", how)
 
 
 def attach_names(df: DataFrame, artists: DataFrame, idx_col: str = "artist_idx") -> DataFrame:
     """Index -> name; indices outside the map vanish (inner join)."""
-    return df.join(artists.withColumnRenamed("artist_idx", idx_col), idx_col, "inner")
+    return hot_key_join(df, artists.withColumnRenamed("artist_idx", idx_col), idx_col)
 
 
 def _seeded_key(col: str, seed: int) -> Column:

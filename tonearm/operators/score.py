@@ -1,40 +1,46 @@
 """Top-k scoring against an item-factor catalog: J4-J6, W4, T2, M3, M5, M7, M8.
 
 Scoring every query against every item is a block join: items and queries are cut
-into blocks of bounded size, each block of queries meets each block of items in one
-row, and that row is a numpy matrix product in which seen items are masked and only
-the best k items per query leave.  The partial lists are merged by a window with a
-literal limit, so each task keeps its local top k before the shuffle.  Nothing is
-collected to the driver or broadcast, and no query x item pair that is not a local
-top-k result is ever emitted.
+into blocks of bounded size, and the pairs of blocks are dealt over a grid by both
+block numbers, so the work spreads however few item blocks there are.  A pair is one
+numpy matrix product in which seen items are masked and only the best k items per
+query (or its sums) leave.  The partial lists are merged by a window with a literal
+limit, so each task keeps its local top k before the shuffle.  Nothing is collected to
+the driver, and no query x item pair that is not a local result is ever emitted.
+
+Where items are many, their blocks go by falling vector length.  The first block gives
+every query a score to beat; a block whose longest vector cannot reach it
+(Cauchy-Schwarz) is skipped for that query, which loses no result.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonearm.functions import vectors
 from tonearm.functions.names import query_key, short_user_id
+from tonearm.operators.ids import dense_index, random_user, sample_users
+from tonearm.session import materialize
 
 # Rows per block: one block pair is a QUERY_BLOCK x ITEM_BLOCK product (32 MB of scores).
 QUERY_BLOCK, ITEM_BLOCK = 1024, 4096
+# Cells of the grid per task slot, so that cells of one slot even out.
+CELLS_PER_SLOT = 3
+# Scores are compared with a bound that allows for rounding.
+SLACK = 1e-9
+# A query that no block may be skipped for.
+EVERY_BLOCK = (1 << 31) - 1
 
 
-def _blocks(df: DataFrame, key: str, rows: int, size: int, fields: list, name: str, block: str) -> DataFrame:
-    """``df`` as about ``rows / size`` rows of one array of structs each."""
-    n = max(1, math.ceil(rows / size))
-    return (df.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(block))
-            .agg(F.collect_list(F.struct(*fields)).alias(name)))
-
-
-def _score_pairs(query_col: str, item_col: str):
+def _pair_kernel(answer: Callable) -> Callable:
+    """Scores of one block of queries against one block of items, seen items marked, handed to ``answer``."""
     # Self-contained (numpy / pyarrow only): Python workers need not import this package.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def matrix(rows: pa.StructArray) -> np.ndarray:
@@ -42,8 +48,12 @@ def _score_pairs(query_col: str, item_col: str):
             return flat.reshape(len(rows), -1)
 
         for batch in batches:
-            for q, it in zip(batch.column("queries"), batch.column("items")):
+            for q, it, block in zip(batch.column("queries"), batch.column("items"),
+                                    batch.column("item_block").to_pylist()):
                 q, it = q.values, it.values
+                q = q.filter(pa.array(q.field("last").to_numpy() >= block))  # the others skip this block
+                if not len(q):
+                    continue
                 names = it.field("key")
                 order = np.argsort(np.array(names.to_pylist(), dtype=object), kind="stable")  # ties go by key
                 names, hashes = names.take(pa.array(order)), it.field("h").to_numpy()[order]
@@ -54,64 +64,232 @@ def _score_pairs(query_col: str, item_col: str):
                 gone = seen.flatten().to_numpy()
                 at = np.minimum(np.searchsorted(hashes, gone, sorter=by_hash), len(hashes) - 1)
                 hit = hashes[by_hash[at]] == gone
-                s[row[hit], by_hash[at[hit]]] = -np.inf
-                k = q.field("k").to_numpy()
-                most = min(int(k.max()), s.shape[1])
-                if most <= 0:
-                    continue
-                floor = np.partition(s, s.shape[1] - most, axis=1)[:, s.shape[1] - most]
-                i, j = np.nonzero((s >= floor[:, None]) & np.isfinite(s))
-                best = np.lexsort((j, -s[i, j], i))
-                i, j = i[best], j[best]
-                first = np.searchsorted(i, np.arange(len(q)))
-                keep = np.arange(len(i)) - first[i] < k[i]
-                i, j = i[keep], j[keep]
-                if len(i):
-                    yield pa.RecordBatch.from_arrays(
-                        [q.field("key").take(pa.array(i)), names.take(pa.array(j)), pa.array(s[i, j])],
-                        names=[query_col, item_col, "score"])
+                out = answer(q, names, s, row[hit], by_hash[at[hit]])
+                if out is not None:
+                    yield out
     return run
 
 
+def _best(query_col: str, item_col: str) -> Callable:
+    """The k best unseen items of each query of a pair of blocks."""
+    def answer(q: pa.StructArray, names: pa.Array, s: np.ndarray, row: np.ndarray, item: np.ndarray):
+        s[row, item] = -np.inf
+        k = q.field("k").to_numpy()
+        most = min(int(k.max()), s.shape[1])
+        if most <= 0:
+            return None
+        floor = np.partition(s, s.shape[1] - most, axis=1)[:, s.shape[1] - most]
+        i, j = np.nonzero((s >= floor[:, None]) & np.isfinite(s))
+        best = np.lexsort((j, -s[i, j], i))
+        i, j = i[best], j[best]
+        first = np.searchsorted(i, np.arange(len(q)))
+        keep = np.arange(len(i)) - first[i] < k[i]
+        i, j = i[keep], j[keep]
+        if not len(i):
+            return None
+        return pa.RecordBatch.from_arrays(
+            [q.field("key").take(pa.array(i)), names.take(pa.array(j)), pa.array(s[i, j])],
+            names=[query_col, item_col, "score"])
+    return answer
+
+
+def _sums(query_col: str) -> Callable:
+    """Count, sum, largest and smallest score of the unseen items of each query of a pair of blocks."""
+    def answer(q: pa.StructArray, names: pa.Array, s: np.ndarray, row: np.ndarray, item: np.ndarray):
+        open_ = np.ones(s.shape, bool)
+        open_[row, item] = False
+        n = open_.sum(1)
+        out = pa.RecordBatch.from_arrays(
+            [q.field("key"), pa.array(n), pa.array(np.where(open_, s, 0.0).sum(1)),
+             pa.array(np.where(open_, s, -np.inf).max(1)), pa.array(np.where(open_, s, np.inf).min(1))],
+            names=[query_col, "n_items", "score_sum", "best_score", "worst_score"])
+        return out.filter(pa.array(n > 0))
+    return answer
+
+
+def _slots(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def deal(queries: DataFrame, items: DataFrame, n_query_blocks: int, n_item_blocks: int, first: int = 0) -> DataFrame:
+    """Pairs of blocks (query_block, queries, item_block, items), dealt over a grid by both numbers.
+
+    ``queries`` (query_block, queries, deepest) meets the item blocks ``first`` to
+    ``deepest``.  Query blocks are put in as many groups as the grid needs for
+    CELLS_PER_SLOT cells a slot; each item block is sent to each group once and each
+    query block to each of its item blocks.  The number of partitions is given, so
+    adaptive coalescing, which looks at bytes and not at work, leaves them alone.
+    """
+    slots = _slots(queries.sparkSession)
+    groups = max(1, min(n_query_blocks, math.ceil(CELLS_PER_SLOT * slots / max(1, n_item_blocks - first))))
+    n = max(1, min(slots, groups * max(1, n_item_blocks - first)))
+    last = F.least("deepest", F.lit(n_item_blocks - 1))
+    q = (queries.where(last >= first).withColumn("item_block", F.explode(F.sequence(F.lit(first), last)))
+         .withColumn("query_group", F.pmod(F.xxhash64("query_block"), F.lit(groups)).cast("int"))
+         .repartition(n, "query_group", "item_block"))
+    it = (items.where(F.col("item_block") >= first)
+          .withColumn("query_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+          .repartition(n, "query_group", "item_block"))
+    return q.join(it, ["query_group", "item_block"]).select("query_block", "queries", "item_block", "items")
+
+
+def _query_blocks(q: DataFrame, block) -> DataFrame:
+    """(query_block, queries, deepest): arrays of structs of about QUERY_BLOCK queries each."""
+    return (q.groupBy(block.alias("query_block"))
+            .agg(F.collect_list(F.struct("key", "k", "seen", "last", "features")).alias("queries"),
+                 F.max("last").alias("deepest")))
+
+
+def _item_blocks(it: DataFrame) -> DataFrame:
+    return it.groupBy("item_block").agg(F.collect_list(F.struct("key", "h", "features")).alias("items"))
+
+
+class _Scoring:
+    """Queries and items of one scoring job, written once, with what the blocks need to know."""
+
+    def __init__(self, queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str, k_col: str | None,
+                 seen: DataFrame | None, feat: str, prune: bool, item_block: int | None = None):
+        self.item_block = item_block or ITEM_BLOCK
+        k = F.lit(0) if k_col is None else F.col(k_col)
+        q = queries.select(F.col(query_key_col).alias("key"), F.col(feat).cast("array<double>").alias("features"),
+                           k.cast("long").alias("k")).where(F.col("features").isNotNull())
+        it = items.select(F.col(item_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"),
+                          F.col(feat).cast("array<double>").alias("features")).where(F.col("features").isNotNull())
+        self.q, it = materialize(q, "score-queries"), materialize(it, "score-items")
+        self.n_queries, self.max_k = self.q.agg(F.count("*"), F.max("k")).first()
+        self.n_items = it.count()
+        self.n_query_blocks = max(1, math.ceil(self.n_queries / QUERY_BLOCK))
+        self.n_item_blocks = max(1, math.ceil(self.n_items / self.item_block))
+        self.prune = prune and self.n_item_blocks > 1 and self.n_queries > 0
+        if self.prune:
+            norms = it.select("key", vectors.norm("features").alias("norm"))
+            order = dense_index(norms, [F.desc("norm"), F.asc("key")], "pos")
+            block = F.floor(F.col("pos") / self.item_block).cast("int")
+            it = materialize(it.join(order, "key").withColumn("item_block", block), "score-items-by-norm")
+        else:
+            it = it.withColumn("item_block", F.pmod(F.xxhash64("key"), F.lit(self.n_item_blocks)).cast("int"))
+        self.items = it
+        none = F.array().cast("array<bigint>")
+        if seen is None:
+            self.seen = None
+            self.with_seen = lambda rows: rows.withColumn("seen", none)
+        else:
+            gone = (seen.select(F.col(query_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"))
+                    .groupBy("key").agg(F.collect_set("h").alias("seen")))
+            self.with_seen = lambda rows: rows.join(gone, "key", "left").withColumn("seen", F.coalesce("seen", none))
+
+    def blocks(self, rows: DataFrame) -> DataFrame:
+        spread = F.pmod(F.xxhash64("key"), F.lit(self.n_query_blocks)).cast("int")
+        return _query_blocks(self.with_seen(rows), spread)
+
+    def all_pairs(self) -> DataFrame:
+        rows = self.q.withColumn("last", F.lit(EVERY_BLOCK))
+        return deal(self.blocks(rows), _item_blocks(self.items), self.n_query_blocks, self.n_item_blocks)
+
+    def first_pairs(self) -> DataFrame:
+        """Every query against the block of the longest vectors."""
+        rows = self.q.withColumn("last", F.lit(0))
+        return deal(self.blocks(rows), _item_blocks(self.items.where("item_block = 0")), self.n_query_blocks, 1)
+
+    def depths(self, found: DataFrame, query_col: str) -> DataFrame:
+        """The queries with ``last``: the last block whose longest vector may still beat the k-th score found."""
+        beat = found.groupBy(F.col(query_col).alias("key")).agg(F.count("*").alias("n"), F.min("score").alias("beat"))
+        # One row with a number per block of items.
+        longest = (self.items.groupBy("item_block").agg(F.max("norm").alias("norm"))
+                   .agg(F.transform(F.sort_array(F.collect_list(F.struct("item_block", "norm"))), lambda b: b["norm"])
+                        .alias("norms")))
+        rows = self.q.join(beat, "key", "left").join(F.broadcast(longest))
+        bound = lambda n: n * vectors.norm("features") * (1 + SLACK) + SLACK
+        full = F.coalesce(F.col("n") >= F.col("k"), F.lit(False))
+        reach = F.size(F.filter("norms", lambda n: bound(n) >= F.col("beat"))) - 1
+        last = F.when(F.col("k") <= 0, F.lit(-1)).when(full, reach).otherwise(F.lit(self.n_item_blocks - 1))
+        return rows.select("key", "features", "k", last.cast("int").alias("last"))
+
+    def further_pairs(self, depths: DataFrame) -> DataFrame:
+        """The queries that need more blocks, in query blocks of like depth, against those blocks."""
+        rows = depths.where("last >= 1").withColumn("depth", F.floor(F.log2("last")).cast("int"))
+        sizes = {r["depth"]: r["count"] for r in rows.groupBy("depth").count().collect()}  # at most 31 rows
+        start, block = 0, F.lit(0)
+        for depth, n in sorted(sizes.items()):
+            own = max(1, math.ceil(n / QUERY_BLOCK))
+            block = F.when(F.col("depth") == depth, start + F.pmod(F.xxhash64("key"), F.lit(own)).cast("int")).otherwise(block)
+            start += own
+        return deal(_query_blocks(self.with_seen(rows), block), _item_blocks(self.items), max(1, start),
+                    self.n_item_blocks, first=1)
+
+
 def top_items(queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str, k_col: str,
-              seen: DataFrame | None = None, feat: str = "features", rank_col: str = "rank") -> DataFrame:
+              seen: DataFrame | None = None, feat: str = "features", rank_col: str = "rank",
+              prune: bool = True, item_block: int | None = None) -> DataFrame:
     """For each query row (unique key, features, k) the k best items by dot product, without ``seen`` pairs.
 
     Returns (query key, item key, score double, rank).  Scores are computed in double
     precision from the stored vectors; ties go by item key.  ``seen`` (query key, item
-    key) is carried along its query as 64-bit hashes of the item keys.
+    key) is carried along its query as 64-bit hashes of the item keys.  ``prune`` skips
+    item blocks (of ``item_block`` items, else ITEM_BLOCK) that cannot hold a result; no
+    use where all vectors have one length.
     """
     spark = queries.sparkSession
-    q = queries.select(F.col(query_key_col).alias("key"), F.col(feat).cast("array<double>").alias("features"),
-                       F.col(k_col).cast("long").alias("k")).where(F.col("features").isNotNull())
-    it = items.select(F.col(item_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"),
-                      F.col(feat).cast("array<double>").alias("features")).where(F.col("features").isNotNull())
-    n_queries, max_k = q.agg(F.count("*"), F.max("k")).first()
-    n_items = it.count()
+    job = _Scoring(queries, items, query_key_col, item_key_col, k_col, seen, feat, prune, item_block)
     schema = T.StructType([T.StructField(query_key_col, queries.schema[query_key_col].dataType),
                            T.StructField(item_key_col, items.schema[item_key_col].dataType),
                            T.StructField("score", T.DoubleType())])
-    if not n_queries or not n_items:
+    if not job.n_queries or not job.n_items:
         return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(rank_col, T.IntegerType())]))
-    none = F.array().cast("array<bigint>")
-    if seen is None:
-        q = q.withColumn("seen", none)
+    kernel = _pair_kernel(_best(query_key_col, item_key_col))
+    if job.prune:
+        found = materialize(job.first_pairs().mapInArrow(kernel, schema), "score-first")
+        depths = materialize(job.depths(found, query_key_col), "score-depths")
+        found = found.unionByName(job.further_pairs(depths).mapInArrow(kernel, schema))
     else:
-        gone = (seen.select(F.col(query_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"))
-                .groupBy("key").agg(F.collect_set("h").alias("seen")))
-        q = q.join(gone, "key", "left").withColumn("seen", F.coalesce("seen", none))
-    item_blocks = _blocks(it, "key", n_items, ITEM_BLOCK, ["key", "h", "features"], "items", "item_block")
-    n_blocks = max(1, math.ceil(n_items / ITEM_BLOCK))
-    query_blocks = (_blocks(q, "key", n_queries, QUERY_BLOCK, ["key", "k", "seen", "features"], "queries", "query_block")
-                    .withColumn("item_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-    # Dealt by both block numbers: a pair of blocks is one unit of work wherever it lands.
-    pairs = query_blocks.join(item_blocks, "item_block").select("queries", "items")
-    found = pairs.mapInArrow(_score_pairs(query_key_col, item_key_col), schema)
-    ranked = rank_within(found, [query_key_col], int(max_k), key_col=item_key_col, rank_col=rank_col)
+        found = job.all_pairs().mapInArrow(kernel, schema)
+    ranked = rank_within(found, [query_key_col], int(job.max_k), key_col=item_key_col, rank_col=rank_col)
     limit = queries.select(query_key_col, F.col(k_col).alias("_limit"))
     return ranked.join(limit, query_key_col).where(F.col(rank_col) <= F.col("_limit")).drop("_limit")
 
 
+def pruned_work(queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str, k_col: str,
+                seen: DataFrame | None = None, feat: str = "features", item_block: int | None = None) -> DataFrame:
+    """One row: the products :func:`top_items` computes for these queries, and those of all pairs.
+
+    (n_queries, n_items, n_products, n_all_products, share); a catalog of one block is
+    computed whole.
+    """
+    spark = queries.sparkSession
+    job = _Scoring(queries, items, query_key_col, item_key_col, k_col, seen, feat, True, item_block)
+    every = job.n_queries * job.n_items
+    schema = "n_queries long, n_items long, n_products long, n_all_products long, share double"
+    done = every
+    if job.prune:
+        kind = T.StructType([T.StructField(query_key_col, queries.schema[query_key_col].dataType),
+                             T.StructField(item_key_col, items.schema[item_key_col].dataType),
+                             T.StructField("score", T.DoubleType())])
+        found = job.first_pairs().mapInArrow(_pair_kernel(_best(query_key_col, item_key_col)), kind)
+        reach = F.least((F.greatest("last", F.lit(0)) + 1).cast("long") * job.item_block, F.lit(job.n_items))
+        done = job.depths(found, query_key_col).agg(F.sum(reach)).first()[0]
+    return spark.createDataFrame([(job.n_queries, job.n_items, done, every, done / every if every else None)], schema)
+
+
+def score_sums(queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str,
+               seen: DataFrame | None = None, feat: str = "features") -> DataFrame:
+    """Per query the count, sum, largest and smallest score over its unseen items.
+
+    Summed inside each pair of blocks: one row per query and item block leaves the workers.
+    Queries without an unseen item have no row.
+    """
+    spark = queries.sparkSession
+    job = _Scoring(queries, items, query_key_col, item_key_col, None, seen, feat, False)
+    schema = T.StructType([T.StructField(query_key_col, queries.schema[query_key_col].dataType),
+                           T.StructField("n_items", T.LongType()),
+                           *[T.StructField(c, T.DoubleType()) for c in ("score_sum", "best_score", "worst_score")]])
+    if not job.n_queries or not job.n_items:
+        return spark.createDataFrame([], schema)
+    parts = job.all_pairs().mapInArrow(_pair_kernel(_sums(query_key_col)), schema)
+    return parts.groupBy(query_key_col).agg(
+        F.sum("n_items").alias("n_items"), F.sum("score_sum").alias("score_sum"),
+        F.max("best_score").alias("best_score"), F.min("worst_score").alias("worst_score"))
+
+
 def rank_within(df: DataFrame, part_cols: list[str], k: int, score_col: str = "score",
                 key_col: str = "artist_name", rank_col: str = "rank") -> DataFrame:
     """1-based rank by score desc then key; keep rank <= k.
@@ -144,6 +322,11 @@ def recommend_unseen(users: DataFrame, user_factors: DataFrame, item_factors: Da
     return top.select(user_col, item_col, "score", "rank")
 
 
+def unit_items(item_factors: DataFrame, item_col: str = "artist_name") -> DataFrame:
+    """The catalog's unit vectors, written once: every reader of them would else normalise them again."""
+    return materialize(item_factors.select(item_col, vectors.unit("features").alias("features")), "unit-items")
+
+
 def similar_items(queries: DataFrame, item_factors: DataFrame, k: int = 10,
                   item_col: str = "artist_name", query_col: str = "query", clean: bool = False) -> DataFrame:
     """M5: cosine top-k neighbours of each query artist, the artist itself excluded.
@@ -153,17 +336,17 @@ def similar_items(queries: DataFrame, item_factors: DataFrame, k: int = 10,
     show up in :func:`unmatched_queries`.  Vectors are normalised once; a zero
     vector has cosine 0 with everything.
     """
-    unit = item_factors.select(item_col, vectors.unit("features").alias("features"))
-    q = (queries.select(F.col(query_col), query_key(query_col, clean).alias(item_col))
-         .join(unit, item_col).withColumn("_k", F.lit(int(k))))
+    unit = unit_items(item_factors, item_col)
+    asked = queries.select(F.col(query_col), query_key(query_col, clean).alias("_q")).distinct()
     # The catalog key and the query key are both artist names: rename the item side.
     cat = unit.withColumnRenamed(item_col, "similar_artist")
-    qs = q.select(F.col(item_col).alias("_q"), "features", "_k").distinct()
-    itself = qs.select("_q", F.col("_q").alias("similar_artist"))
-    ranked = top_items(qs, cat, "_q", "similar_artist", "_k", seen=itself)
-    return (q.select(query_col, F.col(item_col).alias("_q")).distinct()
-            .join(ranked, "_q").select(query_col, F.col("_q").alias(item_col), "similar_artist",
-                                        F.col("score").alias("similarity"), "rank"))
+    names = asked.select(F.col("_q").alias(item_col)).distinct()
+    qs = unit.join(names, item_col, "left_semi").select(F.col(item_col).alias("_q"), "features",
+                                                         F.lit(int(k)).alias("_k"))
+    itself = names.select(F.col(item_col).alias("_q"), F.col(item_col).alias("similar_artist"))
+    ranked = top_items(qs, cat, "_q", "similar_artist", "_k", seen=itself, prune=False)
+    return asked.join(ranked, "_q").select(query_col, F.col("_q").alias(item_col), "similar_artist",
+                                           F.col("score").alias("similarity"), "rank")
 
 
 def unmatched_queries(queries: DataFrame, item_factors: DataFrame, item_col: str = "artist_name",
@@ -176,8 +359,6 @@ def unmatched_queries(queries: DataFrame, item_factors: DataFrame, item_col: str
 def random_discovery(train: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
                      k: int = 10, seed: int = 42, user_col: str = "user_id") -> DataFrame:
     """M7: recommendations for one seeded-random user (U6) among users with factors."""
-    from tonearm.operators.ids import random_user
-
     eligible = train.select(user_col).join(user_factors.select(user_col), user_col, "left_semi")
     who = random_user(eligible, seed, user_col)
     return recommend_unseen(who, user_factors, item_factors, train, k, user_col)
@@ -187,8 +368,6 @@ def sample_recommendations(train: DataFrame, user_factors: DataFrame, item_facto
                            n_samples: int = 5, k: int = 10, show: int = 5, seed: int = 42,
                            user_col: str = "user_id") -> DataFrame:
     """M8: U5 sample of users -> M3 -> shortened ids (P11) -> top ``show`` of each list."""
-    from tonearm.operators.ids import sample_users
-
     eligible = train.select(user_col).join(user_factors.select(user_col), user_col, "left_semi")
     who = sample_users(eligible, n_samples, seed, user_col)
     recs = recommend_unseen(who, user_factors, item_factors, train, k, user_col)

@@ -309,17 +309,40 @@ def m3(spark, sf):
 @register("j4_unseen_candidates", o.with_("factors", REC_USERS, o.unseen_scores_sql("ru")) +
           "SELECT count(*) AS n_pairs, round(sum(score), 3) AS score_sum FROM scored")
 def j4(spark, sf):
-    """J4 in isolation: the anti-join leaves exactly the unseen (user, item) pairs.
+    """J4 in isolation: exactly the unseen (user, item) pairs are scored.
 
-    Checked as an aggregate so no pair list is emitted: the full candidate
-    fetch per user (catalog size) is scored, then train items removed.
+    Summed inside the block products, so no pair list leaves the workers.
     """
     tr = fx.train(spark, sf)
-    users = tr.select("user_id").distinct()
-    n_items = fx.item_factors(spark, sf).count()
-    r = score.recommend_unseen(users, fx.user_factors(spark, sf), fx.item_factors(spark, sf), tr, n_items,
-                               few_users=False)
-    return r.agg(F.count("*").alias("n_pairs"), F.round(F.sum("score"), 3).alias("score_sum"))
+    users = tr.select("user_id").distinct().join(fx.user_factors(spark, sf), "user_id")
+    r = score.score_sums(users, fx.item_factors(spark, sf), "user_id", "artist_name", seen=tr)
+    return r.agg(F.coalesce(F.sum("n_items"), F.lit(0)).alias("n_pairs"),
+                 F.round(F.sum("score_sum"), 3).alias("score_sum"))
+
+
+PRUNE_BLOCK = 64  # items per block in the pruning key: the test catalogs are smaller than a production block
+
+
+@register("m3_pruned_work", o.with_("factors", REC_USERS, o.unseen_scores_sql("ru"), f"""
+  sized AS (SELECT artist_name, sqrt(list_dot_product(features, features)) AS nrm FROM itf),
+  placed AS (SELECT *, (row_number() OVER (ORDER BY nrm DESC, artist_name) - 1) // {PRUNE_BLOCK} AS b FROM sized),
+  longest AS (SELECT b, max(nrm) AS nrm FROM placed GROUP BY b),
+  firsts AS (SELECT user_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC) AS r
+             FROM scored JOIN placed USING (artist_name) WHERE b = 0),
+  beat AS (SELECT user_id, min(score) AS beat, count(*) AS n FROM firsts WHERE r <= {CFG.top_k} GROUP BY user_id),
+  reach AS (SELECT user_id, count(*) FILTER (coalesce(n, 0) < {CFG.top_k}
+              OR l.nrm * sqrt(list_dot_product(u.features, u.features)) * (1 + 1e-9) + 1e-9 >= beat) AS blocks
+            FROM ru JOIN uf u USING (user_id) LEFT JOIN beat USING (user_id) CROSS JOIN longest l GROUP BY user_id)
+  """) + f"""SELECT count(*) AS n_queries, (SELECT count(*) FROM itf) AS n_items,
+  CAST(sum(least(greatest(blocks, 1) * {PRUNE_BLOCK}, (SELECT count(*) FROM itf))) AS BIGINT) AS n_products,
+  count(*) * (SELECT count(*) FROM itf) AS n_all_products FROM reach""")
+def m3p(spark, sf):
+    """M3's block pruning: products computed for every user's top k against those of all pairs."""
+    tr = fx.train(spark, sf)
+    users = tr.select("user_id").distinct().join(fx.user_factors(spark, sf), "user_id").withColumn("k", F.lit(CFG.top_k))
+    r = score.pruned_work(users, fx.item_factors(spark, sf), "user_id", "artist_name", "k", seen=tr,
+                          item_block=PRUNE_BLOCK)
+    return r.select("n_queries", "n_items", "n_products", "n_all_products")
 
 
 SIM_SQL = o.with_("factors", """un AS (SELECT artist_name, features,
@@ -1057,14 +1080,11 @@ def p8(spark, sf):
              round(min(list_dot_product(f.features, i.features)), 6) AS worst_score
              FROM ru r JOIN uf f USING (user_id) CROSS JOIN itf i GROUP BY r.user_id""")
 def j5(spark, sf):
-    """Every catalog item scored for every user, summed up per user."""
-    itf = fx.item_factors(spark, sf)
+    """Every catalog item scored for every user, summed up per user inside the block products."""
     who = fx.train(spark, sf).select("user_id").distinct().join(fx.user_factors(spark, sf), "user_id")
-    q = who.withColumn("_k", F.lit(itf.count()))
-    r = score.top_items(q, itf, "user_id", "artist_name", "_k")
-    return r.groupBy("user_id").agg(F.count("*").alias("n_items"), F.round(F.sum("score"), 4).alias("score_sum"),
-                                    F.round(F.max("score"), 6).alias("best_score"),
-                                    F.round(F.min("score"), 6).alias("worst_score"))
+    r = score.score_sums(who, fx.item_factors(spark, sf), "user_id", "artist_name")
+    return r.select("user_id", "n_items", F.round("score_sum", 4).alias("score_sum"),
+                    F.round("best_score", 6).alias("best_score"), F.round("worst_score", 6).alias("worst_score"))
 
 
 @register("j6_similar_to_top_artist", o.with_("factors", """stats AS (SELECT artist_name, sum(play_count) AS plays
