@@ -1,10 +1,12 @@
 """Grid dealing, block pruning, hot-key joins: spread and exactness where keys or norms are skewed."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tonearm.operators import ids, matrix, score
+from tonearm.operators import ids, kcore, matrix, score
 from tonearm.operators.hotjoin import hot_key_join, hot_keys
 
 
@@ -146,3 +148,52 @@ def test_hot_keys_needs_a_large_share(spark):
     assert hot_keys(plays.limit(0), "artist_name") is None
     with pytest.raises(ValueError):
         hot_key_join(plays, plays, "artist_name", "outer")
+
+
+def _peel_plainly(rows, mu, ma):
+    """Rounds of the k-core over a list of (user, item) rows: the survivors and the row counts."""
+    history = [len(rows)]
+    while True:
+        for side, least in ((0, mu), (1, ma)):
+            n = {}
+            for r in rows:
+                n[r[side]] = n.get(r[side], 0) + 1
+            rows = [r for r in rows if n[r[side]] >= least]
+        history.append(len(rows))
+        if history[-1] == history[-2]:
+            return sorted(rows), history
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 1.0])
+def test_frontier_rounds_are_those_of_rewriting(spark, share):
+    """Repeated pairs and hubs: the same survivors and the same row counts per round, however soon the frontier starts."""
+    rng = random.Random(11)
+    rows = [("hub" if rng.random() < 0.1 else f"u{int(rng.paretovariate(0.8)) % 90}", f"a{int(rng.paretovariate(0.6)) % 120}")
+            for _ in range(900)]
+    df = spark.createDataFrame(rows, "user_id string, artist_name string")
+    out, history = kcore.kcore_filter(df, 6, 4, rewrite_share=share)
+    want, counts = _peel_plainly(rows, 6, 4)
+    assert sorted(map(tuple, out.collect())) == want and [h["rows"] for h in history] == counts
+
+
+def test_frontier_on_a_long_path_writes_little(spark, monkeypatch):
+    """A path of 130 nodes beside a core of 8,000 rows: exact after over 30 rounds, and no round writes the pairs again."""
+    written = []
+    real = kcore.materialize
+
+    def watched(df, name, *a):
+        out = real(df, name, *a)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(kcore, "materialize", watched)
+    path = [(f"p{i // 2}", f"q{(i + 1) // 2}") for i in range(129)]  # p0-q0, p0-q1, p1-q1, ...
+    core = [(f"u{i % 100}", f"a{i % 80}") for i in range(8_000)]
+    df = spark.createDataFrame(path + core, "user_id string, artist_name string")
+    out, history = kcore.kcore_filter(df, 2, 2)
+    want, counts = _peel_plainly(path + core, 2, 2)
+    assert sorted(map(tuple, out.collect())) == want and [h["rows"] for h in history] == counts
+    assert len(history) > 30
+    rounds = [n for name, n in written if name in ("kcore-gone", "kcore-lost")]
+    assert len(rounds) > 100 and max(rounds) <= 2
+    assert sum(name.startswith("kcore-") and name[6:].isdigit() for name, _ in written) == 2  # start and one round

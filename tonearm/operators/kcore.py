@@ -23,17 +23,25 @@ def kcore_round(df: DataFrame, min_user: int, min_artist: int, user_col: str = "
     return step.join(items, item_col, "left_semi")
 
 
+#: Rounds rewrite the surviving pairs while they remove more than this share of the rows; then only the frontier moves.
+REWRITE_SHARE = 0.05
+#: Written tables of removed nodes and lost rows are merged when there are so many.
+MERGE_AT = 8
+
+
 def kcore_filter(df: DataFrame, min_user: int = 5, min_artist: int = 3, user_col: str = "user_id",
-                 item_col: str = "artist_name") -> tuple[DataFrame, list[dict]]:
+                 item_col: str = "artist_name", rewrite_share: float = REWRITE_SHARE) -> tuple[DataFrame, list[dict]]:
     """Repeat :func:`kcore_round` until a round removes nothing, however many rounds that takes.
 
     The fixpoint is unique, so the result does not depend on the execution
     order.  The rounds run over the (user, artist) pairs with their row counts, not
     over the full rows; the surviving pairs then select the full rows in one semi
-    join.  Each round is written as a parquet table into the session's shared
-    checkpoint folder, so a lost executor replays one round, not all of them, and the
-    table of the round before is deleted.  Returns the filtered frame and per-round
-    row counts; the last entry is the confirming round that removes nothing.
+    join.  While rounds remove much, each writes the surviving pairs; once a round
+    removes at most ``rewrite_share`` of the rows, the pairs stay as they are and
+    :class:`_Frontier` follows only the removed nodes and their neighbours.  Everything
+    kept is a parquet table in the session's shared checkpoint folder, so a lost
+    executor replays one round, not all of them.  Returns the filtered frame and
+    per-round row counts; the last entry is the confirming round that removes nothing.
     """
     checkpoint_dir(df.sparkSession)
     source = materialize(df, "kcore-rows")
@@ -46,20 +54,121 @@ def kcore_filter(df: DataFrame, min_user: int = 5, min_artist: int = 3, user_col
         left = step.agg(F.sum("_n")).first()[0] or 0
         history.append({"round": len(history), "rows": left})
         drop_scratch(cur)
-        cur = step
-        if left == rows:
+        cur, removed, rows = step, rows - left, left
+        if not removed or removed <= rewrite_share * (rows + removed):
             break
-        rows = left
-    if rows == history[0]["rows"]:
+    peeled = None
+    if removed:
+        peeled = _Frontier(cur, min_user, min_artist, user_col, item_col)
+        for left in peeled.rounds(rows):
+            history.append({"round": len(history), "rows": left})
+        cur = peeled.survivors()
+    if history[-1]["rows"] == history[0]["rows"]:
         return source, history
     keep = cur.select(F.col(user_col).alias("_u"), F.col(item_col).alias("_i"))
     core = source.join(keep, (F.col(user_col).eqNullSafe(F.col("_u"))) & (F.col(item_col).eqNullSafe(F.col("_i"))),
                        "left_semi")
     out = materialize(core, "kcore")
     drop_scratch(source, cur)
+    if peeled:
+        peeled.drop()
     return out, history
 
 
+class _Side:
+    """The nodes of one side: row counts at the start, rows lost since, and who is gone."""
+
+    def __init__(self, pairs: DataFrame, col: str, least: int):
+        self.col, self.least = col, least
+        self.degrees = materialize(pairs.groupBy(col).agg(F.sum("_n").alias("_c")), "kcore-degrees")
+        self.gone: list[DataFrame] = []
+        self.lost: list[DataFrame] = []
+
+    @staticmethod
+    def _all(tables: list[DataFrame]) -> DataFrame:
+        out = tables[0]
+        for t in tables[1:]:
+            out = out.unionByName(t)
+        return out
+
+    def without_gone(self, pairs: DataFrame) -> DataFrame:
+        return pairs.join(self._all(self.gone), self.col, "left_anti") if self.gone else pairs
+
+    def below(self, touched: DataFrame | None) -> DataFrame:
+        """Nodes that have fallen below the bound: of all nodes, or of the ``touched`` ones (which are still there)."""
+        left = self.degrees
+        if touched is not None:
+            lost = (self._all(self.lost).join(touched.select(self.col), self.col, "left_semi")
+                    .groupBy(self.col).agg(F.sum("_n").alias("_lost")))
+            left = left.join(lost, self.col).select(self.col, (F.col("_c") - F.col("_lost")).alias("_c"))
+        return left.where(F.col("_c") < self.least).select(self.col)
+
+    def remove(self, nodes: DataFrame) -> DataFrame:
+        table = materialize(nodes, "kcore-gone")
+        self._add(self.gone, table, lambda t: t)
+        return table
+
+    def lose(self, rows: DataFrame) -> DataFrame:
+        table = materialize(rows.groupBy(self.col).agg(F.sum("_n").alias("_n")), "kcore-lost")
+        self._add(self.lost, table, lambda t: t.groupBy(self.col).agg(F.sum("_n").alias("_n")))
+        return table
+
+    def _add(self, tables: list[DataFrame], new: DataFrame, merge) -> None:
+        tables.append(new)
+        if len(tables) > MERGE_AT:
+            old = tables[:-1]  # the newest is still read by the caller
+            tables[:] = [materialize(merge(self._all(old)), "kcore-merged"), new]
+            drop_scratch(*old)
+
+    def drop(self) -> None:
+        drop_scratch(self.degrees, *self.gone, *self.lost)
+
+
+class _Frontier:
+    """Peels a table of pairs that stays as written: each round scans it for the pairs of the
+    nodes removed in that round and takes their rows from their neighbours' counts.
+
+    A round writes the removed nodes and their neighbours' losses, and shuffles no more
+    than the pairs these name, so what it writes shrinks with the frontier (tables of past
+    rounds are merged now and then).  Rounds are those of :func:`kcore_round`: users
+    first, then artists by what is left.  The pairs come from a round, so no key is null.
+    """
+
+    def __init__(self, pairs: DataFrame, min_user: int, min_artist: int, user_col: str, item_col: str):
+        self.pairs = pairs
+        self.users, self.items = _Side(pairs, user_col, min_user), _Side(pairs, item_col, min_artist)
+
+    def _peel(self, side: _Side, other: _Side, nodes: DataFrame) -> tuple[int, DataFrame]:
+        """Remove ``nodes`` of one side; returns the rows lost and the neighbours that lost them."""
+        alive = other.without_gone(self.pairs)
+        table = side.remove(nodes)
+        losses = other.lose(alive.join(table, side.col, "left_semi"))
+        return losses.agg(F.sum("_n")).first()[0] or 0, losses
+
+    def rounds(self, rows: int):
+        """Row counts after each further round, the confirming one included."""
+        touched = None
+        while True:
+            lost_u, hit = self._peel(self.users, self.items, self.users.below(touched))
+            lost_i = 0
+            if lost_u:
+                lost_i, touched = self._peel(self.items, self.users, self.items.below(hit))
+            rows -= lost_u + lost_i
+            yield rows
+            if not lost_i:  # no user has lost a row since the users were looked at
+                if lost_u:
+                    yield rows
+                return
+
+    def survivors(self) -> DataFrame:
+        return self.items.without_gone(self.users.without_gone(self.pairs))
+
+    def drop(self) -> None:
+        self.users.drop()
+        self.items.drop()
+        drop_scratch(self.pairs)
+
+
 def _pair_round(pairs: DataFrame, min_user: int, min_artist: int, user_col: str, item_col: str) -> DataFrame:
     """:func:`kcore_round` on distinct pairs with their row counts ``_n``."""
     users = pairs.groupBy(user_col).agg(F.sum("_n").alias("_c")).where(F.col("_c") >= min_user).select(user_col)
