@@ -36,14 +36,21 @@ def dedup_from_groups(groups: DataFrame) -> DataFrame:
 
 
 def grouped_profile(groups: DataFrame) -> DataFrame:
-    """A1-A3 of the raw scan computed from :func:`group_plays` output."""
+    """A1-A3 of the raw scan computed from :func:`group_plays` output.
+
+    Distinct users and names are counted from one row per key each, so no group is
+    expanded once per distinct count.
+    """
     named = F.col("artist_name").isNotNull()
-    return groups.agg(
-        F.sum("n").alias("n_rows"),
-        F.countDistinct("user_id").alias("n_users"),
-        F.countDistinct("artist_name").alias("n_artists"),
-        F.coalesce(F.sum(F.when(~named, F.col("n"))), F.lit(0)).alias("n_missing_names"),
-        F.coalesce(F.sum(F.when(named, F.col("n") - 1)), F.lit(0)).alias("n_duplicates"))
+    users = groups.groupBy("user_id").agg(
+        F.sum("n").alias("n"), F.sum(F.when(~named, F.col("n")).otherwise(0)).alias("missing"),
+        F.sum(F.when(named, F.col("n") - 1).otherwise(0)).alias("more"))
+    users = users.agg(F.sum("n").alias("n_rows"), F.count("user_id").alias("n_users"),
+                      F.coalesce(F.sum("missing"), F.lit(0)).alias("n_missing_names"),
+                      F.coalesce(F.sum("more"), F.lit(0)).alias("n_duplicates"))
+    names = groups.select("artist_name").distinct().agg(F.count("artist_name").alias("n_artists"))
+    both = users.unionByName(names, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("n_rows", "n_users", "n_artists", "n_missing_names", "n_duplicates")])
 
 
 def dedup_plays(df: DataFrame, order_col: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonearm.functions import names
-from tonearm.operators import charts, clean, ids, kcore, matrix, metrics, mood, profile, score, split
+from tonearm.operators import charts, clean, ids, kcore, matrix, metrics, mood, profile, score, similar, split
 from tonearm.plans import fixtures as fx
 from tonearm.plans import jobs
 from tonearm.plans import oracle as o
@@ -386,6 +386,16 @@ def m8(spark, sf):
     return r.select("user_short", "user_id", "artist_name", _r6("score"), "rank")
 
 
+@register("m5_similar_approx_recall", o.with_("factors") + f"""SELECT (SELECT count(*) FROM itf) AS n_items,
+  (SELECT count(*) FROM itf) * {CFG.top_k} AS n_rows, CAST({CFG.top_k} AS INTEGER) AS k, TRUE AS reached""")
+def m5a(spark, sf):
+    """M5's approximate option for every artist, with its recall measured on the run's own rows."""
+    itf = fx.item_factors(spark, sf)
+    rows, report = similar.similar_items_approx(itf.select(F.col("artist_name").alias("query")), itf, CFG.top_k)
+    found = rows.agg(F.count("*").alias("n_rows"))
+    return report.join(found).select("n_items", "n_rows", "k", (F.col("recall") >= 0.9).alias("reached"))
+
+
 # ---------------------------------------------------------------- moods
 def _mood_ctes(k_expr: str = str(CFG.top_k)) -> list[str]:
     return [
@@ -541,6 +551,7 @@ LOG_SQL = f"""log AS (SELECT ts, event_id, 'POST' AS method, concat('/', event_t
   CASE event_type WHEN 'view' THEN 'mood' WHEN 'click' THEN 'user' WHEN 'purchase' THEN 'random' END AS type,
   CASE WHEN event_type = 'view' THEN {o.MOOD_ARRAY}[user_id % 12 + 1] END AS mood,
   CASE WHEN event_type = 'error' THEN 'ValueError' END AS error_type,
+  CASE WHEN event_type = 'signup' THEN CASE event_id % 2 WHEN 0 THEN 'similar' ELSE 'charts' END END AS lookup,
   value AS duration, event_type = 'error' AS is_error, user_id FROM events)"""
 LOG = "WITH " + LOG_SQL + "\n"
 _SLIDE = "(SELECT *, time_bucket(INTERVAL 1 minute, ts) - k * INTERVAL 1 minute AS ws FROM log, range(0, 5) t(k))"
@@ -551,6 +562,8 @@ R_SQL = {
     "r2_latency_histogram": LOG + f"SELECT method, endpoint, {_BUCKET_SQL}, count(*) AS le_inf, "
                             "round(sum(duration), 6) AS duration_sum, count(*) AS requests FROM log GROUP BY ALL",
     "r3_recs_by_type": LOG + "SELECT type, mood, count(*) AS requests FROM log WHERE type IS NOT NULL GROUP BY ALL",
+    "r3_lookup_totals": LOG + "SELECT count_if(lookup = 'similar') AS similar_artist_requests_total, "
+                        "count_if(lookup = 'charts') AS charts_requests_total FROM log",
     "r4_errors_by_kind": LOG + "SELECT endpoint, error_type, count(*) AS errors FROM log WHERE is_error GROUP BY ALL",
     "r5_gauges_last": LOG + "SELECT endpoint AS gauge, arg_max(duration, row(ts, event_id)) AS value, max(ts) AS ts "
                       "FROM log GROUP BY endpoint",
@@ -588,6 +601,7 @@ R_SPEC = {
     "r1_request_counts": (monitor.request_counts, ["method", "endpoint", "status"], None, []),
     "r2_latency_histogram": (monitor.latency_histogram, ["method", "endpoint"], None, ["duration_sum"]),
     "r3_recs_by_type": (monitor.recs_by_type, ["type", "mood"], None, []),
+    "r3_lookup_totals": (monitor.lookup_totals, [], None, []),
     "r4_errors_by_kind": (monitor.errors_by_kind, ["endpoint", "error_type"], None, []),
     "r5_gauges_last": (monitor.gauges_last, ["gauge"], None, []),
     "r6_requests_per_minute": (monitor.per_minute, ["window_start", "window_end"], None, []),
@@ -627,6 +641,9 @@ def _stream_metric(name):
         events = fx.table(spark, sf, "events")
         stream = monitor.event_stream(spark, f"{sf}/events.parquet", events.schema)
         agg = fn(fx.request_log(spark, sf, stream))
+        if post is monitor.top_moods:  # ranked inside the stream, in complete mode: the table holds the report
+            path, _ = monitor.run_stream(post(agg), keys, name, "complete")
+            return monitor.latest(spark, path, None)
         path, _ = monitor.run_stream(agg, keys, name)
         out = monitor.latest(spark, path, keys)
         out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in _TS_COLS else F.col(c)
@@ -1068,7 +1085,7 @@ def m3t(spark, sf):
 @register("p8_unmatched_lookups", o.with_("factors", o.mood_fixture_sql()) +
           "SELECT DISTINCT seed AS query FROM mseeds WHERE trim(lower(seed)) NOT IN (SELECT artist_name FROM itf)")
 def p8(spark, sf):
-    """P8 batch form: lookups that name no known artist (the facade raises ValueError on these)."""
+    """P8 batch form: lookups that name no known artist (``lookups.similar_to`` raises ValueError on each)."""
     q = fx.moods(spark, sf).select(F.explode("seed_artists").alias("query")).distinct()
     return score.unmatched_queries(q, fx.item_factors(spark, sf))
 

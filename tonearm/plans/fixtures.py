@@ -161,6 +161,7 @@ def request_log(spark: SparkSession, sf_dir: str, frame: DataFrame | None = None
         rtype.alias("type"),
         F.when(rtype == "mood", F.element_at(mood_arr, (F.col("user_id") % 12 + 1).cast("int"))).alias("mood"),
         F.when(et == "error", F.lit("ValueError")).alias("error_type"),
+        F.when(et == "signup", F.when(F.col("event_id") % 2 == 0, "similar").otherwise("charts")).alias("lookup"),
         F.col("value").alias("duration"),
         (et == "error").alias("is_error"),
         F.col("user_id"))

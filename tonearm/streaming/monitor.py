@@ -2,9 +2,12 @@
 
 Every metric is a function ``DataFrame -> DataFrame`` that only uses operators
 valid on streaming frames (grouped / windowed aggregations).  :func:`run_stream`
-drives the same function over a ``readStream`` source with a watermark, in
-update mode, and lands every micro-batch's updated rows in a table in the shared
-checkpoint folder; :func:`latest` reads the newest version of each key back.
+drives the same function over a ``readStream`` source with a watermark and lands its
+results in a :class:`ResultTable` in the shared checkpoint folder: in update mode each
+micro-batch's updated rows, compacted to one version per key now and then; in complete
+mode the whole result of the newest batch.  :func:`latest` reads the newest version of
+each key back; :func:`late_rows` says how many rows came too late, over any number of
+batches.
 """
 
 from __future__ import annotations
@@ -50,6 +53,12 @@ def recs_by_type(log: DataFrame) -> DataFrame:
     return log.where(F.col("type").isNotNull()).groupBy("type", "mood").agg(F.count("*").alias("requests"))
 
 
+def lookup_totals(log: DataFrame) -> DataFrame:
+    """Similar-artist and charts requests (``lookup`` is "similar" or "charts"), failed ones included."""
+    return log.agg(F.count_if(F.col("lookup") == "similar").alias("similar_artist_requests_total"),
+                   F.count_if(F.col("lookup") == "charts").alias("charts_requests_total"))
+
+
 def errors_by_kind(log: DataFrame) -> DataFrame:
     """Errors by (endpoint, error_type)."""
     return log.where(F.col("is_error")).groupBy("endpoint", "error_type").agg(F.count("*").alias("errors"))
@@ -107,7 +116,7 @@ def mood_counts(log: DataFrame) -> DataFrame:
 
 
 def top_moods(counts: DataFrame, n: int = 5) -> DataFrame:
-    """The n most requested moods (a top-k report)."""
+    """The n most requested moods (a top-k report); on a stream in complete mode too."""
     return counts.orderBy(F.desc("requests"), F.asc("mood")).limit(n)
 
 
@@ -167,40 +176,145 @@ def event_stream(spark: SparkSession, path: str, schema: T.StructType, watermark
     return df.withWatermark("ts", watermark) if watermark else df
 
 
-def run_stream(agg: DataFrame, keys: list[str], name: str) -> tuple[str, int]:
-    """Run a streaming aggregation to completion (availableNow) in update mode.
+#: Batches whose rows are merged into one snapshot when there are so many.
+COMPACT_EVERY = 16
+#: Batches whose late rows may still be reported anew.
+REMEMBERED_BATCHES = 1_000
+
 
-    Each micro-batch appends its updated rows, tagged with the batch id, to a
-    parquet table under the shared checkpoint folder; the stream's own
-    checkpoint (offsets + state) lives next to it, so a restarted job resumes.
-    Returns the table's path and the number of late rows that the watermark dropped.
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+class ResultTable:
+    """Results of a stream under ``root``: a folder per batch and snapshots of all batches up to one.
+
+    A repeated batch overwrites its own folder, and a snapshot only covers batches that
+    were committed before and counts once its writer has marked it complete, so a
+    restart at any point changes nothing.  What a complete snapshot covers is deleted,
+    so the table holds one version per key and at most COMPACT_EVERY batches of updates.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str]):
+        self.spark, self.root, self.keys = spark, root, keys
+
+    def _ids(self, kind: str, complete: bool = False) -> list[int]:
+        p, fs = _files(self.spark, f"{self.root}/{kind}")
+        if not fs.exists(p):
+            return []
+        found = {int(f.getPath().getName().split("=")[1]): f.getPath() for f in fs.listStatus(p) if "=" in f.getPath().getName()}
+        if complete:
+            found = {i: q for i, q in found.items() if fs.exists(_files(self.spark, f"{q.toString()}/_SUCCESS")[0])}
+        return sorted(found)
+
+    def _drop(self, kind: str, ids: list[int]) -> None:
+        for i in ids:
+            p, fs = _files(self.spark, f"{self.root}/{kind}/{'_batch' if kind == 'data' else 'upto'}={i}")
+            fs.delete(p, True)
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """All versions not yet superseded by a snapshot, with ``_batch``; None without any."""
+        parts = []
+        snapshots = self._ids("snapshots", complete=True)
+        if snapshots:
+            parts.append(self.spark.read.parquet(f"{self.root}/snapshots/upto={snapshots[-1]}"))
+        batches = [i for i in self._ids("data") if (not snapshots or i > snapshots[-1]) and (before is None or i < before)]
+        for i in batches:
+            parts.append(self.spark.read.parquet(f"{self.root}/data/_batch={i}").withColumn("_batch", F.lit(i).cast("long")))
+        out = None
+        for p in parts:
+            out = p if out is None else out.unionByName(p)
+        return out
+
+    def update(self, batch: DataFrame, batch_id: int) -> None:
+        """The updated rows of one batch; older batches are compacted first when there are many."""
+        old = [i for i in self._ids("data") if i < batch_id]
+        if len(old) >= COMPACT_EVERY:
+            newest_of(self.read(before=batch_id), self.keys).write.mode("overwrite").parquet(
+                f"{self.root}/snapshots/upto={old[-1]}")
+            self._drop("data", old)
+            self._drop("snapshots", self._ids("snapshots")[:-1])
+        batch.write.mode("overwrite").parquet(f"{self.root}/data/_batch={batch_id}")
+
+    def replace(self, batch: DataFrame, batch_id: int) -> None:
+        """The whole result after one batch, in place of all before."""
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
+            f"{self.root}/snapshots/upto={batch_id}")
+        self._drop("snapshots", [i for i in self._ids("snapshots") if i < batch_id])
+
+
+class _LateRows:
+    """Adds up the rows that a watermark dropped, batch by batch.
+
+    A query remembers its last progress reports only; they are read at every batch, so
+    none is missed however long the query runs.
+    """
+
+    def __init__(self, root: str):
+        self.path, self.query, self.seen, self.total = f"{root}/late", None, {}, 0
+
+    def note(self) -> None:
+        for p in self.query.recentProgress if self.query else []:
+            dropped = sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])
+            more = dropped - self.seen.get(p["batchId"], 0)
+            if more > 0:
+                self.total += more
+                spark = SparkSession.active()
+                spark.createDataFrame([(p["batchId"], dropped)], "batch long, dropped long").coalesce(1).write.mode(
+                    "append").parquet(self.path)
+            self.seen[p["batchId"]] = max(dropped, self.seen.get(p["batchId"], 0))
+        for old in sorted(self.seen)[:-REMEMBERED_BATCHES]:
+            del self.seen[old]
+
+
+def run_stream(agg: DataFrame, keys: list[str], name: str, mode: str = "update") -> tuple[str, int]:
+    """Run a streaming aggregation to completion (availableNow) in ``update`` or ``complete`` mode.
+
+    The results land in a :class:`ResultTable` under the shared checkpoint folder; the
+    stream's own checkpoint (offsets + state) lives next to it, so a restarted job
+    resumes.  In complete mode the aggregation may be ranked and cut, and the table
+    holds that result after each batch.  Returns the path of the batches' folder and the
+    number of late rows that the watermark dropped, also kept per batch in a table
+    (:func:`late_rows`).
     """
     spark = agg.sparkSession
     out = scratch_path(spark, f"stream-{name}")
+    table, late = ResultTable(spark, out, keys), _LateRows(out)
+    land = table.update if mode == "update" else table.replace
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(f"{out}/data")
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    dropped = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
-    if q.lastProgress is None or not _has_data(spark, f"{out}/data"):
+        late.note()
+        land(batch, batch_id)
+
+    late.query = (agg.writeStream.outputMode(mode).foreachBatch(sink)
+                  .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
+    late.query.awaitTermination()
+    late.note()
+    if table.read() is None:
         # the source has files but no rows: leave an empty result table behind
-        schema = T.StructType(agg.schema.fields + [T.StructField("_batch", T.LongType())])
-        spark.createDataFrame([], schema).write.mode("append").parquet(f"{out}/data")
-    return f"{out}/data", dropped
+        land(spark.createDataFrame([], agg.schema), 0)
+    return f"{out}/data", late.total
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(batch, dropped) of the batches in which rows came too late; ``path`` is what :func:`run_stream` returned."""
+    at = f"{path.rsplit('/', 1)[0]}/late"
+    p, fs = _files(spark, at)
+    schema = "batch long, dropped long"
+    rows = spark.read.schema(schema).parquet(at) if fs.exists(p) else spark.createDataFrame([], schema)
+    return rows.groupBy("batch").agg(F.max("dropped").alias("dropped"))
+
+
+def newest_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest version of each key, with its ``_batch``."""
+    vals = [c for c in rows.columns if c not in keys and c != "_batch"]
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*vals), "_batch").alias("_v"), F.max("_batch").alias("_batch"))
+            .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals], "_batch"))
 
 
-def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest version of each key from an update-mode result table."""
-    df = spark.read.parquet(path)
-    vals = [c for c in df.columns if c not in keys and c != "_batch"]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "_batch").alias("_v"))
-            .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals]))
+def latest(spark: SparkSession, path: str, keys: list[str] | None) -> DataFrame:
+    """Newest version of each key from a result table; ``keys`` None: a complete-mode table as it is."""
+    rows = ResultTable(spark, path.rsplit("/", 1)[0], keys or []).read()
+    return (rows if keys is None else newest_of(rows, keys)).drop("_batch")
