@@ -187,10 +187,15 @@ def test_frontier_on_a_long_path_writes_little(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(kcore, "materialize", watched)
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")  # many small rounds
     path = [(f"p{i // 2}", f"q{(i + 1) // 2}") for i in range(129)]  # p0-q0, p0-q1, p1-q1, ...
     core = [(f"u{i % 100}", f"a{i % 80}") for i in range(8_000)]
     df = spark.createDataFrame(path + core, "user_id string, artist_name string")
-    out, history = kcore.kcore_filter(df, 2, 2)
+    try:
+        out, history = kcore.kcore_filter(df, 2, 2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
     want, counts = _peel_plainly(path + core, 2, 2)
     assert sorted(map(tuple, out.collect())) == want and [h["rows"] for h in history] == counts
     assert len(history) > 30
