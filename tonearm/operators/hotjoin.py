@@ -14,12 +14,12 @@ HOT_ROWS, HOT_KEYS = 100_000, 10_000
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame | None:
     """The measured heavy hitters of ``key`` (at most HOT_KEYS rows: each holds more than that share), or None."""
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    counts = materialize(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")), "key-counts")
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
     least = max(hot_rows, (total or 0) // HOT_KEYS)
     if not most or most <= least:
         return None
-    return counts.where(F.col("_n") > least).select(key)
+    return materialize(counts.where(F.col("_n") > least).select(key), "hot-keys")
 
 
 def hot_key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,11 +81,14 @@ class _Side:
     """The nodes of one side: row counts at the start, rows lost since, and who is gone."""
 
     def __init__(self, pairs: DataFrame, col: str, least: int):
-        self.col, self.least = col, least
-        self.degrees = materialize(pairs.groupBy(col).agg(F.sum("_n").alias("_c")), "kcore-degrees")
+        self.pairs, self.col, self.least = pairs, col, least
         self.gone: list[DataFrame] = []
         self.lost: list[DataFrame] = []
 
+    @cached_property
+    def degrees(self) -> DataFrame:
+        return materialize(self.pairs.groupBy(self.col).agg(F.sum("_n").alias("_c")), "kcore-degrees")
+
     @staticmethod
     def _all(tables: list[DataFrame]) -> DataFrame:
         out = tables[0]
@@ -121,7 +126,7 @@ class _Side:
             drop_scratch(*old)
 
     def drop(self) -> None:
-        drop_scratch(self.degrees, *self.gone, *self.lost)
+        drop_scratch(*[t for t in [self.__dict__.get("degrees")] if t is not None], *self.gone, *self.lost)
 
 
 class _Frontier:
@@ -139,9 +144,11 @@ class _Frontier:
         self.users, self.items = _Side(pairs, user_col, min_user), _Side(pairs, item_col, min_artist)
 
     def _peel(self, side: _Side, other: _Side, nodes: DataFrame) -> tuple[int, DataFrame]:
-        """Remove ``nodes`` of one side; returns the rows lost and the neighbours that lost them."""
+        """Remove ``nodes`` of one side; returns the rows lost and, if any, the neighbours that lost them."""
         alive = other.without_gone(self.pairs)
         table = side.remove(nodes)
+        if table.isEmpty():
+            return 0, table
         losses = other.lose(alive.join(table, side.col, "left_semi"))
         return losses.agg(F.sum("_n")).first()[0] or 0, losses
 

@@ -145,7 +145,7 @@ def _item_blocks(it: DataFrame) -> DataFrame:
 
 
 class _Scoring:
-    """Queries and items of one scoring job, written once, with what the blocks need to know."""
+    """Queries and items of one scoring job, with what the blocks need to know."""
 
     def __init__(self, queries: DataFrame, items: DataFrame, query_key_col: str, item_key_col: str, k_col: str | None,
                  seen: DataFrame | None, feat: str, prune: bool, item_block: int | None = None):
@@ -155,13 +155,14 @@ class _Scoring:
                            k.cast("long").alias("k")).where(F.col("features").isNotNull())
         it = items.select(F.col(item_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"),
                           F.col(feat).cast("array<double>").alias("features")).where(F.col("features").isNotNull())
-        self.q, it = materialize(q, "score-queries"), materialize(it, "score-items")
-        self.n_queries, self.max_k = self.q.agg(F.count("*"), F.max("k")).first()
+        self.n_queries, self.max_k = q.agg(F.count("*"), F.max("k")).first()
         self.n_items = it.count()
         self.n_query_blocks = max(1, math.ceil(self.n_queries / QUERY_BLOCK))
         self.n_item_blocks = max(1, math.ceil(self.n_items / self.item_block))
         self.prune = prune and self.n_item_blocks > 1 and self.n_queries > 0
-        if self.prune:
+        self.q = q
+        if self.prune:  # several passes over both: written once
+            self.q, it = materialize(q, "score-queries"), materialize(it, "score-items")
             norms = it.select("key", vectors.norm("features").alias("norm"))
             order = dense_index(norms, [F.desc("norm"), F.asc("key")], "pos")
             block = F.floor(F.col("pos") / self.item_block).cast("int")
@@ -171,7 +172,6 @@ class _Scoring:
         self.items = it
         none = F.array().cast("array<bigint>")
         if seen is None:
-            self.seen = None
             self.with_seen = lambda rows: rows.withColumn("seen", none)
         else:
             gone = (seen.select(F.col(query_key_col).alias("key"), F.xxhash64(item_key_col).alias("h"))
