@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonearm.functions import names
-from tonearm.operators import charts, clean, ids, kcore, matrix, metrics, mood, profile, score, similar, split
+from tonearm.operators import charts, clean, ids, kcore, matrix, metrics, mood, profile, score, similar, sketches, split
 from tonearm.plans import fixtures as fx
 from tonearm.plans import jobs
 from tonearm.plans import oracle as o
@@ -244,6 +244,33 @@ def a11(spark, sf):
     return charts.artist_stats(fx.train(spark, sf))
 
 
+@register("a11_sketched_listeners", o.with_("fl") + "SELECT artist_name, CAST(sum(play_count) AS BIGINT) AS play_count, "
+          "count(DISTINCT user_id) AS listener_count, TRUE AS within_bound FROM fl GROUP BY artist_name")
+def a11_sketched(spark, sf):
+    """A11 from sketches stored per slice (the two split parts) and merged, each held against the exact count."""
+    path, whole = scratch_path(spark, "listener-sketches"), fx.flagged(spark, sf)
+    sketches.write_sketches(sketches.listener_sketches(whole, "is_test"), path, "is_test")
+    merged = sketches.merged_listeners(sketches.read_sketches(spark, path))
+    exact = charts.artist_stats(whole).select("artist_name", "listener_count")
+    return merged.join(exact, "artist_name", "full").select(
+        "artist_name", "play_count", "listener_count",
+        F.coalesce(sketches.within_bound(F.col("listener_estimate"), F.col("listener_count")), F.lit(False)).alias("within_bound"))
+
+
+@register("a1_sketched_counts", o.with_("fl") + "SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, "
+          "count(DISTINCT artist_name) AS n_artists, TRUE AS users_within, TRUE AS artists_within FROM fl")
+def a1_sketched(spark, sf):
+    """A1 from sketches stored per slice and merged, held against the exact counts."""
+    path, whole = scratch_path(spark, "table-sketches"), fx.flagged(spark, sf)
+    sketches.write_sketches(sketches.table_sketches(whole, "is_test"), path, "is_test")
+    merged = sketches.merged_counts(sketches.read_sketches(spark, path)).withColumnRenamed("n_rows", "_merged")
+    exact = profile.table_counts(whole)
+    return exact.join(merged, F.col("n_rows") == F.col("_merged"), "left").select(
+        *exact.columns,
+        F.coalesce(sketches.within_bound(F.col("user_estimate"), F.col("n_users")), F.lit(False)).alias("users_within"),
+        F.coalesce(sketches.within_bound(F.col("artist_estimate"), F.col("n_artists")), F.lit(False)).alias("artists_within"))
+
+
 REC_USERS = "ru AS (SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT user_id FROM uf))"
 CHARTS_SQL = o.with_("split", """stats AS (SELECT artist_name, CAST(sum(play_count) AS BIGINT) AS play_count,
    count(DISTINCT user_id) AS listener_count FROM train GROUP BY artist_name)""",
