@@ -192,3 +192,18 @@ def test_mixed_documents_hold_the_taken_words(spark, odd_docs, no_docs):
 def test_mix_of_wordless_sources(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, " ", "b")], "doc_id long, text string, source string")
     assert [(r["size"], r.target, r.taken) for r in mix.mix_counts(docs).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_equal_documents_have_keys_of_their_own(spark, monkeypatch):
+    """A third of all rows equal, another lot without id and text: no hot key, whole counts, reruns agree."""
+    monkeypatch.setattr(mix, "COPIES", 50)
+    rows = [(i, f"a{i} b c", "web") for i in range(2000)] + [(7, "same old words", "web")] * 1500 + [(None, None, None)] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    keyed = df.select(F.struct("doc_id", "text").alias("row"), mix.word_count(F.col("text")).alias("size"), "source",
+                      F.xxhash64("doc_id", "text").alias("h"))
+    assert mix._keys_of_copies(keyed).groupBy("h").count().agg(F.max("count")).first()[0] == 1
+    assert mix._keys_of_copies(keyed).groupBy("row").count().where("row.doc_id = 7 AND row.text LIKE 'same%'").first()["count"] == 1500
+    got = sorted(map(str, mix.mix_counts(df).collect()))
+    assert len(got) == 4000 and got == sorted(map(str, mix.mix_counts(df.repartition(3)).collect()))
+    assert sum(r.taken for r in mix.mix_counts(df).collect()) == 3 * 3500
+    assert mix.mixed_documents(df).where("source = 'web'").count() >= 3500

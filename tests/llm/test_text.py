@@ -254,3 +254,44 @@ def test_licence_windows_equal_brute_force():
                    for i in range(len(text)) for j in range(i + 2, min(i + s.reach[0] + 1, len(text)) + 1))
         got = [d for _, d, _, _ in s.windows(text)]
         assert bool(got) == (best >= 0.8) and all(d <= best + 1e-12 for d in got)
+
+
+def test_languages_without_a_limit(spark, monkeypatch):
+    """Languages beyond the broadcast ones are learned too, and each is drawn whole."""
+    monkeypatch.setattr(langid, "BROADCAST_LANGS", 3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i * 10 + j, f"{letters[i] * 3} {letters[i + 1] * 2} " * 9, f"l{i:02d}") for i in range(12) for j in range(2 + i % 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid._sample(docs, 100).count() == len(rows)
+    model = langid.fit(docs)
+    assert model.langs == [f"l{i:02d}" for i in range(12)]
+    assert all(model.predict(text)[0] == lang for _, text, lang in rows)
+
+
+def test_prediction_equals_a_plain_decoder(spark):
+    """Counts, log odds, trust and loss written out over dictionaries give the same languages and scores."""
+    import math
+    from collections import Counter
+
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(
+        [("the cat sat on the mat", "en"), ("a dog and the bird", "en"), ("le chat est sur la table", "fr"),
+         ("un chien et une souris", "fr"), ("der hund und die katze", "de"), ("ein vogel auf dem dach", "de")])]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    grams = lambda t: [int(g) for part in langid.ngrams(t) for g in part]
+    langs = ["de", "en", "fr"]
+    counts = {lang: Counter(g for _, t, x in rows if x == lang for g in grams(t)) for lang in langs}
+    rate = lambda lang, g: (counts[lang][g] + 0.5) / (sum(counts[lang].values()) + 0.5 * langid.BUCKETS)
+    code, bits = langid.code_matrix(3), range(langid.code_matrix(3).shape[1])
+    mean = lambda xs: sum(xs) / len(xs)
+    odds = lambda b, g: math.log(mean([rate(x, g) for i, x in enumerate(langs) if code[i, b] > 0])
+                                 / mean([rate(x, g) for i, x in enumerate(langs) if code[i, b] < 0]))
+    vote = lambda b, t: mean([odds(b, g) for g in grams(t)])
+    right = [[mean([(vote(b, t) > 0) == (code[i, b] > 0) for _, t, x in rows if x == lang]) + 1e-6 for b in bits]
+             for i, lang in enumerate(langs)]
+    for text in ("the bird on the table", "la souris et le chien", "die katze auf dem dach", "zzz"):
+        n = len(grams(text))
+        loss = [sum(right[i][b] / sum(right[i]) * math.exp(-2 * code[i, b] * math.tanh(vote(b, text) * math.sqrt(n) / 2))
+                    for b in bits) for i in range(3)]
+        best, second = sorted(loss)[:2]
+        lang, score, _ = model.predict(text)
+        assert lang == langs[loss.index(best)] and score == pytest.approx(second / (best + second), rel=1e-4)

@@ -21,18 +21,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonearm.llm.common import ship
 from tonearm.session import materialize
 
 #: Training texts per language, picked by hash: the documented bound of the fitted sample.
 SAMPLE_PER_LANG = 2000
-#: The most frequent languages that are learned; it bounds the model and its broadcast.
-MAX_LANGS = 500
+#: The shares of so many languages, the most frequent ones, are broadcast to draw the sample; the rows of
+#: rarer languages, each under 1 / BROADCAST_LANGS of all rows, meet theirs in a shuffle.
+BROADCAST_LANGS = 1000
 BUCKETS = 1 << 15
 #: Code points scored at once, which bounds memory on very long texts.
 BLOCK = 1 << 18
 MIN_SCORE = 0.55
 UND = "und"
-_TASKS = 8
+#: Parts in which the sample of a language is counted.
+_PARTS = 4
 
 
 def code_matrix(n: int, seed: int = 11) -> np.ndarray:
@@ -117,67 +120,97 @@ def ngrams(text: str) -> Iterator[np.ndarray]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, np.ndarray] = {}
+    """A row of n-gram counts for each run of rows of one language; the rows come sorted by it."""
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([last]), pa.array([row.tobytes()])], names=["lang", "counts"])
+
+    last, row = None, np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            row = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
+            if lang != last and last is not None:
+                yield out()
+                row = np.zeros(BUCKETS, np.int64)
+            last = lang
             for grams in ngrams(text):
                 row += np.bincount(grams, minlength=BUCKETS)
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([s.tobytes() for s in sums.values()])],
-                                         names=["lang", "counts"])
+    if last is not None:
+        yield out()
 
 
 def _hits(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = {lang: np.zeros(model.code.shape[1] + 1, np.int64) for lang in model.langs}
+        code, seen = dict(zip(model.langs, model.code)), {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 mean, _ = model.bits(text)
-                seen[lang][:-1] += np.sign(mean) == model.code[model.langs.index(lang)]
-                seen[lang][-1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array([s.tobytes() for s in seen.values()])],
+                row = seen.setdefault(lang, np.zeros(model.code.shape[1] + 1, np.int64))
+                row[:-1] += np.sign(mean) == code[lang]
+                row[-1] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()),
+                                          pa.array([s.tobytes() for s in seen.values()], pa.binary())],
                                          names=["lang", "counts"])
     return run
 
 
-def _by_lang(rows: DataFrame) -> dict[str, np.ndarray]:
-    """Sums per language of at most _TASKS fixed-size rows each."""
-    out: dict[str, np.ndarray] = {}
-    for r in rows.collect():
-        out[r["lang"]] = out.get(r["lang"], 0) + np.frombuffer(r["counts"], np.int64)
-    return out
+def _by_lang(rows: DataFrame) -> Iterator[tuple[str, np.ndarray]]:
+    """Sums per language, one language after the other in code-point order; no more than a partition is held."""
+    last, total = None, None
+    for r in materialize(rows, "langid-sums").orderBy("lang").toLocalIterator():
+        part = np.frombuffer(r["counts"], np.int64)
+        if r["lang"] == last:
+            total = total + part
+            continue
+        if last is not None:
+            yield last, total
+        last, total = r["lang"], part
+    if last is not None:
+        yield last, total
+
+
+def _sample(rows: DataFrame, per_lang: int) -> DataFrame:
+    """About ``per_lang`` rows of each language, picked by hash; every language is in it."""
+    sizes = materialize(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
+    share = F.least(F.lit(1.0), per_lang / F.col("n"))
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id"), 11).cast("double") * 2.0 ** -53
+    top = F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(BROADCAST_LANGS))
+    sample = rows.join(top, "lang")
+    if sizes.count() > BROADCAST_LANGS:
+        rare = sizes.join(top.select("lang"), "lang", "left_anti")
+        sample = sample.unionByName(rows.join(top.select("lang"), "lang", "left_anti").join(rare, "lang"))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_PARTS)).alias("part")
+    return sample.filter(unit < share).select("lang", "text", part)
 
 
 def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Fit on (doc_id, text, lang): about ``per_lang`` texts of each language, picked by hash.
 
-    Rows with null lang or text are not learned from.  Only sums per language reach the
-    driver: at most _TASKS x languages rows of BUCKETS numbers.
+    Rows with null lang or text are not learned from; the number of languages has no
+    limit.  Only sums per language reach the driver, one language after the other, so it
+    holds the model (BUCKETS x bits, 12 log2 of the languages) and their names.
     """
     spark = labelled.sparkSession
+    ship(spark)
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    share = F.least(F.lit(1.0), per_lang / F.col("n"))
-    unit = F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id"), 11).cast("double") * 2.0 ** -53
-    sample = rows.join(F.broadcast(sizes), "lang").filter(unit < share).select("lang", "text")
-    sample = materialize(sample.repartition(_TASKS), "langid-sample")
-    counts = _by_lang(sample.coalesce(_TASKS).mapInArrow(_counts, "lang string, counts binary"))
-    langs = sorted(counts)
+    sample = materialize(_sample(rows, per_lang).repartition("lang", "part").sortWithinPartitions("lang", "part")
+                         .select("lang", "text"), "langid-sample")
+    langs = [r["lang"] for r in sample.select("lang").distinct().orderBy("lang").collect()]
     code = code_matrix(len(langs))
-    table = np.array([counts[x] for x in langs], float).reshape(len(langs), BUCKETS)
-    rate = (table + 0.5) / (table + 0.5).sum(1, keepdims=True)  # every language weighs the same
+    row_of = dict(zip(langs, code))
+    yes, no = np.zeros((BUCKETS, code.shape[1])), np.zeros((BUCKETS, code.shape[1]))
+    for lang, counts in _by_lang(sample.mapInArrow(_counts, "lang string, counts binary")):
+        rate = ((counts + 0.5) / (counts + 0.5).sum())[:, None]  # every language weighs the same
+        yes += rate * (row_of[lang] > 0)
+        no += rate * (row_of[lang] < 0)
     weights = np.zeros((BUCKETS + 1, code.shape[1]), np.float32)
-    for b in range(code.shape[1]):
-        yes, no = rate[code[:, b] > 0].mean(0), rate[code[:, b] < 0].mean(0)
-        weights[:-1, b] = np.log(yes / no)
+    if code.shape[1]:
+        weights[:-1] = np.log(yes / (code > 0).sum(0)) - np.log(no / (code < 0).sum(0))
     even = np.full(code.shape, 1 / max(code.shape[1], 1))
     model = Model(langs, code, weights, even)
     if len(langs) < 2:
         return model
     shared = spark.sparkContext.broadcast(model)
-    hits = _by_lang(sample.coalesce(_TASKS).mapInArrow(lambda it: _hits(shared.value)(it), "lang string, counts binary"))
-    right = np.array([hits[x][:-1] / max(hits[x][-1], 1) for x in langs]) + 1e-6
+    hits = sample.mapInArrow(lambda it: _hits(shared.value)(it), "lang string, counts binary")
+    right = np.array([n[:-1] / max(n[-1], 1) for _, n in _by_lang(hits)]) + 1e-6
     return Model(langs, code, weights, right / right.sum(1, keepdims=True))
 
 
@@ -186,6 +219,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     Null texts, texts without a letter and an empty model give ``und``, 0.0, ambiguous.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

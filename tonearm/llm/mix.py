@@ -14,13 +14,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonearm.llm.common import WORD, positions
+from tonearm.llm.common import WORD, lookup, positions
 from tonearm.session import materialize
 
 RANGE_ROWS = 256
 WEIGHTS = (1.0, 2.0, 3.0)
 MAX_EPOCHS = 3
 SEED = 7
+#: Equal rows are dealt out in lots of so many.
+COPIES = 1000
 
 
 def word_count(text: Column) -> Column:
@@ -79,8 +81,31 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int =
     return _cut(rows, weights, max_epochs)
 
 
+def _keys_of_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with a random key of its own for each of several equal rows.
+
+    Rows with a key of their own pass as they are.  The others are counted first, row by
+    row (partial sums, so a third of all rows being equal is no hot task), and a count is
+    dealt out again in lots of COPIES; the copies of a row are numbered, so reruns agree.
+    """
+    repeated = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "mix-copies")
+    if repeated.isEmpty():
+        return rows
+    marked = lookup(rows, repeated, "h", ["copies"], seen=repeated.withColumnRenamed("copies", "n"), counted=True)
+    equal = marked.filter("copies IS NOT NULL").groupBy("row", "size", "source", "h").agg(F.count(F.lit(1)).alias("n"))
+    lots = equal.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    lots = lots.repartition("h", "lot")
+    first, last = F.col("lot") * COPIES, F.least(F.col("n"), (F.col("lot") + 1) * COPIES) - 1
+    copies = lots.withColumn("i", F.explode(F.sequence(first, last)))
+    # Rows that share a key but differ elsewhere get keys that differ too.
+    key = F.xxhash64("h", F.xxhash64("row"), "i")
+    return marked.filter("copies IS NULL").drop("copies").unionByName(
+        copies.select("row", "size", "source", key.alias("h")))
+
+
 def _cut(rows: DataFrame, weights: tuple[float, ...], max_epochs: int) -> DataFrame:
     """The mix of rows (row, size, source, h); ``h`` is the random key."""
+    rows = _keys_of_copies(rows)
     total = rows.select("size").count()
     ranges = max(1, math.ceil(total / RANGE_ROWS))
     groups = max(1, math.isqrt(ranges))

@@ -19,17 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tonearm.llm.common import lookup
+from tonearm.llm.common import lookup, ship
 from tonearm.llm.components import connected_components, spanning_forest
 from tonearm.session import materialize
 
 #: The codebooks and the reach are fitted on about so many vectors, picked by hash.
 SAMPLE = 20_000
-#: Sampled vectors whose links are looked for by brute force to set the reach.
+#: Sampled vectors whose links are looked for by brute force to set the reach, or to measure the recall.
 JUDGED = 2_000
 ROWS_PER_CELL, MAX_CODES, ROUNDS = 64, 1024, 8
 #: Vectors per block of a cell; bounds the rows and the memory of one comparison.
@@ -86,11 +86,30 @@ class Codebooks:
                     heapq.heappush(heap, (p[i_of[a]] + q[j_of[b]], a, b))
 
 
+def _neighbours(x: np.ndarray, part: slice, threshold: float, rng: np.random.Generator) -> np.ndarray:
+    """A unit vector for each of ``x`` at cosine ``threshold``, or as near to it as a difference
+    within the dimensions ``part`` allows, in a random direction."""
+    y = x.copy()
+    own = x[:, part]
+    if not own.shape[1]:
+        return y
+    size = np.maximum((own * own).sum(1, keepdims=True), 1e-300)
+    away = rng.standard_normal(own.shape)
+    away -= (away * own).sum(1, keepdims=True) / size * own
+    away /= np.maximum(np.sqrt((away * away).sum(1, keepdims=True)), 1e-300)
+    # Turning the part by an angle keeps its length: 1 - size * (1 - cos angle) = threshold.
+    cos = np.clip(1 - (1 - threshold) / size, -1, 1)
+    y[:, part] = cos * own + np.sqrt((1 - cos * cos) * size) * away
+    return y
+
+
 def fit(vectors: list, labels: list, total: int, threshold: float, recall: float = TARGET_RECALL) -> Codebooks:
     """Codebooks for ``total`` vectors from a sample, and the reach for ``recall``.
 
-    The reach covers the target share of the sample's own links and, as these may be
-    few or all very close, nine tenths of random neighbours at exactly the threshold.
+    The reach covers the target share of the sample's own links (a vector is no link of
+    itself) and, as these may be few or all very close, the same share of made neighbours
+    at exactly the threshold, in each of three shapes: the difference lies anywhere, in
+    the first half only, or in the second half only.
     """
     rng = np.random.default_rng(17)
     k = int(np.clip(np.sqrt(total / ROWS_PER_CELL), 1, MAX_CODES))
@@ -106,16 +125,15 @@ def fit(vectors: list, labels: list, total: int, threshold: float, recall: float
         over: list[np.ndarray] = []
         for i in range(min(JUDGED, len(x))):
             near = np.flatnonzero((x @ x[i] >= threshold) & (lab == lab[i]))
+            near = near[near != i]
             over.append(d1[i, c1[near]] + d2[i, c2[near]] - d1[i].min() - d2[i].min())
         few = x[: min(JUDGED, len(x))]
-        away = rng.standard_normal(few.shape)
-        away -= (away * few).sum(1, keepdims=True) * few
-        away /= np.maximum(np.sqrt((away * away).sum(1, keepdims=True)), 1e-300)
-        e1, e2 = index.halves(threshold * few + np.sqrt(max(1 - threshold ** 2, 0)) * away)
-        m1, m2 = e1.argmin(1), e2.argmin(1)
         at = np.arange(len(few))
-        made = d1[at, m1] + d2[at, m2] - d1[at].min(1) - d2[at].min(1)
-        reach = max(reach, np.quantile(np.concatenate(over), recall), np.quantile(made, 0.9))
+        reach = max(reach, np.quantile(np.concatenate([*over, [0.0]]), recall))
+        for part in (slice(None), slice(0, half), slice(half, None)):
+            e1, e2 = index.halves(_neighbours(few, part, threshold, rng))
+            m1, m2 = e1.argmin(1), e2.argmin(1)
+            reach = max(reach, np.quantile(d1[at, m1] + d2[at, m2] - d1[at].min(1) - d2[at].min(1), recall))
     return Codebooks(books, float(reach) + 1e-9)
 
 
@@ -167,6 +185,14 @@ def _verify(threshold: float):
     return run
 
 
+def _good() -> Column:
+    """Whether a row can link at all."""
+    emb = F.col("embedding")
+    finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
+    return (F.col("label").isNotNull() & emb.isNotNull() & (F.size(emb) > 0) & F.forall(emb, finite)
+            & F.exists(emb, lambda v: v != 0))
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of (vec_id, embedding, label).
 
@@ -178,11 +204,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     no rows; extra columns are not read.
     """
     spark = embeddings.sparkSession
+    ship(spark)
     emb = F.col("embedding")
     kind = embeddings.schema["embedding"].dataType.elementType
-    finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
-    good = (F.col("label").isNotNull() & emb.isNotNull() & (F.size(emb) > 0) & F.forall(emb, finite)
-            & F.exists(emb, lambda v: v != 0))
+    good = _good()
     key = F.concat(F.hex(F.xxhash64("label", emb)), F.lit("."), F.hex(F.xxhash64(emb, F.lit("b"), "label")))
     rows = embeddings.select(F.col("vec_id").cast("long"), F.when(good, key).alias("k"), "label", "embedding")
     light = materialize(rows.select("vec_id", "k"), "imi-rows")
@@ -233,3 +258,49 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     component = F.when(F.col("k").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+
+
+def _judge(shared, threshold: float):
+    """Links of the judged vectors among a task's rows: (id of the judged vector, rows linked)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judged = shared.value  # (label, dimension) -> keys, unit vectors
+        counts: dict[str, int] = {}
+        for batch in batches:
+            groups: dict[tuple, list] = {}
+            for v, label in zip(batch.column("embedding").to_pylist(), batch.column("label").to_pylist()):
+                if (label, len(v)) in judged:
+                    groups.setdefault((label, len(v)), []).append(v)
+            for group, vectors in groups.items():
+                keys, x = judged[group]
+                for at in range(0, len(vectors), BLOCK):
+                    hits = (x @ unit_rows(vectors[at:at + BLOCK]).T >= threshold).sum(1)
+                    for k in np.flatnonzero(hits):
+                        counts[keys[k]] = counts.get(keys[k], 0) + int(hits[k])
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                                         names=["k", "n"])
+    return run
+
+
+def measured_recall(embeddings: DataFrame, found: DataFrame, threshold: float = 0.93, judged: int = JUDGED) -> DataFrame:
+    """One row (judged, links, found, recall): links of about ``judged`` vectors against all rows.
+
+    ``found`` is what :func:`near_duplicates` returned for ``embeddings``, whose vec_ids must
+    be unique.  The judged vectors, picked by hash, are a bounded broadcast; every row is
+    compared with those of its label.  Without links the recall is null.
+    """
+    ship(embeddings.sparkSession)
+    rows = embeddings.filter(_good()).select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
+    total = rows.count()
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit("judge"), "vec_id"), 11).cast("double") * 2.0 ** -53
+    picked = rows.filter(unit < min(1.0, judged / max(total, 1))).limit(2 * judged).collect()
+    groups: dict[tuple, list] = {}
+    for r in picked:
+        groups.setdefault((r["label"], len(r["embedding"])), []).append(r)
+    shared = embeddings.sparkSession.sparkContext.broadcast(
+        {g: ([str(r["vec_id"]) for r in rs], unit_rows([r["embedding"] for r in rs])) for g, rs in groups.items()})
+    exact = (rows.select("label", "embedding").mapInArrow(_judge(shared, threshold), "k string, n long")
+             .groupBy(F.col("k").cast("long").alias("vec_id")).agg((F.sum("n") - 1).alias("links")))
+    both = exact.join(found.select("vec_id", "n_links"), "vec_id")
+    out = both.agg(F.count(F.lit(1)).alias("judged"), F.coalesce(F.sum("links"), F.lit(0)).alias("links"),
+                   F.coalesce(F.sum("n_links"), F.lit(0)).alias("found"))
+    return out.withColumn("recall", F.try_divide("found", "links"))
