@@ -6,8 +6,9 @@ first, until their distance exceeds the nearest cell's by ``reach``; the reach i
 on a sample so that the target share of links falls within it.  Every visited
 candidate is verified by cosine in double precision.
 
-Equal vectors are one node with a count.  A pair is looked for once, from the node with
-the smaller number, so link counts add up; blocks of a cell return counts and a
+Equal vectors are one node with a count.  A pair is found if either node visits the
+other's cell.  It counts once, so link counts add up: from the node with the smaller
+number, or from the other one if the smaller does not visit its cell; blocks of a cell return counts and a
 spanning forest of their links, never the links themselves.
 """
 
@@ -69,6 +70,12 @@ class Codebooks:
         a, b = self.books.get(x.shape[1], (np.zeros((1, x.shape[1] // 2)), np.zeros((1, x.shape[1] - x.shape[1] // 2))))
         return _distances(x[:, : a.shape[1]], a), _distances(x[:, a.shape[1]:], b)
 
+    def reaches(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether each vector of ``x`` visits the cell of the vector of ``y`` in the same row."""
+        (d1, d2), (e1, e2), at = self.halves(x), self.halves(y), np.arange(len(x))
+        best = d1.min(1) + d2.min(1)
+        return d1[at, e1.argmin(1)] + d2[at, e2.argmin(1)] <= best + self.reach
+
     def visits(self, first: np.ndarray, second: np.ndarray) -> Iterator[tuple[int, int]]:
         """Multi-sequence traversal of one vector's cells, nearest first, within the reach."""
         i_of, j_of = np.argsort(first, kind="stable").tolist(), np.argsort(second, kind="stable").tolist()
@@ -109,7 +116,8 @@ def fit(vectors: list, labels: list, total: int, threshold: float, recall: float
     The reach covers the target share of the sample's own links (a vector is no link of
     itself) and, as these may be few or all very close, the same share of made neighbours
     at exactly the threshold, in each of three shapes: the difference lies anywhere, in
-    the first half only, or in the second half only.
+    the first half only, or in the second half only.  A link is within the reach if
+    either vector visits the other's cell.
     """
     rng = np.random.default_rng(17)
     k = int(np.clip(np.sqrt(total / ROWS_PER_CELL), 1, MAX_CODES))
@@ -122,18 +130,22 @@ def fit(vectors: list, labels: list, total: int, threshold: float, recall: float
         index = Codebooks(books, 0.0)
         d1, d2 = index.halves(x)
         c1, c2 = d1.argmin(1), d2.argmin(1)
+        best = d1.min(1) + d2.min(1)
         over: list[np.ndarray] = []
         for i in range(min(JUDGED, len(x))):
             near = np.flatnonzero((x @ x[i] >= threshold) & (lab == lab[i]))
             near = near[near != i]
-            over.append(d1[i, c1[near]] + d2[i, c2[near]] - d1[i].min() - d2[i].min())
+            there = d1[i, c1[near]] + d2[i, c2[near]] - best[i]
+            over.append(np.minimum(there, d1[near, c1[i]] + d2[near, c2[i]] - best[near]))
         few = x[: min(JUDGED, len(x))]
         at = np.arange(len(few))
         reach = max(reach, np.quantile(np.concatenate([*over, [0.0]]), recall))
         for part in (slice(None), slice(0, half), slice(half, None)):
             e1, e2 = index.halves(_neighbours(few, part, threshold, rng))
             m1, m2 = e1.argmin(1), e2.argmin(1)
-            reach = max(reach, np.quantile(d1[at, m1] + d2[at, m2] - d1[at].min(1) - d2[at].min(1), recall))
+            there = d1[at, m1] + d2[at, m2] - best[at]
+            back = e1[at, c1[at]] + e2[at, c2[at]] - e1.min(1) - e2.min(1)
+            reach = max(reach, np.quantile(np.minimum(there, back), recall))
     return Codebooks(books, float(reach) + 1e-9)
 
 
@@ -162,7 +174,7 @@ def _cells(shared):
     return run
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, shared):
     def side(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = block.values
         return (rows.field("rid").to_numpy(), rows.field("n").to_numpy(),
@@ -172,7 +184,13 @@ def _verify(threshold: float):
         for batch in batches:
             for left, right in zip(batch.column("probes"), batch.column("held")):
                 (a, an, x), (b, bn, y) = side(left), side(right)
-                i, j = np.nonzero((x @ y.T >= threshold) & (a[:, None] < b))
+                i, j = np.nonzero((x @ y.T >= threshold) & (a[:, None] != b))
+                once = a[i] < b[j]
+                late = np.flatnonzero(~once)
+                for at in range(0, len(late), BLOCK):
+                    part = late[at:at + BLOCK]
+                    once[part] = ~shared.value.reaches(y[j[part]], x[i[part]])
+                i, j = i[once], j[once]
                 if not len(i):
                     continue
                 ids, back = np.unique(np.concatenate([a[i], b[j]]), return_inverse=True)
@@ -243,7 +261,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
                     .groupBy("cell", "part", "h").agg(vectors.alias("probes"))
                     .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h").cast("long") - 1))))
     pairs = probe_blocks.join(held_blocks, ["cell", "block"]).select("probes", "held")
-    found = materialize(pairs.mapInArrow(_verify(threshold), "u long, v long, n long"), "imi-links")
+    found = materialize(pairs.mapInArrow(_verify(threshold, shared), "u long, v long, n long"), "imi-links")
 
     counts = found.filter("v IS NULL").groupBy(F.col("u").alias("rid")).agg(F.sum("n").alias("others"))
     classes = connected_components(found.filter("v IS NOT NULL").select("u", "v")).withColumnRenamed("node", "rid")
