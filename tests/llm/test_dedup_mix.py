@@ -91,6 +91,29 @@ def test_every_link_within_three_bits_is_found(spark):
         (int(min(a, b)), int(max(a, b))) for a, b in found}
 
 
+def test_a_hot_cell_is_dealt_over_many_squares(spark, monkeypatch):
+    """600 fingerprints of one cell and 200 of its neighbours: bounded squares, all links, each pair of tiles once."""
+    monkeypatch.setattr(simhash, "TILE", 8)
+    monkeypatch.setattr(simhash, "GROUP", 4)
+    monkeypatch.setattr(simhash, "SLOT", 16)
+    rng = random.Random(9)
+    word = lambda ones: sum(1 << b for b in rng.sample(range(16), ones))
+    vals = {sum(word(1) << 16 * i for i in range(4)) for _ in range(600)}
+    vals |= {sum(word(1 + (i == k)) << 16 * i for i in range(4)) for k in range(4) for _ in range(50)}
+    vals = np.array(sorted(vals), np.uint64)
+    df = spark.createDataFrame([(int(v),) for v in vals.view(np.int64)], "fp long")
+    pairs = simhash.tile_pairs(df, 3).cache()
+    squares = pairs.groupBy("p0", "p1", "p2", "p3", "group", "slot").agg(
+        F.countDistinct("a").alias("a"), F.countDistinct("b").alias("b")).collect()
+    hot = [r for r in squares if (r.p0, r.p1, r.p2, r.p3) == (1, 1, 1, 1)]
+    assert len(hot) > 30 and max(r.b for r in squares) <= 8 and max(r.a for r in squares) <= 3 * 16
+    assert pairs.count() == pairs.select("a", "b").distinct().count()
+    found = {(min(r.u, r.v), max(r.u, r.v)) for r in simhash.links(df, 3).collect()}
+    near = np.argwhere(np.bitwise_count(vals[:, None] ^ vals) <= 3)
+    signed = vals.view(np.int64)
+    assert found == {tuple(sorted((int(signed[a]), int(signed[b])))) for a, b in near if a < b}
+
+
 def test_dense_group_keeps_a_spanning_forest(spark, monkeypatch):
     base = 0x0123456789ABCDEF
     vals = [base] + [base ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i)]  # all within 4, linked by base

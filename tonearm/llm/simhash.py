@@ -6,7 +6,9 @@ cells by the population counts of their four 16-bit words; two fingerprints with
 ``max_bits`` in L1 norm, so all other pairs of cells are skipped without losing a
 link.  Cells are cut into tiles of bounded size and pairs of tiles are compared
 exactly (numpy exclusive-or and bit counts); each pair of tiles returns a spanning
-forest of its links, never all of them.
+forest of its links, never all of them.  The tiles of a cell and those that come to it
+from its neighbours are dealt over a grid of bounded squares, so that the central
+cells, which grow with the data, meet in many tasks.
 """
 
 from __future__ import annotations
@@ -20,13 +22,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonearm.llm.common import lookup
+from tonearm.llm.common import lookup, ship
 from tonearm.llm.components import connected_components, spanning_forest
 from tonearm.session import materialize
 
 SEED = 42
 #: Fingerprints per tile: a pair of tiles is at most TILE x TILE comparisons.
 TILE = 2048
+#: A square of the grid holds at most GROUP tiles of a cell and about SLOT tiles that are compared with them.
+GROUP, SLOT = 16, 128
 #: Shingles whose bits are counted at once, which bounds memory on very long texts.
 BLOCK = 1 << 16
 #: Rows of a tile compared at once (TILE x STRIP words of 8 bytes).
@@ -104,29 +108,49 @@ def _compare(max_bits: int):
     return run
 
 
-def links(fps: DataFrame, max_bits: int) -> DataFrame:
-    """Links (u, v) that span every class of ``fps`` (distinct column ``fp``) within ``max_bits``."""
+def tile_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs of tiles (a, b) whose cells are near, and their square (cell, group, slot) of the grid."""
     counts = [F.bit_count(F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF))) for i in range(4)]
     rows = fps.select("fp", *[c.alias(f"p{i}") for i, c in enumerate(counts)])
     cell = ["p0", "p1", "p2", "p3"]
-    # At most 17^4 cells whatever the input: the broadcast is bounded.
     sizes = rows.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).cast("int").alias("tiles"))
-    tiles = (rows.join(F.broadcast(sizes), cell)
-             .withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles").cast("long")))
-             .groupBy(*cell, "tile").agg(F.collect_list("fp").alias("fps")))
-    tiles = materialize(tiles, "simhash-tiles")
     # Half of the offsets, as pairs of cells are unordered; zero compares a cell with itself.
     near = [d for d in itertools.product(range(-max_bits, max_bits + 1), repeat=4)
             if sum(map(abs, d)) <= max_bits and d >= (0, 0, 0, 0)]
     offsets = F.array(*[F.struct(*[F.lit(x).alias(f"d{i}") for i, x in enumerate(d)]) for d in near])
-    probes = tiles.withColumn("d", F.explode(offsets)).select(
-        *[(F.col(f"p{i}") + F.col(f"d.d{i}")).cast("int").alias(f"p{i}") for i in range(4)],
-        F.col("fps").alias("a"), F.col("tile").alias("tile_a"),
-        "d")
+    target = [(F.col(f"p{i}") + F.col(f"d.d{i}")).cast("int").alias(f"p{i}") for i in range(4)]
+    # At most 17^4 cells whatever the input: tables with a row per cell are bounded, and so are their broadcasts.
+    sizes = materialize(sizes, "simhash-cells")
+    coming = (sizes.withColumn("d", F.explode(offsets)).select(*target, F.col("tiles").alias("n"))
+              .groupBy(*cell).agg(F.sum("n").alias("n")))
+    grid = sizes.join(coming, cell).select(*cell, F.ceil(F.col("tiles") / F.lit(GROUP)).cast("int").alias("groups"),
+                                           F.ceil(F.col("n") / F.lit(SLOT)).cast("int").alias("slots"))
+    tiles = (rows.join(F.broadcast(sizes), cell)
+             .withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles").cast("long")))
+             .groupBy(*cell, "tile").agg(F.collect_list("fp").alias("fps")))
+    tiles = materialize(tiles, "simhash-tiles")
+    # Of the grid of cell x, a tile of x fills a row (its group, each slot), a tile that comes to x a column.
+    home = (tiles.join(F.broadcast(grid), cell)
+            .withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+            .select(*cell, F.pmod("tile", F.col("groups").cast("long")).cast("int").alias("group"), "slot",
+                    F.col("tile"), F.col("fps").alias("b")))
     far = F.abs("d.d0") + F.abs("d.d1") + F.abs("d.d2") + F.abs("d.d3")
-    probes = probes.select(*cell, "a", "tile_a", far.alias("far"))
-    pairs = probes.join(tiles, cell).filter((F.col("far") > 0) | (F.col("tile_a") <= F.col("tile")))
-    return pairs.select("a", F.col("fps").alias("b")).mapInArrow(_compare(max_bits), "u long, v long")
+    slot = F.pmod(F.xxhash64(*cell, "tile", "d"), F.lit(1 << 30).cast("long"))
+    probes = (tiles.withColumn("d", F.explode(offsets))
+              .select(*target, F.col("fps").alias("a"), F.col("tile").alias("tile_a"), far.alias("far"),
+                      slot.alias("spot"))
+              .join(F.broadcast(grid), cell)
+              .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+              .select(*cell, "group", F.pmod("spot", F.col("slots").cast("long")).cast("int").alias("slot"),
+                      "a", "tile_a", "far"))
+    square = [*cell, "group", "slot"]
+    pairs = probes.join(home, square).filter((F.col("far") > 0) | (F.col("tile_a") <= F.col("tile")))
+    return pairs.select(*square, "a", "b")
+
+
+def links(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Links (u, v) that span every class of ``fps`` (distinct column ``fp``) within ``max_bits``."""
+    return tile_pairs(fps, max_bits).select("a", "b").mapInArrow(_compare(max_bits), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -138,6 +162,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3) -> tuple
     Null and empty texts have fingerprint zero and link like any other; repeated rows
     are members of one class; empty tables give empty results; extra columns are not read.
     """
+    ship(docs.sparkSession)
     rows = materialize(fingerprints(docs, words), "simhash-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), first), "simhash-fps")
