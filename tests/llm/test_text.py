@@ -106,6 +106,79 @@ def test_fingerprint_odd_rows(spark, odd_docs, no_docs):
     assert one.near_next == 1.0 and one.n_chars == 13
 
 
+def test_many_rows_of_one_id_are_dealt_out(spark, monkeypatch):
+    """A third of the rows without id and a third of one id: no task gets them, and the edits are those of a plain reading."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(fingerprint, "SALT_ROWS", 20)
+    try:
+        n = F.col("id") % 3
+        doc_id = F.when(n == 0, None).when(n == 1, F.lit(500)).otherwise(F.col("id"))
+        text = F.when(F.col("id") % 5 == 0, F.lit("the same words in all of these rows here")).otherwise(
+            F.concat_ws(" ", F.lit("row"), F.col("id"), F.lit("has words of its own to be cut")))
+        docs = spark.range(0, 6000, 1, 8).select(doc_id.alias("doc_id"), text.alias("text"))
+        out = fingerprint.fingerprint_edits(docs)
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 6000 and max(sizes) < 2 * 6000 / 8
+        rows = docs.withColumn("th", F.xxhash64("text")).collect()
+        ids = sorted({r.doc_id for r in rows if r.doc_id is not None}, reverse=True) + [None]
+        head = {d: min((r.th, r.text) for r in rows if r.doc_id == d)[1] for d in ids[:50] + [500, 499, 497, None]
+                if d in set(ids)}
+        after = dict(zip(ids, ids[1:] + ids[:1]))
+        want = {}
+        for r in rows:
+            if after[r.doc_id] in head:
+                m = len(r.text) // 3
+                edited = r.text[: len(r.text) - m] + head[after[r.doc_id]][:m]
+                want.setdefault((r.doc_id, after[r.doc_id]), []).append(hashlib.sha256(edited.encode()).hexdigest())
+        got = {}
+        for r in out.collect():
+            if (r.doc_id, r.next_doc_id) in want:
+                got.setdefault((r.doc_id, r.next_doc_id), []).append(r.edited_sha256)
+        assert len(want) > 50 and (None, ids[0]) in want and any(k[0] == 500 for k in want)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_fingerprints_equal_plain_anchor_sets(spark):
+    """Fingerprint, near_edited and near_next of whole documents against anchors chosen in plain Python."""
+    docs = table(spark, SF, "documents").limit(60)
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)
+    texts = {}
+    for i, (d, text) in enumerate(rows):
+        m = len(text) // 3
+        texts[d] = (text, text[: len(text) - m] + rows[(i + 1) % len(rows)][1][:m], rows[(i + 1) % len(rows)][1])
+    flat = spark.createDataFrame([(t,) for t in sorted({x for three in texts.values() for x in three})], "text string")
+    pieces = F.regexp_extract_all("text", F.lit(fingerprint._PIECES), F.lit(0))
+    flat = flat.withColumn("t", pieces).select(
+        "text", F.zip_with("t", F.slice("t", 2, 1 << 30), lambda x, y: F.xxhash64(x, y)).alias("g"),
+        F.size("t").alias("n"), F.hash("t").alias("all"))
+    hashed = {r.text: (r.g[: max(r.n - 1, 0)], r.n, r.all) for r in flat.collect()}
+    grams = {tuple(g[j:j + 4]) for g, _, _ in hashed.values() for j in range(len(g) - 3)
+             if min(g[j:j + 4]) in (g[j], g[j + 3])}
+    hashes = spark.createDataFrame(sorted(grams), "a long, b long, c long, d long")
+    code = {(r.a, r.b, r.c, r.d): r.h for r in hashes.withColumn("h", F.hash("a", "c", "d")).collect()}
+
+    def anchors(text):
+        g, n, whole = hashed[text]
+        found = [code[tuple(g[j:j + 4])] for j in range(len(g) - 3) if tuple(g[j:j + 4]) in code]
+        return found or ([whole] if n else [])
+
+    def near(a, b):
+        a, b = set(anchors(a)), set(anchors(b))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    keyed = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in fingerprint.fingerprint_edits(keyed).collect():
+        text, edited, following = texts[r.doc_id]
+        assert r.fingerprint == "".join(f"{h & 0xFFFFFFFF:08x}" for h in anchors(text))
+        assert r.edited_fingerprint == "".join(f"{h & 0xFFFFFFFF:08x}" for h in anchors(edited))
+        assert r.near_edited == pytest.approx(near(text, edited)) and r.near_next == pytest.approx(near(text, following))
+
+
 def test_language_held_out_accuracy(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = langid.language_of(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonearm.llm.common import positions
+from tonearm.llm.common import HOT_KEYS, positions
 from tonearm.session import materialize
 
 PIECE, K, S = 6, 5, 2
@@ -42,6 +42,8 @@ _PIECES = (rf"(?<!\S)[{_one_by_one()}]{{1,{PIECE}}}+(?!\S)"  # a short run is on
            rf"|(?<!\S)[^\s{UNSPACED}]{{1,{PIECE}}}+(?!\S)"
            rf"|[\x{{370}}-\x{{4FF}}&&[^{GREEK_CUTS}]]{{1,{STRETCH}}}+[{GREEK_CUTS}]?|\S")
 _NULL_ID = -(1 << 63)
+#: Rows of one id that are handled together; the HOT_KEYS most frequent ids beyond it are dealt out.
+SALT_ROWS = 1000
 
 
 def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -75,15 +77,24 @@ def likeness(a: str, b: str) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both)
 
 
-def successors(docs: DataFrame) -> DataFrame:
-    """(pid, nid, need): for each distinct doc_id the next smaller one (after the last: the
-    largest) and the most code points an edit takes from it; a null id counts as the
-    smallest."""
-    ids = docs.groupBy("kid").agg(F.max(F.floor(F.length("text") / 3)).alias("need"))
-    ids = positions(ids, [F.col("kid").desc()], "fingerprint-ids")
+def frequent_ids(rows: DataFrame) -> DataFrame:
+    """(kid, salts): the most frequent ids, at most HOT_KEYS, and a number for every SALT_ROWS of their rows."""
+    return (rows.groupBy("kid").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SALT_ROWS)
+            .orderBy(F.desc("n"), "kid").limit(HOT_KEYS)
+            .select("kid", F.ceil(F.col("n") / F.lit(SALT_ROWS)).cast("int").alias("salts")))
+
+
+def successors(docs: DataFrame, hot: DataFrame) -> DataFrame:
+    """(pid, salts, nid, nth, nhot, need): for each distinct doc_id the next smaller one (after the
+    last: the largest), that one's smallest text hash, whether it is in ``hot`` and the most code
+    points an edit takes from it; ``salts`` is that of ``hot`` or 1; a null id counts as the smallest."""
+    ids = docs.groupBy("kid").agg(F.max(F.floor(F.length("text") / 3)).alias("need"), F.min("th").alias("least"))
+    ids = positions(ids.join(F.broadcast(hot), "kid", "left"), [F.col("kid").desc()], "fingerprint-ids")
     n = ids.count()
-    after = ids.select(F.col("kid").alias("nid"), F.pmod(F.col("pos") - 1, F.lit(max(n, 1))).alias("pos"))
-    return ids.join(after, "pos").select(F.col("kid").alias("pid"), "nid", "need")
+    after = ids.select(F.col("kid").alias("nid"), F.col("least").alias("nth"), F.col("salts").isNotNull().alias("nhot"),
+                       F.pmod(F.col("pos") - 1, F.lit(max(n, 1))).alias("pos"))
+    return ids.join(after, "pos").select(F.col("kid").alias("pid"), F.coalesce("salts", F.lit(1)).alias("salts"),
+                                         "nid", "nth", "nhot", "need")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -97,17 +108,33 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("kid"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    pairs = materialize(successors(rows), "fingerprint-pairs")
-    # Both sides use the same columns, so the texts are shuffled once for both.
-    first = Window.partitionBy("kid").orderBy("th")
+    hot = materialize(frequent_ids(rows), "fingerprint-hot")
+    pairs = materialize(successors(rows, hot), "fingerprint-pairs")
+    # One text for each frequent id, by partial aggregation.
+    asked = pairs.filter("nhot").select(F.col("nid").alias("kid"), F.col("nth").alias("th"))
+    few = (rows.join(F.broadcast(asked), ["kid", "th"]).groupBy(F.col("kid").alias("nid"))
+           .agg(F.min("doc_id").alias("next_doc_id"), F.min("text").alias("text")))
+    # The rows of frequent ids are dealt out; a number that another attempt deals differently changes no result.
+    number = F.monotonically_increasing_id() % F.coalesce("salts", F.lit(1))
+    rows = rows.join(F.broadcast(hot), "kid", "left").withColumn("salt", number.cast("int")).drop("salts")
+    # Both sides use the same columns, so the texts are shuffled once for both.  The salt of the other ids is zero,
+    # here computed from the id: a literal would be folded, and the texts shuffled again by the id alone.
+    zero = F.pmod(F.xxhash64("nid"), F.lit(1).cast("long")).cast("int")
+    first = Window.partitionBy("kid", "salt").orderBy("th")
     heads = (rows.withColumn("before", F.lag(F.lit(1)).over(first)).filter("before IS NULL")
-             .join(pairs, F.col("kid") == F.col("nid"))
-             .select("pid", F.col("doc_id").alias("next_doc_id"), "text", "need"))
+             .join(pairs.filter("NOT nhot").withColumn("nsalt", zero),
+                   (F.col("kid") == F.col("nid")) & (F.col("salt") == F.col("nsalt")))
+             .select("pid", "salts", F.col("doc_id").alias("next_doc_id"), "text", "need"))
+    heads = heads.unionByName(few.join(pairs.filter("nhot"), "nid")
+                              .select("pid", "salts", "next_doc_id", "text", "need"))
     heads = with_anchors(heads, "text", "next_anchors").select(
-        "pid", "next_doc_id", F.substring("text", F.lit(1), F.col("need").cast("int")).alias("head"), "next_anchors")
+        "pid", "salts", "next_doc_id", F.substring("text", F.lit(1), F.col("need").cast("int")).alias("head"),
+        "next_anchors")
+    # An id of many rows has the next head once per salt.
+    heads = heads.withColumn("psalt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    both = rows.join(heads, F.col("kid") == F.col("pid")).select(
+    both = rows.join(heads, (F.col("kid") == F.col("pid")) & (F.col("salt") == F.col("psalt"))).select(
         "doc_id", n.cast("long").alias("n_chars"), "text", "th", "next_doc_id", "next_anchors",
         F.concat(F.substring("text", F.lit(1), n - third), F.substring("head", F.lit(1), third)).alias("edited"))
     both = both.withColumn("edited_sha256", F.sha2(F.col("edited"), 256))
