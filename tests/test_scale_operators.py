@@ -202,3 +202,31 @@ def test_frontier_on_a_long_path_writes_little(spark, monkeypatch):
     rounds = [n for name, n in written if name in ("kcore-gone", "kcore-lost")]
     assert len(rounds) > 100 and max(rounds) <= 2
     assert sum(name.startswith("kcore-") and name[6:].isdigit() for name, _ in written) == 2  # start and one round
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_core_selection_shuffles_no_rows(spark, plain_shuffles, monkeypatch, few):
+    """The core is the written rows without the removed nodes: no exchange, null keys and repeated pairs included."""
+    monkeypatch.setattr(kcore, "MAX_BROADCAST_NODES", few)
+    rng = random.Random(3)
+    rows = [(f"u{int(rng.paretovariate(0.9)) % 70}", f"a{int(rng.paretovariate(0.7)) % 90}") for _ in range(700)]
+    rows += [(None, "a1"), ("u1", None), (None, None)] * 4
+    out, history = kcore.kcore_filter(spark.createDataFrame(rows, "user_id string, artist_name string"), 6, 4)
+    want, counts = _peel_plainly([r for r in rows if None not in r], 6, 4)
+    assert sorted(map(tuple, out.collect())) == want and [h["rows"] for h in history][1:] == counts[1:]
+    assert len(want) < history[0]["rows"] == len(rows)
+    if few:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_hot_keys_counts_only_crowded_cells(spark, monkeypatch):
+    """Keys that share a crowded cell of the hash are told apart; without a crowded cell no key is counted."""
+    monkeypatch.setattr("tonearm.operators.hotjoin.HASH_CELLS", 2)
+    plays = _plays(spark)
+    assert [r[0] for r in hot_keys(plays, "artist_name", 2_000).collect()] == ["hot"]
+    assert hot_keys(plays.where("artist_name != 'hot'"), "artist_name", 2_000) is None  # crowded cells, no hot key
+    monkeypatch.undo()
+    seen = []
+    monkeypatch.setattr("tonearm.operators.hotjoin.materialize", lambda df, name: seen.append(name))
+    assert hot_keys(plays.where("artist_name != 'hot'"), "artist_name", 2_000) is None and not seen
