@@ -175,3 +175,27 @@ def test_streamed_top_moods_are_ranked_in_the_table(spark, tmp_path):
 def test_streamed_queries_use_the_table(spark):
     b = catalog.Q["r9_top_moods"](spark, SF_SMALL).collect()
     assert sorted(catalog.Q["r9_top_moods_stream"](spark, SF_SMALL).collect()) == sorted(b)
+
+
+def test_vectors_without_structure_are_not_copied_to_all_buckets(spark, monkeypatch):
+    """Where the buckets would hold all pairs, every query is scored in the exact blocks, once, and none is copied."""
+    monkeypatch.setattr(similar, "BUCKET_ROWS", 20)
+    rng = np.random.default_rng(8)
+    items = spark.createDataFrame([(f"a{i:03d}", r.tolist()) for i, r in enumerate(rng.normal(size=(400, 48)))],
+                                  "artist_name string, features array<double>")
+    queries = items.select(F.col("artist_name").alias("query"))
+    copied, real = [], similar._placed
+
+    def watched(rows, bits, visits, dims):
+        out = real(rows, bits, visits, dims)
+        if "h" in rows.columns and visits > 1:
+            copied.append(out.count())
+        return out
+
+    monkeypatch.setattr(similar, "_placed", watched)
+    rows, report = similar.similar_items_approx(queries, items, 10)
+    got = {(r.query, r.similar_artist, r["rank"]) for r in rows.collect()}
+    assert got == {(r.query, r.similar_artist, r["rank"]) for r in score.similar_items(queries, items, 10).collect()}
+    r = report.first()
+    assert r.recall == 1 and r.share == 1 and r.n_judged == 400
+    assert max(copied, default=0) <= 400 * (1 << r.bits) * similar.MAX_SHARE

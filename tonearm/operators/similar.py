@@ -4,9 +4,14 @@ Unit vectors get, in each of TABLES tables, a bucket: the signs of their product
 random directions.  A query visits its own bucket and then those that differ in its
 least certain signs.  How many buckets it visits is found on a sample of the run's own
 queries, whose exact neighbours are known: the number doubles until the sample's recall
-reaches the target (all buckets give the exact result).  Buckets are cut into blocks and
-pairs of blocks are scored like those of the exact join, so no pair list is emitted and
-a crowded bucket is many units of work.
+reaches the target.  Buckets are cut into blocks and pairs of blocks are scored like
+those of the exact join, so no pair list is emitted and a crowded bucket is many units of
+work.
+
+A query is copied to every bucket it visits, with its vector.  Where the target needs
+buckets that hold about as many products as all pairs do (vectors without structure),
+those copies only cost: every query is then scored exactly, in the blocks of the exact
+join, whose memory does not grow with the visits.
 """
 
 from __future__ import annotations
@@ -25,8 +30,10 @@ from tonearm.operators import score
 from tonearm.session import materialize
 
 TABLES, MAX_BITS = 4, 16
-#: Items that a bucket holds on average.
-BUCKET_ROWS = 512
+#: Items that a bucket holds on average, and buckets of a table: the copies of a query are bounded by them.
+BUCKET_ROWS, MAX_BUCKETS = 512, 64
+#: Share of all products above which the visited buckets do not pay.
+MAX_SHARE = 0.8
 #: Queries whose exact neighbours set the number of visited buckets, at most about so many, picked by hash.
 JUDGED = 500
 TARGET_RECALL = 0.95
@@ -113,6 +120,12 @@ def _neighbours(queries: DataFrame, items: DataFrame, key_type: T.DataType, bits
     return score.rank_within(found, ["_q"], k, key_col="similar_artist")
 
 
+def _products(queries: DataFrame, sizes: DataFrame, bits: int, visits: int, dims: list[int]) -> int:
+    """The query-item products that the visited buckets hold."""
+    work = _placed(queries.select("key", "features"), bits, visits, dims).groupBy("cell").agg(F.count("*").alias("m"))
+    return work.join(sizes, "cell").agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+
+
 def similar_items_approx(queries: DataFrame, item_factors: DataFrame, k: int = 10, item_col: str = "artist_name",
                          query_col: str = "query", clean: bool = False,
                          target: float = TARGET_RECALL) -> tuple[DataFrame, DataFrame]:
@@ -120,15 +133,17 @@ def similar_items_approx(queries: DataFrame, item_factors: DataFrame, k: int = 1
 
     Returns the same rows (query, item, similar_artist, similarity, rank; similarities
     are exact, some neighbours may be missing) and one row (n_items, n_judged, k, bits,
-    visits, recall, share): recall over the judged queries' exact neighbours, and the
-    share of all query-item products that the visited buckets hold.
+    visits, recall, share): recall of these rows over the judged queries' exact neighbours,
+    and the share of all query-item products that was computed (1: every query was scored
+    exactly, as the buckets would have held about as much).
     """
     spark = item_factors.sparkSession
     unit = score.unit_items(item_factors.where(F.col("features").isNotNull()), item_col)
     key_type = item_factors.schema[item_col].dataType
     n_items = unit.count()
     dims = [r[0] for r in unit.select(F.size("features")).distinct().collect()]  # the factor numbers: one
-    bits = int(np.clip(round(math.log2(max(n_items, 1) / BUCKET_ROWS + 1)), 1, MAX_BITS))
+    rows = max(BUCKET_ROWS, n_items / MAX_BUCKETS)
+    bits = int(np.clip(round(math.log2(max(n_items, 1) / rows + 1)), 1, MAX_BITS))
     items = unit.select(F.col(item_col).alias("key"), F.xxhash64(item_col).alias("h"), "features")
     asked = queries.select(F.col(query_col), query_key(query_col, clean).alias("_q")).distinct()
     wanted = materialize(items.join(asked.select(F.col("_q").alias("key")).distinct(), "key", "left_semi"), "similar-queries")
@@ -136,22 +151,29 @@ def similar_items_approx(queries: DataFrame, item_factors: DataFrame, k: int = 1
     unit_of = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "key"), 11).cast("double") * 2.0 ** -53
     judged = materialize(wanted.where(unit_of < min(1.0, JUDGED / max(n_queries, 1))), "similar-judged")
     n_judged = judged.count()
-    exact = materialize(score.top_items(
-        judged.select(F.col("key").alias("_q"), "features", F.lit(k).alias("_k")),
-        items.select(F.col("key").alias("similar_artist"), "features"), "_q", "similar_artist", "_k",
-        seen=judged.select(F.col("key").alias("_q"), F.col("key").alias("similar_artist")), prune=False), "similar-exact")
+    def exactly(rows: DataFrame) -> DataFrame:
+        return score.top_items(
+            rows.select(F.col("key").alias("_q"), "features", F.lit(k).alias("_k")),
+            items.select(F.col("key").alias("similar_artist"), "features"), "_q", "similar_artist", "_k",
+            seen=rows.select(F.col("key").alias("_q"), F.col("key").alias("similar_artist")), prune=False)
+
+    exact = materialize(exactly(judged), "similar-exact")
     truth = exact.count()
-    visits, recall = 1, 0.0
+    hits = lambda got: got.join(exact, ["_q", "similar_artist"], "left_semi").count() / truth if truth else 1.0
+    sizes = materialize(_placed(items, bits, 1, dims).groupBy("cell").agg(F.count("*").alias("n")), "similar-cells")
+    visits, pays = 1, True
     while n_judged:
-        got = _neighbours(judged, items, key_type, bits, visits, k, dims)
-        recall = got.join(exact, ["_q", "similar_artist"], "left_semi").count() / truth if truth else 1.0
-        if recall >= target or visits >= 1 << bits:
+        pays = _products(judged, sizes, bits, visits, dims) < MAX_SHARE * n_judged * n_items
+        if not pays or visits >= 1 << bits or hits(_neighbours(judged, items, key_type, bits, visits, k, dims)) >= target:
             break
         visits *= 2
-    found = _neighbours(wanted, items, key_type, bits, visits, k, dims)
-    sizes = _placed(items, bits, 1, dims).groupBy("cell").agg(F.count("*").alias("n"))
-    work = _placed(wanted, bits, visits, dims).groupBy("cell").agg(F.count("*").alias("m")).join(sizes, "cell")
-    products = work.agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+    if pays:
+        found = _neighbours(wanted, items, key_type, bits, visits, k, dims)
+        products = _products(wanted, sizes, bits, visits, dims)
+    else:
+        found, products = exactly(wanted), n_items * n_queries
+    found = materialize(found, "similar-found")
+    recall = hits(found) if n_judged else 0.0
     report = spark.createDataFrame(
         [(n_items, n_judged, k, bits, visits, recall, products / (n_items * n_queries) if n_items and n_queries else None)],
         "n_items long, n_judged long, k int, bits int, visits int, recall double, share double")
