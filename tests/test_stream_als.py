@@ -96,3 +96,16 @@ def test_errors_sliding_uses_its_window(spark):
     ts = spark.createDataFrame([("2024-01-01 00:00:30", True)], "t string, is_error boolean")
     log = ts.select(F.col("t").cast("timestamp").alias("ts"), "is_error")
     assert monitor.errors_sliding(log, "2 minutes", "2 minutes").first()["errors_per_minute"] == 0.5
+
+
+def test_a_larger_fit_uses_more_blocks(spark, monkeypatch):
+    """The number of blocks, and so of tasks, follows the cells; a small matrix keeps four blocks and its factors."""
+    assert [als.blocks_for(n) for n in (0, 48_000, 200_001, 480_000, 2_870_000, 5_000_000, 10 ** 9)] == [4, 4, 6, 12, 12, 20, 24]
+    rng = np.random.default_rng(1)
+    cells = [(u, i, float(rng.integers(1, 5))) for u in range(60) for i in range(50) if rng.random() < 0.3]
+    m = spark.createDataFrame(cells, "user_idx int, artist_idx int, plays double")
+    fit = lambda **kw: als.fit_als(m, factors=3, iterations=2, **kw)[0]
+    rows = lambda model: sorted((r.id, *r.features) for r in model.userFactors.collect())
+    assert rows(fit()) == rows(fit(blocks=4))
+    monkeypatch.setattr(als, "FEW_CELLS", len(cells) // 7)
+    assert fit().userFactors.rdd.getNumPartitions() == als.blocks_for(len(cells)) >= 7
