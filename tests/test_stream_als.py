@@ -109,3 +109,31 @@ def test_a_larger_fit_uses_more_blocks(spark, monkeypatch):
     assert rows(fit()) == rows(fit(blocks=4))
     monkeypatch.setattr(als, "FEW_CELLS", len(cells) // 7)
     assert fit().userFactors.rdd.getNumPartitions() == als.blocks_for(len(cells)) >= 7
+
+
+def test_factors_solve_their_equations_in_any_number_of_blocks(spark, monkeypatch):
+    """Rows with fewer and with more cells than the rank, cells of no and of negative rating, several parts a block."""
+    rng = np.random.default_rng(2)
+    cells = [(u, i, float(rng.integers(-1, 5))) for u in range(30) for i in range(25) if rng.random() < (0.1 if u % 2 else 0.7)]
+    m = spark.createDataFrame(cells, "user_idx int, artist_idx int, plays double")
+    lam, alpha, rank = 0.1, 2.0, 6
+
+    def fit(blocks):
+        model, _ = als.fit_als(m, factors=rank, iterations=3, regularization=lam, alpha=alpha, blocks=blocks)
+        return [{r.id: np.array(r.features, np.float64) for r in f.collect()} for f in (model.userFactors, model.itemFactors)]
+    (users, items), others = fit(1), [fit(3)]
+    monkeypatch.setattr(als, "PART_CELLS", 40)
+    others.append(fit(2))
+    for other in others:
+        for a, b in zip((users, items), other):
+            assert a.keys() == b.keys() and max(np.abs(a[k] - b[k]).max() for k in a) < 1e-4
+    y = np.stack(list(items.values()))
+    seen = set()
+    for u, x in users.items():
+        mine = [(i, r) for v, i, r in cells if v == u]
+        seen.add(sum(r != 0 for _, r in mine) > rank)
+        a = y.T @ y + lam * sum(r > 0 for _, r in mine) * np.eye(rank)
+        a += sum(alpha * abs(r) * np.outer(items[i], items[i]) for i, r in mine)
+        b = sum(((1 + alpha * r) * items[i] for i, r in mine if r > 0), np.zeros(rank))
+        assert np.abs(a @ x - b).max() < 1e-3
+    assert seen == {True, False}
