@@ -248,6 +248,19 @@ def test_pieces_with_small_bounds(tokenizer, monkeypatch):
     assert [g.tolist() for g in got] == library.encode(texts)
 
 
+def test_pairs_that_share_a_place_keep_their_answers(tokenizer, monkeypatch):
+    """Pairs are looked up by place; where all displace each other the ids are still the library's."""
+    v, library = tokenizer
+    texts = [f"some words here and word{i} number{i * i} there, unbelievably anticlimactic" for i in range(60)]
+    for places in (1, 2, 1 << 12):
+        monkeypatch.setattr(sentencepieces, "PAIR_PLACES", places)
+        encoder = sentencepieces.Encoder(v)
+        assert [g.tolist() for text in texts for g in encoder.encode([text])] == library.encode(texts)
+        held = encoder.place_code >= 0
+        assert held.any() and all(encoder.pairs[c] == s for c, s in zip(encoder.place_code[held].tolist(),
+                                                                        encoder.place_said[held].tolist()))
+
+
 def test_pieces_odd_rows(spark, odd_docs, no_docs):
     out = sentencepieces.encode(odd_docs)
     assert out.columns == ["row", "token_ids"] and out.count() == odd_docs.count()

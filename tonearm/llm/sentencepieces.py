@@ -20,7 +20,6 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +32,8 @@ SPACE = "▁"
 #: Code points of new units indexed at once and of texts held until then; units and
 #: pairs of pieces remembered per worker.  They bound a worker's memory.
 INDEX_CHARS, HELD_CHARS, KEPT_UNITS, KEPT_PAIRS = 1 << 18, 1 << 20, 80_000, 400_000
+#: Of the pairs remembered, so many (a power of two) are looked up all at once; two of one place displace each other.
+PAIR_PLACES = 1 << 20
 #: Rows encoded and sent back at once.
 ROWS = 512
 #: Up to twice so many code points are merged by scanning, longer units with a heap.
@@ -162,11 +163,16 @@ def _suffix_array(ids: np.ndarray, width: int) -> np.ndarray:
         done *= 2
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 class Encoder:
     """Encodes batches of texts; remembers units and pairs up to fixed numbers."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.v, self.units, self.older, self.pairs = vocabulary, {}, {}, {}
+        self.v, self.units, self.older, self.pairs = vocabulary, {}, {}, {}  # units: their ids as int32 bytes
+        self.place_code, self.place_said = np.full(PAIR_PLACES, -1, np.int64), np.zeros(PAIR_PLACES, bool)
         ends = "".join(re.escape(p) + "|" for p in sorted(vocabulary.tied, key=len))[:-1]
         self.plain = re.compile(ends) if ends else None
 
@@ -191,10 +197,10 @@ class Encoder:
         self.units.update((u, self.older[u]) for u in again)
         fresh = fresh - again
         tied = {u for u in fresh if self.plain and self.plain.search(u)}
-        self.units.update((u, tuple(self.v.merge(u))) for u in tied)
+        self.units.update((u, _packed(self.v.merge(u))) for u in tied)
         self._index(sorted(fresh - tied))
         ids_of = self.units.__getitem__
-        out = [np.fromiter(chain.from_iterable(map(ids_of, units)), np.int32) for units in todo]
+        out = [np.frombuffer(b"".join(map(ids_of, units)), np.int32) for units in todo]
         if len(self.units) > KEPT_UNITS:  # units not met since the last turn-over are forgotten
             self.units, self.older = {}, self.units
         if len(self.pairs) > KEPT_PAIRS:
@@ -203,7 +209,17 @@ class Encoder:
 
     def _apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each pair of pieces stays two pieces when encoded alone."""
-        code, back = np.unique((left.astype(np.int64) << 32) | right, return_inverse=True)
+        code = (left.astype(np.int64) << 32) | right
+        place = ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).view(np.int64) & (PAIR_PLACES - 1)
+        known = self.place_code[place] == code
+        said = self.place_said[place]
+        if not known.all():
+            said[~known] = self._ask(code[~known], place[~known])
+        return said
+
+    def _ask(self, code: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """:meth:`_apart` for pairs that are not in their place, which they then take."""
+        code, first, back = np.unique(code, return_index=True, return_inverse=True)
         pairs, pieces, said = self.pairs, self.v.pieces, np.empty(len(code), bool)
         for k, c in enumerate(code.tolist()):
             ok = pairs.get(c)
@@ -211,6 +227,9 @@ class Encoder:
                 a, b = c >> 32, c & 0xFFFFFFFF
                 ok = pairs[c] = self.v.merge(pieces[a] + pieces[b]) == [a, b]
             said[k] = ok
+        place, last = np.unique(place[first][::-1], return_index=True)  # one pair for each place
+        last = len(code) - 1 - last
+        self.place_code[place], self.place_said[place] = code[last], said[last]
         return said[back]
 
     def _index(self, units: list[str]) -> None:
@@ -275,18 +294,18 @@ class Encoder:
         found = last[ends]
         a = np.searchsorted(ends, starts, "right").tolist()
         b = np.searchsorted(ends, stops, "right").tolist()
-        lens, whole = v.length_of[found].astype(np.int64), found.tolist()
+        lens, raw = v.length_of[found].astype(np.int64), found.astype(np.int32).tobytes()
         total = np.concatenate([[0], np.cumsum(np.where(found == -1, 1 << 40, lens))])
         covered = (total[b] - total[a] == stops - starts).tolist()
         odd = set(np.flatnonzero(found == _BYTES).tolist()) if (found == _BYTES).any() else ()
         for u, i, j, ok in zip(units, a, b, covered):
             if not ok:
-                self.units[u] = tuple(v.merge(u))
+                self.units[u] = _packed(v.merge(u))
             elif odd and not odd.isdisjoint(range(i, j)):
-                self.units[u] = tuple(t for k in range(i, j) for t in (
-                    v.known(chr(points[ends[k] - 1])) if whole[k] == _BYTES else (whole[k],)))
+                self.units[u] = _packed([t for k in range(i, j) for t in (
+                    v.known(chr(points[ends[k] - 1])) if found[k] == _BYTES else (found[k],))])
             else:
-                self.units[u] = tuple(whole[i:j])
+                self.units[u] = raw[4 * i:4 * j]
 
 
 _ENCODERS: dict[str, Encoder] = {}
