@@ -92,3 +92,20 @@ def test_merge_keeps_a_local_top_k(spark):
     items = spark.createDataFrame([("a", [1.0])], "artist_name string, features array<double>")
     out = score.recommend_unseen(users, users, items, spark.createDataFrame([], "user_id string, artist_name string"), 1)
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_block_gives_only_what_reaches_the_score_found(spark):
+    """Rows of a further block below the k-th score of the first block are not sent on; ties with it are; at most k leave."""
+    import pyarrow as pa
+    items = pa.array([{"key": f"i{j}", "h": j, "features": [float(j)]} for j in range(6)],
+                     pa.struct([("key", pa.string()), ("h", pa.int64()), ("features", pa.list_(pa.float32()))]))
+    kind = pa.struct([("key", pa.string()), ("k", pa.int64()), ("seen", pa.list_(pa.int64())), ("last", pa.int32()),
+                      ("beat", pa.float64()), ("features", pa.list_(pa.float32()))])
+    asked = [("none", 9.0, []), ("tie", 4.0, [5]), ("many", 1.0, []), ("open", -np.inf, [])]
+    queries = pa.array([{"key": n, "k": 3, "seen": s, "last": 9, "beat": b, "features": [1.0]} for n, b, s in asked], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array([queries.to_pylist()], pa.list_(kind)), pa.array([items.to_pylist()], pa.list_(items.type)),
+                                        pa.array([1], pa.int32())], names=["queries", "items", "item_block"])
+    out = list(score._pair_kernel(score._best("user_id", "artist_name"))(iter([batch])))
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    top = [("i5", 5.0), ("i4", 4.0), ("i3", 3.0)]
+    assert rows == [("tie", "i4", 4.0), *[("many", *t) for t in top], *[("open", *t) for t in top]]
