@@ -12,3 +12,18 @@ def _watch(monkeypatch, module):
     names, real = [], module.materialize
     monkeypatch.setattr(module, "materialize", lambda df, name, *a, **k: (names.append(name), real(df, name, *a, **k))[1])
     return names
+
+
+def test_core_counts_each_side_once(spark, monkeypatch):
+    names = _watch(monkeypatch, kcore)
+    rows = [(f"u{i % 40}", f"a{i % 30}") for i in range(2400)] + [(f"x{i}", "rare") for i in range(2)]
+    out, history = kcore.kcore_filter(spark.createDataFrame(rows, "user_id string, artist_name string"), 2, 2)
+    assert out.count() == 2400 and [h["rows"] for h in history] == [2402, 2400, 2400]
+    assert names.count("kcore-degrees") == 1 and "kcore-pairs" not in names  # the frontier goes on from the round's counts
+
+
+def test_retention_reads_written_rows_without_pair_counts(spark):
+    plan = entry.queries()["a10_retention"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "SortMergeJoin" not in plan
+    exchanges = [x for x in plan.splitlines() if "hashpartitioning" in x]
+    assert exchanges and not any("user_id" in x and "artist_name" in x for x in exchanges)

@@ -126,7 +126,7 @@ def a5a(spark, sf):
   (SELECT count(*) AS n_rows_after, count(DISTINCT user_id) AS n_users_after,
           count(DISTINCT artist_name) AS n_artists_after FROM core)""")
 def a10(spark, sf):
-    r = profile.retention(fx.prepared(spark, sf), fx.core(spark, sf))
+    r = profile.retention(fx.prepared_table(spark, sf), fx.core(spark, sf), written=True)
     return r.select(*[c if not c.startswith("pct") else _r6(c) for c in r.columns])
 
 

@@ -42,10 +42,15 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.prepare(plays(spark, sf_dir))
 
 
+def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`prepared`, written once: the core selects from it."""
+    return _memo(spark, sf_dir, "prepared", lambda: materialize(prepared(spark, sf_dir), "prepared"))
+
+
 def core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 fixpoint of the prepared plays, checkpointed."""
     return _memo(spark, sf_dir, "core", lambda: kcore.kcore_filter(
-        prepared(spark, sf_dir), CFG.min_user_interactions, CFG.min_artist_listeners)[0])
+        prepared_table(spark, sf_dir), CFG.min_user_interactions, CFG.min_artist_listeners)[0])
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
