@@ -27,3 +27,12 @@ def test_retention_reads_written_rows_without_pair_counts(spark):
     assert "lineitem" not in plan and "SortMergeJoin" not in plan
     exchanges = [x for x in plan.splitlines() if "hashpartitioning" in x]
     assert exchanges and not any("user_id" in x and "artist_name" in x for x in exchanges)
+
+
+def test_written_sides_equal_pairwise_sides(spark):
+    rows = [("u1", "a", True), ("u1", "a", False), ("u1", None, True), (None, "b", False), ("u2", "a", False), ("u2", "a", False)]
+    df = spark.createDataFrame(rows, "user_id string, artist_name string, t boolean")
+    one, two = (profile.sides(df, F.col("t"), "user_id", "artist_name", w).first() for w in (False, True))
+    assert one == two and one["rows_a"] == 2 and one["rows_b"] == 4
+    none = profile.sides(df.where("false"), F.col("t"), "user_id", "artist_name", True).first()
+    assert none["rows_a"] == 0 and none["users"] == 0
