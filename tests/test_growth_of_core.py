@@ -36,3 +36,12 @@ def test_written_sides_equal_pairwise_sides(spark):
     assert one == two and one["rows_a"] == 2 and one["rows_b"] == 4
     none = profile.sides(df.where("false"), F.col("t"), "user_id", "artist_name", True).first()
     assert none["rows_a"] == 0 and none["users"] == 0
+
+
+def test_split_sends_no_feedback_columns(spark, monkeypatch):
+    sent, real = [], split.holdout_flag
+    monkeypatch.setattr(split, "holdout_flag", lambda df, *a, **k: (sent.append(df.columns), real(df, *a, **k))[1])
+    monkeypatch.setattr(fx, "_cache", {})
+    out = fx.flagged(spark, SF_SMALL)
+    assert "confidence" not in sent[0] and "preference" not in sent[0]
+    assert out.columns == [*fx.interactions(spark, SF_SMALL).columns, "is_test"]
