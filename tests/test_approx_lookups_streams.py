@@ -199,3 +199,15 @@ def test_vectors_without_structure_are_not_copied_to_all_buckets(spark, monkeypa
     r = report.first()
     assert r.recall == 1 and r.share == 1 and r.n_judged == 400
     assert max(copied, default=0) <= 400 * (1 << r.bits) * similar.MAX_SHARE
+
+
+def test_bucket_queries_carry_all_the_kernel_reads(spark, clustered):
+    """Neighbours inside the visited buckets: every bucket visited, the rows are the exact ones."""
+    items = clustered.limit(120).select(F.col("artist_name").alias("key"), F.xxhash64("artist_name").alias("h"), "features")
+    items = items.where(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x) > 0).cache()
+    kind = items.schema["key"].dataType
+    got = {(r._q, r.similar_artist, r["rank"]) for r in similar._neighbours(items, items, kind, 2, 4, 3, [16]).collect()}
+    keys, x = zip(*((r.key, r.features) for r in items.collect()))
+    s = np.array(x) @ np.array(x).T
+    np.fill_diagonal(s, -np.inf)
+    assert got == {(keys[i], keys[j], n) for i in range(len(keys)) for n, j in enumerate(np.argsort(-s[i])[:3], 1)}

@@ -138,11 +138,14 @@ def deal(queries: DataFrame, items: DataFrame, n_query_blocks: int, n_item_block
     return q.join(it, ["query_group", "item_block"]).select("query_block", "queries", "item_block", "items")
 
 
+#: What the kernel reads of a query.
+QUERY_FIELDS = ("key", "k", "seen", "last", "beat", "features")
+
+
 def _query_blocks(q: DataFrame, block) -> DataFrame:
     """(query_block, queries, deepest): arrays of structs of about QUERY_BLOCK queries each."""
     return (q.groupBy(block.alias("query_block"))
-            .agg(F.collect_list(F.struct("key", "k", "seen", "last", "beat", "features")).alias("queries"),
-                 F.max("last").alias("deepest")))
+            .agg(F.collect_list(F.struct(*QUERY_FIELDS)).alias("queries"), F.max("last").alias("deepest")))
 
 
 def _item_blocks(it: DataFrame) -> DataFrame:

@@ -104,11 +104,12 @@ def _neighbours(queries: DataFrame, items: DataFrame, key_type: T.DataType, bits
     item_blocks = (held.join(F.broadcast(sizes), "cell").groupBy("cell", slot("n_items").alias("item_block"), copies.alias("copies"))
                    .agg(F.collect_list(F.struct("key", "h", "features")).alias("items"))
                    .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies"))
-    fields = F.struct("key", F.lit(k).cast("long").alias("k"), F.array("h").alias("seen"),
-                      F.lit(score.EVERY_BLOCK).alias("last"), "features")
+    # No score has been found yet, and every block of a visited bucket is scored.
+    asked = (asked.withColumn("k", F.lit(k).cast("long")).withColumn("seen", F.array("h"))
+             .withColumn("last", F.lit(score.EVERY_BLOCK)).withColumn("beat", F.lit(float("-inf"))))
     query_blocks = (asked.join(F.broadcast(sizes), "cell")
                     .groupBy("cell", "n_items", copies.alias("copies"), slot("n_queries").alias("query_block"))
-                    .agg(F.collect_list(fields).alias("queries"))
+                    .agg(F.collect_list(F.struct(*score.QUERY_FIELDS)).alias("queries"))
                     .withColumn("item_block", F.explode(F.sequence(F.lit(0), F.col("n_items") - 1)))
                     .withColumn("copy", F.pmod("query_block", "copies")))
     pairs = query_blocks.join(item_blocks, ["cell", "item_block", "copy"]).select("queries", "item_block", "items")
