@@ -48,3 +48,23 @@ def test_tsv_scan_keeps_quotes_and_na(spark, tmp_path):
     assert rows[1]["artist_name"] == "NA"
     na = read_plays_tsv(spark, str(p), pandas_na=True).orderBy("user_id").collect()
     assert na[1]["artist_name"] is None
+
+
+def test_rows_of_a_name_lie_together_and_a_hot_name_is_cut(spark):
+    """Deduplicated rows: an artist is in one or two partitions, so counts per artist send little; a hot one is in several."""
+    n = F.col("id")
+    name = F.when(n % 2 == 0, "hot").otherwise(F.concat(F.lit("a"), (n % 101).cast("string")))
+    plays = spark.range(0, 24_000, 1, 6).select(F.concat(F.lit("u"), (n % 6007).cast("string")).alias("user_id"), name.alias("artist_name"),
+                                                F.lit(None).cast("string").alias("artist_mbid"), F.lit(2).cast("long").alias("play_count"))
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for rows in (clean.dedup_plays(plays), clean.group_plays(plays)):
+            places = rows.groupBy("artist_name", F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+            cold, hot = [r for r in places if r.artist_name != "hot"], [r.n for r in places if r.artist_name == "hot"]
+            assert len(cold) <= 101 + 8 and len(hot) >= 3 and max(hot) < 0.5 * sum(hot)
+            want = plays.groupBy("user_id", "artist_name").agg(F.sum("play_count").alias("s")).count()
+            assert rows.count() == want and rows.agg(F.sum("play_count")).first()[0] == 48_000
+            assert rows.columns[:4] == ["user_id", "artist_name", "artist_mbid", "play_count"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
