@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
@@ -137,3 +139,29 @@ def test_factors_solve_their_equations_in_any_number_of_blocks(spark, monkeypatc
         b = sum(((1 + alpha * r) * items[i] for i, r in mine if r > 0), np.zeros(rank))
         assert np.abs(a @ x - b).max() < 1e-3
     assert seen == {True, False}
+
+
+def test_a_large_fit_sends_vectors_to_few_parts_and_keeps_one_half_step_on_disk(spark, monkeypatch):
+    """Rows of 24 cells in 24 million: a part per block.  Where the mail is large, past shuffle files go after each half step."""
+    import glob
+    assert als.blocks_for(28_800_000) * als.PART_CELLS >= 28_800_000
+    rng = np.random.default_rng(4)
+    cells = [(u, i, 1.0) for u in range(200) for i in rng.choice(150, 20, replace=False).tolist()]
+    m = spark.createDataFrame(cells, "user_idx int, artist_idx int, plays double")
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, kept, released, real = files(), [], [], als.release_shuffles
+
+    def watched(session):
+        released.append(len(kept))
+        real(session)
+        for _ in range(50):  # deleted by another thread
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        kept.append(len(files() - before))
+
+    monkeypatch.setattr(als, "release_shuffles", watched)
+    monkeypatch.setattr(als, "MAIL_BYTES", 0)
+    als.fit_als(m, factors=4, iterations=3, blocks=3)
+    assert len(released) == 1 + 6 and max(kept) == 0
